@@ -48,7 +48,7 @@ def chunks(batches: Iterable[pa.RecordBatch], max_bytes: int = 8 << 20) -> Itera
             yield batch.slice(at, step)
 
 
-def map_rows(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str) -> DataFrame:
+def map_rows(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema) -> DataFrame:
     """mapInArrow over bounded slices; `make` builds a worker's state once per task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

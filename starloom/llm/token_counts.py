@@ -45,10 +45,11 @@ class LongestMatchCounter:
             for ch, node in self.children[parent].items():
                 if is_piece[node]:
                     self.popped[node] = 1
+                elif not parent:  # a first character that is no piece itself falls back to its bytes
+                    self.popped[node] = len(ch.encode("utf-8", "surrogatepass"))
                 else:
-                    at, count = (self.fail[parent], self.popped[parent]) if parent else (0, 0)
-                    self.fail[node], extra = self._step(at, ch)
-                    self.popped[node] = count + extra
+                    self.fail[node], extra = self._step(self.fail[parent], ch)
+                    self.popped[node] = self.popped[parent] + extra
                 queue.append(node)
 
     def _step(self, node: int, ch: str) -> tuple[int, int]:
@@ -56,7 +57,6 @@ class LongestMatchCounter:
         count = 0
         while True:
             nxt = self.children[node].get(ch)
-            # a trie character that starts no piece falls through at the root as bytes
             if nxt is not None:
                 return nxt, count
             if node == 0:
@@ -101,12 +101,17 @@ def count_tokens(df: DataFrame, vocabulary_path: str, text: str = "text", mark:
             n_words, n_tokens = [], []
             for t in texts:
                 words = word.findall(t or "")
-                new = {w for w in words if w not in seen}
-                seen.make_room(len(new))
-                for w in new if len(seen) else set(words):
-                    seen[w] = counter.count(mark + w)
+                total = 0
+                for w in words:
+                    n = seen.get(w)
+                    if n is None:
+                        n = counter.count(mark + w)
+                        if len(w) <= 64:  # longer words are not kept, which bounds the memo's bytes
+                            seen.make_room(1)
+                            seen[w] = n
+                    total += n
                 n_words.append(len(words))
-                n_tokens.append(sum(map(seen.__getitem__, words)))
+                n_tokens.append(total)
             return n_words, n_tokens
 
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
