@@ -39,11 +39,13 @@ def repeated_words(words: Column) -> Column:
         hit = F.filter(s, lambda x, i: (x["w"] == F.coalesce(near(i - 1), F.lit(""))) | (x["w"] == F.coalesce(near(i + 1), F.lit(""))))
         return F.size(F.array_distinct(F.flatten(F.transform(hit, lambda x: F.array(x["i"], x["i"] + 1, x["i"] + 2)))))
 
-    windows = F.transform(
-        F.sequence(F.lit(0), F.size(words) - 3),
-        lambda i: F.struct(F.concat_ws(" ", F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)).alias("w"), i.alias("i")),
-    )
-    return F.when(F.size(words) < 3, F.lit(0)).otherwise(bound(F.sort_array(windows), of_sorted))
+    texts = F.transform(words, lambda w, i: F.struct(F.concat_ws(" ", w, F.get(words, i + 1), F.get(words, i + 2)).alias("w"), i.alias("i")))
+    hashes = F.transform(words, lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)))
+    n = F.size(words) - 2
+    # texts whose windows have distinct hashes have distinct windows: only the others are sorted
+    all_differ = F.size(F.array_distinct(F.slice(hashes, 1, n))) == n
+    sorted_windows = F.sort_array(F.slice(texts, 1, n))
+    return F.when(n < 1, F.lit(0)).when(all_differ, F.lit(0)).otherwise(bound(sorted_windows, of_sorted))
 
 
 def text_statistics(df: DataFrame, text: str = "text") -> DataFrame:
@@ -125,11 +127,11 @@ def learn(
             *(F.percentile_approx(f, grid, 10_000).alias(n) for n, f in features().items()),
             *(F.percentile_approx(F.when(F.col("bad") == 1, f), grid, 10_000).alias(f"{n}_bad") for n, f in features().items()),
         ).first()
-        cuts = {n: sorted({x for a in (bad_grid[n], bad_grid[f"{n}_bad"]) for x in a or ()}) for n in names}
+        cuts = {n: with_middles(sorted({x for a in (bad_grid[n], bad_grid[f"{n}_bad"]) for x in a or ()})) for n in names}
         binned = rows
         for n, f in features().items():
             edges = F.array(*map(F.lit, cuts[n])) if cuts[n] else F.array().cast("array<double>")
-            binned = binned.withColumn(f"bin_{n}", F.size(F.filter(edges, lambda x, f=f: x < f)))
+            binned = binned.withColumn(f"bin_{n}", bins_below(edges, f))
         rules: list[Rule] = []
         for _ in range(max_rules if any(cuts.values()) else 0):
             left = reduce(lambda d, r: d.where(~r.column()), rules, binned)
@@ -150,6 +152,14 @@ def learn(
         rows.unpersist()
 
 
+def with_middles(edges: list[float]) -> list[float]:
+    return sorted({*edges, *((a + b) / 2 for a, b in zip(edges, edges[1:]))})
+
+
+def bins_below(edges: Column, value: Column) -> Column:
+    return F.size(F.filter(edges, lambda x: x < value))
+
+
 def counts(rows: DataFrame, candidates: list[tuple[Test, ...]], grow: bool | None) -> list[tuple[int, int]]:
     """(bad, all) covered by each conjunction, in one aggregation without a shuffle key."""
     rows = rows if grow is None else rows.where(F.col("grow") == grow)
@@ -178,14 +188,18 @@ def best_test(rows: DataFrame, grown: list[Test], cuts: dict[str, list[float]],
         bins = [per_bin.get((f, b), (0, 0)) for b in range(len(edges) + 1)]
         everything = tuple(map(sum, zip(*bins)))
         before = score(*everything) if grown else 0.5 * score(*everything)
-        below = (0, 0)
-        for k, edge in enumerate(edges):
+        below, found = (0, 0), []
+        for k in range(len(edges)):
             below = (below[0] + bins[k][0], below[1] + bins[k][1])
             above = (everything[0] - below[0], everything[1] - below[1])
-            for is_above, (bad, n) in ((True, above), (False, below)):
-                gain = bad * (score(bad, n) - before)
-                if bad >= least and gain > 0 and (best is None or gain > best[0]):
-                    best = (gain, Test(f, is_above, edge), bad / n)
+            found += [(bad * (score(bad, n) - before), is_above, k, bad, n) for is_above, (bad, n) in ((True, above), (False, below)) if bad >= least]
+        for is_above in (True, False):
+            side = [x for x in found if x[1] == is_above]
+            top = max((x[0] for x in side), default=0)
+            if top > 0 and (best is None or top > best[0]):
+                tied = [x for x in side if x[0] == top]
+                _, _, k, bad, n = tied[len(tied) // 2]  # of thresholds that part these rows alike, the middle one
+                best = (top, Test(f, is_above, edges[k]), bad / n)
     return best and best[1:]
 
 
