@@ -119,31 +119,32 @@ def class_of(words: list[str]) -> str:
 
 
 def fingerprint(df: DataFrame, n: int, bands: int, rows: int, seed: int = 5) -> DataFrame:
-    """(id, class, bands): one 64-bit hash per band; none for a text without words."""
+    """(id, class, grams, bands): the number of n-grams, and one 64-bit hash per band; none for a text without words."""
 
     def make():
         word = re.compile(WORD)
         seeds = np.random.default_rng(seed).integers(1, 2**63, bands * rows, dtype=np.uint64)
         place = np.arange(bands, dtype=np.uint64)
 
-        def one(text: str | None) -> tuple[str, list[int]]:
+        def one(text: str | None) -> tuple[str, int, list[int]]:
             words = word.findall(text or "")
             if not words:
-                return class_of(words), []
-            value = minhash(ngram_set(words, n), seeds).reshape(bands, rows)
+                return class_of(words), 0, []
+            grams = ngram_set(words, n)
+            value = minhash(grams, seeds).reshape(bands, rows)
             h = place.copy()
             for k in range(rows):
                 h = mix64(h * ODD + value[:, k])
-            return class_of(words), h.view(np.int64).tolist()
+            return class_of(words), len(grams), h.view(np.int64).tolist()
 
         def run(b: pa.RecordBatch) -> pa.RecordBatch:
             got = [one(t) for t in b.column(1).to_pylist()]
-            cols = [pa.array([c for c, _ in got], pa.string()), pa.array([h for _, h in got], pa.list_(pa.int64()))]
-            return pa.RecordBatch.from_arrays([b.column(0), *cols], names=["id", "class", "bands"])
+            cols = [pa.array(c, k) for c, k in zip(zip(*got), (pa.string(), pa.int64(), pa.list_(pa.int64())))]
+            return pa.RecordBatch.from_arrays([b.column(0), *cols], names=["id", "class", "grams", "bands"])
 
         return run
 
-    return map_rows(df, make, "id long, class string, bands array<long>")
+    return map_rows(df, make, "id long, class string, grams long, bands array<long>")
 
 
 def sets_of(df: DataFrame, n: int) -> DataFrame:
@@ -161,28 +162,23 @@ def sets_of(df: DataFrame, n: int) -> DataFrame:
     return map_rows(df, make, "class string, grams array<long>")
 
 
-def similar_classes(df: DataFrame, key: str, text: str, n: int, threshold: float, recall: float, block: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+def similar_classes(df: DataFrame, key: str, text: str, n: int, threshold: float, recall: float, block: int, block_grams: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(members, classes, links): (id, class), (class, class_id, size) and (class, n_links, root), all written down."""
     bands, rows = choose_bands(threshold, recall)
     docs = df.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     prints = materialise(fingerprint(docs, n, bands, rows))
     classes = materialise(
-        prints.groupBy("class").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("size"), F.any_value("bands").alias("bands"))
+        prints.groupBy("class").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("size"), F.any_value("grams").alias("grams"), F.any_value("bands").alias("bands"))
     )
     entries = classes.select("class", F.explode("bands").alias("bucket"))
     crowded = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     candidates = materialise(entries.join(crowded, "bucket"))
-    # the home of a class is its most crowded bucket; homes are cut into blocks of about `block` classes
-    homes = candidates.groupBy("class").agg(F.max(F.struct("n", "bucket")).alias("home"))
-    blocks = materialise(
-        homes.select(
-            "class",
-            F.struct(
-                F.col("home.bucket").alias("bucket"),
-                F.pmod(F.xxhash64("class"), F.ceil(F.col("home.n") / block)).cast("int").alias("part"),
-            ).alias("block"),
-        )
-    )
+    # the home of a class is its most crowded bucket; homes are cut into blocks of about `block` classes and `block_grams` n-grams
+    homes = candidates.groupBy("class").agg(F.max(F.struct("n", "bucket"))["bucket"].alias("home")).join(classes.select("class", "grams"), "class")
+    parts = F.greatest(F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("grams") / block_grams)).alias("parts")
+    homes = homes.join(homes.groupBy("home").agg(parts), "home")
+    number = F.pmod(F.xxhash64("class"), F.col("parts")).cast("int")
+    blocks = materialise(homes.select("class", F.struct(F.col("home").alias("bucket"), number.alias("part")).alias("block")))
     in_bucket = candidates.select("class", "bucket").join(blocks, "class").groupBy("bucket").agg(F.collect_set("block").alias("blocks"))
     pairs = (
         in_bucket.select(F.array_sort("blocks").alias("blocks"))
@@ -260,13 +256,13 @@ def components(edges: DataFrame) -> DataFrame:
         label = new
 
 
-def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, threshold: float = 0.8, recall: float = 0.99999, block: int = 256) -> DataFrame:
+def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, threshold: float = 0.8, recall: float = 0.99999, block: int = 2048, block_grams: int = 2_000_000) -> DataFrame:
     """(doc_id, class_id, n_links, group_id) of every row.
 
     class_id is the least id among equal texts, n_links the number of other rows with an equal or similar
     text, group_id the least id of the connected group.
     """
-    members, classes, links = similar_classes(df, key, text, n, threshold, recall, block)
+    members, classes, links = similar_classes(df, key, text, n, threshold, recall, block, block_grams)
     per_class = links.groupBy("class").agg(F.sum("n_links").alias("n_links"))
     labels = components(links.select(F.col("class").alias("u"), F.col("root").alias("v")))
     named = classes.join(labels.withColumnRenamed("v", "class"), "class", "left").withColumn("label", F.coalesce("label", "class"))
