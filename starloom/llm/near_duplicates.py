@@ -64,8 +64,8 @@ def ngram_set(words: list[str], n: int) -> np.ndarray:
 
 def minhash(grams: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     least = np.full(len(seeds), np.iinfo(np.uint64).max)
-    for at in range(0, len(grams), 2048):
-        part = grams[at : at + 2048, None] ^ seeds
+    for at in range(0, len(grams), 256):  # slices that stay in the processor's cache
+        part = grams[at : at + 256, None] ^ seeds
         part *= ODD
         part ^= part >> np.uint64(29)
         part *= np.uint64(0xBF58476D1CE4E5B9)
@@ -173,8 +173,12 @@ def similar_classes(df: DataFrame, key: str, text: str, n: int, threshold: float
     entries = classes.select("class", F.explode("bands").alias("bucket"))
     crowded = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     candidates = materialise(entries.join(crowded, "bucket"))
-    # the home of a class is its most crowded bucket; homes are cut into blocks of about `block` classes and `block_grams` n-grams
-    homes = candidates.groupBy("class").agg(F.max(F.struct("n", "bucket"))["bucket"].alias("home")).join(classes.select("class", "grams"), "class")
+    # The home of a class is its most crowded bucket, or that of a class it meets in a bucket: near copies, spread
+    # over many bands, so share a home.  Homes are cut into blocks of about `block` classes and `block_grams` n-grams.
+    own = candidates.groupBy("class").agg(F.max(F.struct("n", "bucket")).alias("home"))
+    met = candidates.select("class", "bucket").join(own, "class").groupBy("bucket").agg(F.max("home").alias("home"))
+    homes = candidates.select("class", "bucket").join(met, "bucket").groupBy("class").agg(F.max("home")["bucket"].alias("home"))
+    homes = homes.join(classes.select("class", "grams"), "class")
     parts = F.greatest(F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("grams") / block_grams)).alias("parts")
     homes = homes.join(homes.groupBy("home").agg(parts), "home")
     number = F.pmod(F.xxhash64("class"), F.col("parts")).cast("int")
