@@ -48,12 +48,12 @@ def chunks(batches: Iterable[pa.RecordBatch], max_bytes: int = 8 << 20) -> Itera
             yield batch.slice(at, step)
 
 
-def map_rows(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema) -> DataFrame:
+def map_rows(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema, max_bytes: int = 8 << 20) -> DataFrame:
     """mapInArrow over bounded slices; `make` builds a worker's state once per task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = None
-        for part in chunks(batches):
+        for part in chunks(batches, max_bytes):
             f = f or make()
             yield f(part)
 

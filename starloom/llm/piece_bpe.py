@@ -140,7 +140,7 @@ def encode_decode(df: DataFrame, path: str, key: str = "doc_id", text: str = "te
 
         return run
 
-    return map_rows(df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")), make, "doc_id long, ids array<int>, decoded string")
+    return map_rows(df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")), make, "doc_id long, ids array<int>, decoded string", 1 << 20)
 
 
 def digest(coded: DataFrame) -> DataFrame:
