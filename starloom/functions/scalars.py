@@ -71,3 +71,10 @@ def in_polygon(x: Column, y: Column, corners: list[tuple[float, float]]) -> Colu
 
 def target_label(sector: Column, camera: Column, ccd: Column, name: Column) -> Column:
     return F.format_string("s%04d_c%d_k%d_%s", sector, camera, ccd, name)
+
+
+def signed_terms(expression: Column) -> Column:
+    """Array of (sign, label) of a sum such as a+b-c; null if it has an empty term or nothing."""
+    parts = F.regexp_extract_all(expression, F.lit(r"[+-]?[^+-]+"), F.lit(0))
+    terms = F.transform(parts, lambda p: F.struct(F.when(p.startswith("-"), -1).otherwise(1).alias("sign"), F.regexp_replace(p, "^[+-]", "").alias("label")))
+    return F.when(expression.rlike(r"^[+-]?[^+-]+([+-][^+-]+)*$"), terms)

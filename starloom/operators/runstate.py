@@ -39,3 +39,14 @@ def claim(df: DataFrame, status: str, expected: str, new: str) -> DataFrame:
     """Compare and set: rows in state `expected` move to `new`; `claimed` tells which did."""
     hit = F.coalesce(F.col(status) == expected, F.lit(False))
     return df.withColumns({"claimed": hit, status: F.when(hit, F.lit(new)).otherwise(F.col(status))})
+
+
+def fill_stages(targets: DataFrame, stages: list[str], present: DataFrame, key: str) -> DataFrame:
+    """(key, stage) of every target and stage that isn't present yet; the stages are a fixed, short list."""
+    wanted = targets.select(key).distinct().withColumn("stage", F.explode(F.array(*map(F.lit, stages))))
+    return missing(wanted, present, [key, "stage"])
+
+
+def ready(df: DataFrame, status: str, states: list[str], due: str, now, limit: int, order: list[str]) -> DataFrame:
+    """The next batch: rows in one of the states, due by `now` or without a time."""
+    return df.where(F.col(status).isin(*states) & (F.col(due).isNull() | (F.col(due) <= now))).orderBy(*order).limit(limit)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
@@ -65,3 +66,42 @@ def savgol(df: DataFrame, keys: Sequence[str], t: str, tie: str, value: str, win
 
     schema = df.withColumn("smooth", F.lit(0.0)).schema
     return df.groupBy(*keys).applyInPandas(smooth, schema)
+
+
+def weighted_window(keys: Sequence[str], t: str, tie: str, value: str, weights: Sequence[float]) -> Column:
+    """The weighted sum over the rows about each; null where the window leaves the sequence."""
+    w, half = Window.partitionBy(*keys).orderBy(t, tie), len(weights) // 2
+    terms = [F.lead(value, i - half).over(w) * float(x) for i, x in enumerate(weights)]
+    return functools.reduce(Column.__add__, terms)
+
+
+def percentile_norm(keys: Sequence[str], t: str, tie: str, value: str, half: int, low: float, high: float) -> Column:
+    """The value's place between two moving percentiles, within 0 and 1; null where they are equal."""
+    w = moving(keys, t, tie, half, half)
+    lo, hi = (F.percentile(value, F.lit(p)).over(w) for p in (low, high))
+    place = (F.col(value) - lo) / F.nullif(hi - lo, F.lit(0.0))
+    return F.when(place.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), place)))
+
+
+def adaptive_median(df: DataFrame, keys: Sequence[str], t: str, tie: str, value: str, levels: Sequence[tuple[float, int]], calm: int) -> DataFrame:
+    """Adds `smooth`: a moving median whose half width follows the local scatter.
+
+    The scatter is the moving (max - min) over one row to each side.  `levels` gives (scatter at least, half width) from
+    the most restless down; below all of them the half width is `calm`.
+    """
+    near = moving(keys, t, tie, 1, 1)
+    df = df.withColumn("__s", F.max(value).over(near) - F.min(value).over(near))
+    median = lambda half: F.percentile(value, F.lit(0.5)).over(moving(keys, t, tie, half, half))
+    smooth = median(calm)
+    for least, half in reversed(levels):
+        smooth = F.when(F.col("__s") >= least, median(half)).otherwise(smooth)
+    return df.withColumn("smooth", smooth).drop("__s")
+
+
+def frame_fallback(df: DataFrame, frame: str, raw: str, smooth: str, kappa: float) -> DataFrame:
+    """Adds `chosen`: the smooth value, or the raw one in frames whose median residual lies over kappa 1.4826 MAD off, and where smooth is null."""
+    medians = df.groupBy(frame).agg(F.percentile(F.col(raw) - F.col(smooth), F.lit(0.5)).alias("__r"))
+    middle = medians.agg(F.percentile("__r", F.lit(0.5)).alias("__m"))
+    spread = medians.join(F.broadcast(middle)).agg(F.first("__m").alias("__m"), (1.4826 * F.percentile(F.abs(F.col("__r") - F.col("__m")), F.lit(0.5))).alias("__s"))  # one row
+    outlying = medians.join(F.broadcast(spread)).select(frame, (F.abs(F.col("__r") - F.col("__m")) > kappa * F.col("__s")).alias("__out"))
+    return df.join(outlying, frame).withColumn("chosen", F.when(F.col("__out") | F.col(smooth).isNull(), F.col(raw)).otherwise(F.col(smooth))).drop("__out")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.session import checkpointed
+
 
 def _cells(df: DataFrame, x: str, y: str, radius: float, around: bool) -> DataFrame:
     cx, cy = F.floor(F.col(x) / radius), F.floor(F.col(y) / radius)
@@ -24,3 +26,31 @@ def within(left: DataFrame, right: DataFrame, radius: float, how: str = "inner")
     b = b.withColumnsRenamed({"__cx": "__rx", "__cy": "__ry"})
     on = (F.col("__cx") == F.col("__rx")) & (F.col("__cy") == F.col("__ry")) & (d2 <= radius * radius)
     return a.join(b, on, how).drop("__cx", "__cy", "__rx", "__ry")
+
+
+def nearest_within(left: DataFrame, right: DataFrame, radius: float, key: str, right_key: str) -> DataFrame:
+    """Rows of `left` (unique by `key`) with the nearest `right_key` within the radius, or null; ties go to the least."""
+    d2 = F.pow(F.col("x") - F.col("rx"), 2) + F.pow(F.col("y") - F.col("ry"), 2)
+    best = within(left.select(key, "x", "y"), right.select(right_key, "rx", "ry"), radius).groupBy(key).agg(F.min_by(right_key, F.struct(d2, F.col(right_key))).alias(right_key))
+    return left.join(best, key, "left")
+
+
+def greedy_thin(points: DataFrame, key: str, brightness: str, radius: float) -> DataFrame:
+    """Points (key, x, y, brightness) kept when taken from the brightest on, each at more than `radius` from all kept before; ties go to the least key.
+
+    Rounds instead of a sequence, with the same result: a point is kept once no undecided neighbour comes before it,
+    and its neighbours go.  The neighbours within the radius are joined once.  The number of rounds is the length of the
+    longest chain of ever fainter neighbours, not the number of points.
+    """
+    rank = F.struct((-F.col(brightness)).alias("b"), F.col(key).alias("k")).alias("rank")
+    all_points = points.select("x", "y", rank)
+    other = all_points.select(F.col("x").alias("rx"), F.col("y").alias("ry"), F.col("rank").alias("before"))
+    edges = checkpointed(within(all_points, other, radius).where("before < rank").select("rank", "before"))
+    undecided, kept = all_points.select("rank"), None
+    while not undecided.isEmpty():
+        blocked = edges.join(undecided.withColumnRenamed("rank", "before"), "before", "left_semi").select("rank").distinct()
+        new = undecided.join(blocked, "rank", "left_anti")
+        kept = checkpointed(new if kept is None else kept.union(new))
+        gone = edges.join(kept.withColumnRenamed("rank", "before"), "before", "left_semi").select("rank").distinct()
+        undecided = checkpointed(undecided.join(kept, "rank", "left_anti").join(gone, "rank", "left_anti"))
+    return points if kept is None else points.join(kept.select(F.col("rank.k").alias(key)), key, "left_semi")

@@ -54,3 +54,15 @@ def masked_sums(df: DataFrame, keys: Sequence[str], value: str, masked: Column)
 def snap_groups(df: DataFrame, steps: dict[str, float]) -> DataFrame:
     """Cells of the grid that values snap to (half to even), with their sizes; `steps` gives each column's step."""
     return df.groupBy(*((F.rint(F.col(c) / s) * s).alias(f"{c}_cell") for c, s in steps.items())).agg(F.count(F.lit(1)).alias("n"))
+
+
+def binned_clip(df: DataFrame, keys: Sequence[str], t: str, value: str, width: float, kappa: float) -> DataFrame:
+    """(keys, bin, t_mean, v_mean, n) over equal time bins from each key's first time; bins of three rows or more drop values over kappa 1.4826 MAD off their median."""
+    start = df.groupBy(*keys).agg(F.min(t).alias("__t0"))
+    rows = df.join(start, list(keys)).withColumn("bin", F.floor((F.col(t) - F.col("__t0")) / width))
+    by = [*keys, "bin"]
+    middle = rows.groupBy(*by).agg(F.percentile(value, F.lit(0.5)).alias("__m"), F.count(value).alias("__n"))
+    rows = rows.join(middle, by).withColumn("__d", F.abs(F.col(value) - F.col("__m")))
+    spread = rows.groupBy(*by).agg(F.percentile("__d", F.lit(0.5)).alias("__s"))
+    inside = rows.join(spread, by).where((F.col("__n") < 3) | (F.col("__d") <= kappa * 1.4826 * F.col("__s")))
+    return inside.groupBy(*by).agg(F.avg(t).alias("t_mean"), F.avg(value).alias("v_mean"), F.count(value).alias("n"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
@@ -22,3 +24,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Written down in the cluster's spark.checkpoint.dir, so that rounds don't lengthen the lineage; a temporary folder only where none is set."""
+    spark = df.sparkSession
+    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="starloom-"))
+    return df.checkpoint(eager=True)

@@ -6,6 +6,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
+from starloom.plans import survey_queries
 from starloom.plans.queries import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
@@ -34,3 +35,7 @@ def test_same_as_sql(spark, duck, name):
     at = sorted(range(len(names)), key=[c[0] for c in found.description].__getitem__)
     assert [found.description[i][0] for i in at] == names
     assert ours == sorted(tuple(plain(r[i]) for i in at) for r in found.fetchall())
+
+
+def test_all_registered():
+    assert survey_queries.aperture_flux in QUERIES.values()
