@@ -11,7 +11,7 @@ vocabulary become byte pieces; repeated rows and extra columns don't matter, as
 
 from __future__ import annotations
 
-import hashlib
+import itertools
 import re
 
 import numpy as np
@@ -25,6 +25,9 @@ MARK = "▁"
 #: No piece has the mark after another character, so a word starts at each mark that follows one.
 SEGMENT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
+#: The rank of a pair that no piece joins.
+NONE = np.iinfo(np.int64).max
+
 
 class PieceCoder:
     """Symbols below the vocabulary's size are its pieces; characters outside it get ids above, within one call."""
@@ -45,12 +48,15 @@ class PieceCoder:
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
                 pieces[p] = i
                 self.bytes_of[i] = p.replace(MARK, " ").encode("utf-8")
-        self.pieces = pieces
+        self.symbol_of = np.arange(self.size, self.size + 0x110000, dtype=np.int32)
+        for p, i in pieces.items():
+            if len(p) == 1:
+                self.symbol_of[ord(p)] = i
         _, rank = np.unique([-model.get_score(i) for i in range(self.size)], return_inverse=True)
         pairs = [
             (pieces[p[:k]] * self.size + pieces[p[k:]], i) for p, i in pieces.items() for k in range(1, len(p)) if p[:k] in pieces and p[k:] in pieces
         ]
-        keys, merged = np.array(pairs, np.int64).T if pairs else (np.empty(0, np.int64),) * 2
+        keys, merged = np.array(pairs or [(-2, -1)], np.int64).T  # at least one entry, which no pair of symbols equals
         order = np.argsort(keys)
         self.keys, self.merged = keys[order], merged[order]
         self.rank = rank.astype(np.int64)
@@ -60,26 +66,28 @@ class PieceCoder:
             self.safe[part[self.rank[self.merged] <= self.rank[part]]] = False
         self.memo = Memo(memo)
 
+    def _pairs(self, sym: np.ndarray, word: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(piece, rank) that the symbols at and after the places `at` merge to; -1 and NONE where they don't."""
+        after = np.minimum(at + 1, sym.size - 1)
+        left, right = sym[at], sym[after]
+        fits = (after > at) & (left < self.size) & (right < self.size) & (word[at] == word[after])
+        key = np.where(fits, left * self.size + right, -1)
+        place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        hit = self.keys[place] == key
+        made = np.where(hit, self.merged[place], -1)
+        return made, np.where(hit, self.rank[made], NONE)
+
     def merge_words(self, words: list[str]) -> list[list[int]]:
-        get, size = self.pieces.get, self.size
-        start = np.zeros(len(words) + 1, np.int64)
-        np.cumsum([len(w) for w in words], out=start[1:])
-        chars = "".join(words)
-        sym = np.array([get(c, size + ord(c)) for c in chars], np.int64)
-        word = np.repeat(np.arange(len(words)), np.diff(start))
+        points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        sym = self.symbol_of[points].astype(np.int64)
+        word = np.repeat(np.arange(len(words)), np.fromiter(map(len, words), np.int64, len(words)))
         done_sym, done_word = [], []
-        none = np.iinfo(np.int64).max
+        made, rank = self._pairs(sym, word, np.arange(sym.size))
         while sym.size:
-            left, right = sym[:-1], sym[1:]
-            key = np.where((left < size) & (right < size) & (word[:-1] == word[1:]), left * size + right, -1)
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            hit = self.keys[at] == key if len(self.keys) else np.zeros(len(key), bool)
-            made = np.where(hit, self.merged[at], -1)
-            rank = np.append(np.where(hit, self.rank[made], none), none)
             first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
             lengths = np.diff(np.append(first, sym.size))
             best = np.minimum.reduceat(rank, first)
-            active = np.repeat(best < none, lengths)
+            active = np.repeat(best < NONE, lengths)
             if not active.all():
                 done_sym.append(sym[~active])
                 done_word.append(word[~active])
@@ -87,7 +95,7 @@ class PieceCoder:
                 break
             # leftmost pair of the least rank in each word, and equal pieces further on
             cand = np.flatnonzero((rank == np.repeat(best, lengths)) & active)
-            seg = np.repeat(np.arange(len(first)), lengths)[cand]
+            seg = word[cand]
             head = np.append(True, seg[1:] != seg[:-1])
             lead = made[cand[np.maximum.accumulate(np.where(head, np.arange(len(cand)), 0))]]
             keep = head | ((made[cand] == lead) & self.safe[lead])
@@ -98,26 +106,36 @@ class PieceCoder:
             cand = cand[nth % 2 == 0]
             sym[cand] = made[cand]
             active[cand + 1] = False
-            sym, word = sym[active], word[active]
+            # only the pairs on both sides of a merged symbol are looked up again
+            moved = np.cumsum(active)[cand] - 1
+            sym, word, made, rank = sym[active], word[active], made[active], rank[active]
+            touched = np.concatenate((moved, moved[moved > 0] - 1))
+            made[touched], rank[touched] = self._pairs(sym, word, touched)
         sym, word = np.concatenate(done_sym), np.concatenate(done_word)
-        order = np.argsort(word, kind="stable")
-        cut = np.cumsum(np.bincount(word, minlength=len(words)))[:-1]
-        return [self._plain(x) for x in np.split(sym[order], cut)]
+        ids = sym[np.argsort(word, kind="stable")].tolist()
+        ends = np.cumsum(np.bincount(word, minlength=len(words))).tolist()
+        coded = [ids[a:b] for a, b in zip([0, *ends], ends)]
+        for i in np.unique(word[sym >= self.size]).tolist():
+            coded[i] = self._bytes(coded[i])
+        return coded
 
-    def _plain(self, symbols: np.ndarray) -> list[int]:
-        ids = symbols.tolist()
-        if max(ids) < self.size:
-            return ids
-        return [j for i in ids for j in ([i] if i < self.size else (self.byte_ids[b] for b in chr(i - self.size).encode("utf-8")))]
+    def _bytes(self, ids: list[int]) -> list[int]:
+        """Characters outside the vocabulary as byte pieces."""
+        return [j for i in ids for j in ([i] if i < self.size else (self.byte_ids[b] for b in chr(i - self.size).encode("utf-8", "surrogatepass")))]
 
     def encode(self, texts: list[str | None], eos: bool = True) -> list[list[int]]:
         split = [SEGMENT.findall((MARK + t).replace(" ", MARK)) if t else [] for t in texts]
-        new = list({w for ws in split for w in ws if w not in self.memo})
+        words = set().union(*split)
+        new = list(words - self.memo.keys())
         self.memo.make_room(len(new))
-        wanted = new if len(self.memo) else list({w for ws in split for w in ws})
-        coded = dict(zip(wanted, self.merge_words(wanted))) if wanted else {}
-        out = [[i for w in ws for i in (coded[w] if w in coded else self.memo[w])] + ([self.eos] if eos else []) for ws in split]
-        self.memo.update((w, c) for w, c in coded.items() if len(w) <= 64)
+        wanted = new if self.memo else list(words)
+        if wanted:
+            self.memo.update(zip(wanted, self.merge_words(wanted)))
+        end = [self.eos] if eos else []
+        out = [[*itertools.chain.from_iterable(map(self.memo.__getitem__, ws)), *end] for ws in split]
+        for w in wanted:  # long words seldom come again
+            if len(w) > 64:
+                del self.memo[w]
         return out
 
     def decode(self, ids: list[int]) -> str:
