@@ -18,16 +18,14 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.common import SPACE_CHARS, SPACES, fresh_name
+from starloom.llm.common import WORD, fresh_name
 
 SEED = 29
 
 
 def n_tokens(text: str = "text"):
     """Words as tokens: runs of characters that are no ASCII white space."""
-    value = F.trim(F.translate(F.coalesce(F.col(text), F.lit("")), SPACE_CHARS, " " * len(SPACE_CHARS)))
-    single = F.regexp_replace(value, " +", " ")
-    return F.when(value == "", F.lit(0)).otherwise(F.length(single) - F.length(F.translate(single, " ", "")) + 1).cast("long")
+    return F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)).cast("long")
 
 
 def temperature(tokens: dict, repetition: float | None = 2.0, entropy: float | None = None, steps: int = 60) -> float:
