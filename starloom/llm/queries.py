@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starloom.llm import chat_format, html_text, media, mixing, near_duplicates, piece_bpe, quality_classifier, quality_rules, sharding, token_counts
 from starloom.llm.common import table
+from starloom.llm.oracles import SQL
 
 
 def model_path() -> str:
@@ -80,4 +81,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
