@@ -4,7 +4,8 @@ A page is parsed into text blocks.  Where it marks its article (`article`, `main
 item property), the blocks inside are the text, less the furniture inside it.  Where it doesn't, the blocks outside
 recognised furniture are only candidates: the candidates' token streams of one host are concatenated,
 a suffix array finds the long substrings that distinct pages share, blocks covered by them are
-boilerplate, and the unique runs stay.  Article blocks are never removed for being repeated, since
+boilerplate, and the unique runs stay.  A large host is dealt over several suffix arrays; what pages of different
+parts share is found before by the 64-bit hashes of all windows of the least length.  Article blocks are never removed for being repeated, since
 pages of a host may share real passages.
 
 Defined cases: null or empty html gives an empty text; unclosed, stray and cut-off tags are tolerated;
@@ -14,6 +15,7 @@ host of its own; extra columns don't matter.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
 from html.parser import HTMLParser
@@ -24,7 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import map_rows
+from starloom.llm.common import Memo, map_rows, materialise
+from starloom.llm.near_duplicates import ODD, mix64
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED = frozenset(
@@ -171,8 +174,43 @@ def shared_tokens(tokens: np.ndarray, page: np.ndarray, length: int) -> np.ndarr
     return np.cumsum(out[:n]) > 0
 
 
-def keep_unique(pages: list[tuple[int, list[str]]], length: int, share: float = 0.5) -> list[list[str]]:
-    """Per page the blocks that shared substrings cover by less than `share`; short blocks are shared if they are repeated whole."""
+class WindowHasher:
+    """Hashes of a block's windows of `length` words, or of the whole block if it has fewer."""
+
+    def __init__(self, length: int) -> None:
+        self.length = length
+        self.known = Memo(500_000)
+
+    def word(self, w: str) -> int:
+        h = self.known.get(w)
+        if h is None:
+            self.known.make_room(1)
+            h = self.known[w] = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+        return h
+
+    def hashes(self, block: str) -> np.ndarray:
+        h = np.array([self.word(w) for w in block.split()], np.uint64)
+        size = min(self.length, len(h))
+        out = np.full(len(h) - size + 1, size, np.uint64)  # a short block never equals a window
+        for k in range(size):
+            out = mix64(out * ODD + h[k : k + len(out)] + np.uint64(k + 1))
+        return out.view(np.int64)
+
+
+def covered_tokens(hits: np.ndarray, size: int, length: int) -> np.ndarray:
+    """Which of a block's `size` tokens lie in a window that is hit; windows have `length` tokens, or all of a shorter block."""
+    ends = np.zeros(size + 1, np.int64)
+    start = np.flatnonzero(hits)
+    ends[start] += 1
+    np.add.at(ends, start + min(length, size), -1)
+    return np.cumsum(ends[:size]) > 0
+
+
+def keep_unique(pages: list[tuple[int, list[str]]], length: int, share: float = 0.5, marks: np.ndarray | None = None) -> list[list[str]]:
+    """Per page the blocks that shared substrings cover by less than `share`; short blocks are shared if they are repeated whole.
+
+    `marks` are hashes of windows and short blocks known to be shared with pages that aren't here.
+    """
     ids: dict[str, int] = {}
     tokens, owner, spans, separator = [], [], [], -1
     seen = Counter()
@@ -186,13 +224,22 @@ def keep_unique(pages: list[tuple[int, list[str]]], length: int, share: float =
             tokens += [*(ids.setdefault(w, len(ids)) for w in words), separator]
             owner += [number] * len(words) + [-1]
             separator -= 1  # a find never reaches over the end of a block
-    covered = np.append(0, np.cumsum(shared_tokens(np.array(tokens, np.int64), np.array(owner, np.int64), length)))
+    found = shared_tokens(np.array(tokens, np.int64), np.array(owner, np.int64), length)
+    marked = set()
+    if marks is not None and len(marks):
+        hasher = WindowHasher(length)
+        for (lo, hi), b in zip(spans, (b for _, blocks in pages for b in blocks)):
+            hits = np.isin(hasher.hashes(b), marks)
+            if hits.any():
+                found[lo:hi] |= covered_tokens(hits, hi - lo, length)
+                marked.add(lo)
+    covered = np.append(0, np.cumsum(found))
     at, out = iter(spans), []
     for _, blocks in pages:
         kept = []
         for b in blocks:
             lo, hi = next(at)
-            whole = hi - lo < length and per_block[b] > 1
+            whole = hi - lo < length and (per_block[b] > 1 or lo in marked)
             if not whole and covered[hi] - covered[lo] < share * (hi - lo):
                 kept.append(b)
         out.append(kept)
@@ -214,16 +261,40 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     parsed = map_rows(rows, make, "page_id long, url string, certain boolean, blocks array<string>")
     sure = parsed.where("certain").select("page_id", "url", F.array_join("blocks", "\n").alias("text"))
     host = F.lower(F.coalesce(F.regexp_extract("url", r"^[A-Za-z]+://([^/?#]*)", 1), F.lit("")))
-    open_pages = parsed.where("not certain").withColumn("host", host)
-    # A host beyond one group's bytes is split by page; its boilerplate repeats in each part.
+    open_pages = materialise(parsed.where("not certain").withColumn("host", host))  # read three times
+    # A host beyond one group's bytes is split by page; what its parts share is marked before.
     size = F.sum(F.length(F.array_join("blocks", " "))).alias("size")
     parts = open_pages.groupBy("host").agg(F.ceil((size + 1) / group_bytes).cast("int").alias("parts"))
-    dealt = open_pages.join(parts, "host").withColumn("part", F.pmod(F.xxhash64("page_id", "url"), F.col("parts")))
+    dealt = open_pages.join(parts, "host").withColumn("part", F.pmod(F.xxhash64("page_id", "url"), F.col("parts")).cast("int"))
+    marks = marks_across(dealt.where("parts > 1"), length)
 
-    def of_host(group: pd.DataFrame) -> pd.DataFrame:
+    def of_host(group: pd.DataFrame, marked: pd.DataFrame) -> pd.DataFrame:
         numbers = pd.factorize(group["page_id"])[0]
-        kept = keep_unique([(int(n), list(b)) for n, b in zip(numbers, group["blocks"])], length)
+        kept = keep_unique([(int(n), list(b)) for n, b in zip(numbers, group["blocks"])], length, marks=marked["mark"].to_numpy(np.int64))
         return pd.DataFrame({"page_id": group["page_id"], "url": group["url"], "text": ["\n".join(k) for k in kept]})
 
-    rest = dealt.groupBy("host", "part").applyInPandas(of_host, "page_id long, url string, text string")
+    pages_of, marks_of = dealt.drop("certain", "parts").groupBy("host", "part"), marks.groupBy("host", "part")
+    rest = pages_of.cogroup(marks_of).applyInPandas(of_host, "page_id long, url string, text string")
     return sure.unionByName(rest)
+
+
+def marks_across(dealt: DataFrame, length: int) -> DataFrame:
+    """(host, part, mark): hashes of the windows and short blocks that two distinct pages of a host have, for each part that has them."""
+
+    def make():
+        hasher = WindowHasher(length)
+
+        def run(b: pa.RecordBatch) -> pa.RecordBatch:
+            found = [np.unique(np.concatenate([hasher.hashes(x) for x in blocks])) if blocks else np.empty(0, np.int64) for blocks in b.column(3).to_pylist()]
+            row = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]), pa.int64())
+            cols = [b.column(i).take(row) for i in range(3)]
+            return pa.RecordBatch.from_arrays([*cols, pa.array(np.concatenate(found) if found else [], pa.int64())], names=["host", "part", "page_id", "mark"])
+
+        return run
+
+    windows = map_rows(dealt.select("host", "part", "page_id", "blocks"), make, "host string, part int, page_id long, mark long", 1 << 20)
+    page = F.col("page_id")
+    in_part = windows.groupBy("host", "mark", "part").agg(F.min(page).alias("low"), F.max(page).alias("high"), F.max(page.isNull()).alias("unnamed"))
+    two = (F.min("low") < F.max("high")) | (F.min("low").isNotNull() & F.max("unnamed"))  # rows without an id are one page
+    shared = in_part.groupBy("host", "mark").agg(F.collect_list("part").alias("parts"), two.alias("two")).where("two")
+    return shared.select("host", F.explode("parts").alias("part"), "mark")

@@ -77,6 +77,19 @@ def test_pages(spark):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+def test_parts_of_a_large_host_find_what_they_share(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    pool = [" ".join(word() for _ in range(rng.choice([3, 11, 12, 20, 30]))) for _ in range(40)]
+    rows = []
+    for i in range(60):
+        blocks = [rng.choice(pool) + (" " + " ".join(word() for _ in range(15)) if rng.random() < 0.4 else "") for _ in range(2)] + [f"{word()} {word()}"]
+        rows.append((None if i % 20 == 0 else i // 2 if i < 8 else i, f"http://h/{i}", "".join(f"<p>{b}</p>" for b in blocks)))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    whole, parts = ({r.url: r.text for r in html_text.extract(df, group_bytes=b).collect()} for b in (8 << 20, 500))
+    assert whole == parts and len(parts) == 60 and any(t.count("\n") < 2 for t in whole.values())
+
+
 def test_shared_tokens_by_brute_force():
     rng = random.Random(4)
     for _ in range(60):
