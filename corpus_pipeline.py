@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm import mixing, near_duplicates, piece_bpe, quality_classifier, quality_rules
-from starloom.llm.common import ensure_checkpoint_dir, table
+from starloom.llm.common import ensure_checkpoint_dir, fresh_name, materialise, table
 from starloom.llm.queries import model_path
 
 #: No stage can be written in SQL for any SQL engine: learned rules, trees, MinHash and BPE merges.
@@ -26,10 +26,13 @@ def classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The row with the least id of each group; rows without an id stay."""
-    found = near_duplicates.near_duplicates(docs)
-    drop = found.where("doc_id != group_id").select("doc_id").distinct()
-    return docs.join(drop, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group, that with the least id; rows without an id come last, and rows without words are groups of their own."""
+    row = fresh_name(docs, "row")
+    rows = materialise(docs.withColumn(row, F.monotonically_increasing_id()))  # ids may be repeated, shared or null
+    group = near_duplicates.near_duplicates(rows, key=row).select(F.col("doc_id").alias(row), "group_id")
+    joined = rows.select(row, "doc_id").join(group, row)
+    kept = joined.groupBy("group_id").agg(F.min_by(row, F.struct(F.col("doc_id").isNull(), "doc_id", row)).alias(row)).select(row)
+    return rows.join(kept, row, "left_semi").select(*docs.columns)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import numpy as np
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from starloom.llm import html_text, mixing, near_duplicates, sharding
 
 
@@ -146,6 +147,35 @@ def test_near_duplicates(spark):
     assert near_duplicates.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_duplicates_stage_keeps_one_row_a_group(spark):
+    rng = random.Random(9)
+    long = lambda: [f"v{rng.randrange(10**6)}" for _ in range(60)]
+    base, other, third, fourth = long(), long(), long(), long()
+    near = [*base[:-1], "changed"]
+    rows = [(1, base), (1, base), (1, base), (2, near), (2, other), (None, third), (None, third), (5, fourth), (None, fourth), (None, [*third[:-1], "x"]), (6, []), (6, [])]
+    df = spark.createDataFrame([(i, " ".join(t), "kept") for i, t in rows], "doc_id long, text string, row string")
+    out = corpus_pipeline.duplicates_stage(spark, df.repartition(3), "")
+    assert out.columns == df.columns
+    texts = dict(enumerate(" ".join(t) for _, t in rows))
+    links, groups, seen = plain_links(texts), [], set()
+    for i in texts:
+        todo, found = [i], {i}
+        while todo:
+            new = links[todo.pop()] - found
+            found |= new
+            todo += new
+        if i not in seen:
+            seen |= found
+            groups.append(found)
+    got = [(r.doc_id, r.text) for r in out.collect()]
+    assert len(got) == len(groups) == 6
+    for g in groups:
+        ids = [rows[i][0] for i in g if rows[i][0] is not None]
+        least = min(ids, default=None)
+        assert sum((least, texts[i]) in got for i in g if rows[i][0] == least) >= 1
+    assert Counter(i for i, _ in got) == Counter([1, 2, None, 5, 6, 6])
+
+
 def test_bands_reach_the_recall():
     bands, rows = near_duplicates.choose_bands(0.8)
     assert 1 - (1 - 0.8**rows) ** bands >= 0.99999 and bands * rows <= 256
