@@ -35,6 +35,23 @@ def nearest_within(left: DataFrame, right: DataFrame, radius: float, key: str, r
     return left.join(best, key, "left")
 
 
+def nearest(left: DataFrame, right: DataFrame, radius: float, key: str, right_key: str) -> DataFrame:
+    """Rows of `left` (unique by `key`) with the nearest `right_key` at any distance, ties to the least; null only without places.
+
+    `radius` is only the first one tried: it is doubled for the rows still without a match until none is left.
+    """
+    placed = lambda x, y: (F.abs(F.col(x)) < float("inf")) & (F.abs(F.col(y)) < float("inf"))
+    tiles = checkpointed(right.where(placed("rx", "ry")).select(right_key, "rx", "ry"))
+    todo = checkpointed(left.where(placed("x", "y")).select(key, "x", "y"))
+    found = todo.join(tiles.select(right_key), F.lit(False)).select(key, right_key)
+    while not tiles.isEmpty() and not todo.isEmpty():
+        tried = checkpointed(nearest_within(todo, tiles, radius, key, right_key))
+        found = found.union(tried.where(F.col(right_key).isNotNull()).select(key, right_key))
+        todo = tried.where(F.col(right_key).isNull()).drop(right_key)
+        radius *= 2
+    return left.join(found, key, "left")
+
+
 def greedy_thin(points: DataFrame, key: str, brightness: str, radius: float) -> DataFrame:
     """Points (key, x, y, brightness) kept when taken from the brightest on, each at more than `radius` from all kept before; ties go to the least key.
 

@@ -56,6 +56,14 @@ def nearest_tile(spark, d):
     return spatial.nearest_within(p, stars(spark, d), 100.0, "p_partkey", "s_suppkey").select("p_partkey", "s_suppkey")
 
 
+@query("""WITH p AS (SELECT p_partkey, p_partkey * 17 % 1000 AS x, p_partkey * 29 % 1000 AS y FROM part), s AS (SELECT s_suppkey, s_suppkey * 37 % 1000 AS rx, s_suppkey * 61 % 1000 AS ry FROM supplier)
+SELECT p_partkey, arg_min(s_suppkey, ((x - rx) * (x - rx) + (y - ry) * (y - ry), s_suppkey)) AS s_suppkey FROM p LEFT JOIN s ON true GROUP BY p_partkey""")
+def nearest_tile_unbounded(spark, d):
+    k = F.col("p_partkey")
+    p = T(spark, d, "part").select("p_partkey", (k * 17 % 1000).alias("x"), (k * 29 % 1000).alias("y"))
+    return spatial.nearest(p, stars(spark, d), 100.0, "p_partkey", "s_suppkey").select("p_partkey", "s_suppkey")
+
+
 @query(None)
 def greedy_thin(spark, d):
     k = F.col("c_custkey")

@@ -23,6 +23,17 @@ def test_greedy_thin(spark):
     assert spatial.greedy_thin(df.where("false"), "k", "b", 5.0).count() == 0
 
 
+def test_nearest_at_any_distance(spark):
+    rng = random.Random(4)
+    points = [(i, float(rng.randint(-500, 500)), float(rng.randint(-500, 500))) for i in range(80)]
+    tiles = [(i, rng.randint(0, 30), rng.randint(0, 30)) for i in range(6)]
+    left = spark.createDataFrame([*points, (80, None, 1.0), (81, float("nan"), 1.0)], "k long, x double, y double")
+    right = spark.createDataFrame([*tiles, (9, None, None)], "r long, rx long, ry long")
+    want = {k: min(tiles, key=lambda t: ((x - t[1]) ** 2 + (y - t[2]) ** 2, t[0]))[0] for k, x, y in points}
+    assert {r.k: r.r for r in spatial.nearest(left, right, 5.0, "k", "r").collect()} == {**want, 80: None, 81: None}
+    assert {r.r for r in spatial.nearest(left, right.where("false"), 5.0, "k", "r").collect()} == {None}
+
+
 def test_signed_terms(spark):
     rows = spark.createDataFrame([("a+b-c",), ("-a",), ("a+",), ("",), (None,)], "s string")
     got = [r[0] and [tuple(x) for x in r[0]] for r in rows.select(scalars.signed_terms(F.col("s"))).collect()]
