@@ -195,7 +195,9 @@ def similar_classes(df: DataFrame, key: str, text: str, n: int, threshold: float
     chosen = blocks.join(classes.select("class", "class_id", "size"), "class")
     # an id may stand at several texts: the class must agree as well
     texts = docs.join(chosen.select(F.col("class_id").alias("id")).distinct(), "id")
-    sets = sets_of(keyed_texts(texts), n).dropDuplicates(["class"]).join(chosen.select("class", "size", "block"), "class")
+    unnamed = chosen.where("class_id IS NULL").select("class")  # all its ids are null
+    unnamed = keyed_texts(docs.where("id IS NULL")).join(unnamed, "class", "left_semi").dropDuplicates(["class"])
+    sets = sets_of(keyed_texts(texts).unionByName(unnamed), n).dropDuplicates(["class"]).join(chosen.select("class", "size", "block"), "class")
     sets = materialise(sets)
     sides = pairs.select("a", "b", F.explode(F.array_distinct(F.array(F.struct(F.col("a").alias("k"), F.lit(0).alias("side")), F.struct(F.col("b").alias("k"), F.when(F.col("a") == F.col("b"), 0).otherwise(1).alias("side"))))).alias("s"))
     work = sides.join(sets, F.col("s.k") == F.col("block")).select("a", "b", F.col("s.side").alias("side"), "class", "size", "grams")

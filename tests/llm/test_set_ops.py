@@ -176,6 +176,17 @@ def test_duplicates_stage_keeps_one_row_a_group(spark):
     assert Counter(i for i, _ in got) == Counter([1, 2, None, 5, 6, 6])
 
 
+def test_links_of_texts_without_an_id(spark):
+    words = [f"u{i}" for i in range(60)]
+    bridge, one, two = list(words), [*words[:-5], *"abcde"], [*"fghij", *words[5:]]
+    rows = [(4, one), (None, bridge), (None, bridge), (3, two), (None, ["alone"] * 9)]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string")
+    links = plain_links({i: " ".join(t) for i, (_, t) in enumerate(rows)})
+    assert [len(links[i]) for i in range(5)] == [2, 3, 3, 2, 0]
+    got = Counter((r.doc_id, r.n_links, r.group_id) for r in near_duplicates.near_duplicates(df).collect())
+    assert got == {(4, 2, 3): 1, (3, 2, 3): 1, (None, 3, 3): 2, (None, 0, None): 1}
+
+
 def test_bands_reach_the_recall():
     bands, rows = near_duplicates.choose_bands(0.8)
     assert 1 - (1 - 0.8**rows) ** bands >= 0.99999 and bands * rows <= 256
