@@ -1,13 +1,15 @@
 """Learned decision lists over text statistics, all in DataFrame expressions.
 
 Sequential covering: each rule starts empty and grows by the threshold test that gains most on the
-growing two thirds of the labelled rows; it is then pruned test by test on the other third, and kept if
-it still separates well there.  Rows that it covers leave, and the next rule is learned.  Every step is
-one small aggregation; the driver holds nothing but counts per feature and bin.  The list becomes one
-ordered `when ... when ... otherwise` expression.
-
-Defined cases: a null text has no words; without labels, or with one class only, the list is empty and
-the base rules decide alone; equal rows get equal verdicts; extra columns don't matter.
+growing two thirds of the labelled rows; it is then pruned on the other third, where any of its tests may
+go, and kept if it still separates well there.  Rows that it covers leave, and the next rule is learned,
+until none is precise enough.  Every step is one small aggregation; the driver holds nothing but counts
+per feature and bin.  The list becomes one ordered `when ... when ... otherwise` expression.
+
+Defined cases: a null text has no words; a text of any length is counted whole; an empty table gives no
+rows; without labels, or with one class only, the list is empty and the base rules decide alone; equal
+and repeated rows get equal verdicts; an id with several labels counts with its largest; of extra columns
+only those named like a statistic are replaced by it in `text_statistics`, and none in `keep`.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import SPACE_CHARS, SPACES, WORD, fresh_name
+from starloom.llm.common import SPACE_CHARS, SPACES, WORD, fresh_name, materialise
 
 SYMBOLS = "#*$%&|<>"
 
@@ -48,34 +50,55 @@ def repeated_words(words: Column) -> Column:
     return F.when(n < 1, F.lit(0)).when(all_differ, F.lit(0)).otherwise(bound(sorted_windows, of_sorted))
 
 
-def text_statistics(df: DataFrame, text: str = "text") -> DataFrame:
-    """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long)."""
+STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
+def with_statistics(df: DataFrame, name: str, text: str = "text") -> DataFrame:
+    """Adds one struct column of all STATISTICS (long).
+
+    It is the row of a generator, which Spark neither copies into each of its uses nor pushes filters through.
+    """
     value = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(value, "\n", -1), lambda x: x.rlike(rf"[^{SPACES}]"))
     words = F.regexp_extract_all(value, F.lit(f"({WORD})"), 1)
-    once = fresh_name(df, "words")
     counted = bound(words, lambda w: F.struct(F.size(w).cast("long").alias("n"), repeated_words(w).cast("long").alias("repeated")))
-    return df.withColumn(once, counted).withColumns({
-        "n_words": F.col(once)["n"],
-        "word_chars": F.length(F.translate(value, SPACE_CHARS, "")).cast("long"),
-        "n_symbols": (F.length(value) - F.length(F.translate(value, SYMBOLS, ""))).cast("long"),
-        "n_dup_lines": bound(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
-        "n_repeat_words": F.col(once)["repeated"],
-    }).drop(once)
+    found = bound(counted, lambda c: F.struct(
+        c["n"].alias("n_words"),
+        F.length(F.translate(value, SPACE_CHARS, "")).cast("long").alias("word_chars"),
+        (F.length(value) - F.length(F.translate(value, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        bound(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
+        c["repeated"].alias("n_repeat_words"),
+    ))
+    return df.withColumn(name, F.explode(F.array(found)))
+
+
+def text_statistics(df: DataFrame, text: str = "text") -> DataFrame:
+    """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long)."""
+    once = fresh_name(df, "statistics")
+    return with_statistics(df, once, text).withColumns({n: F.col(f"`{once}`.{n}") for n in STATISTICS}).drop(once)
+
 
+def keep(df: DataFrame, rules: list[Rule], text: str = "text") -> DataFrame:
+    """The rows that the base rules and the list leave, with their own columns."""
+    once = fresh_name(df, "statistics")
+    return with_statistics(df, once, text).where(verdict(rules, f"`{once}`.")).drop(once)
 
-def base_failed() -> Column:
-    return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
+def base_failed(at: str = "") -> Column:
+    """`at` goes before the statistics' names, such as the name of a struct and a dot."""
+    n = F.col(f"{at}n_words")
+    return (n < 50) | (100 * F.col(f"{at}n_repeat_words") > 50 * n)
 
-def features() -> dict[str, Column]:
-    words = F.greatest(F.col("n_words"), F.lit(1))
+
+def features(at: str = "") -> dict[str, Column]:
+    n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words = (F.col(at + n) for n in STATISTICS)
+    words = F.greatest(n_words, F.lit(1))
     return {
-        "n_words": F.col("n_words").cast("double"),
-        "symbol_share": F.col("n_symbols") / F.greatest(F.col("word_chars"), F.lit(1)),
-        "dup_line_share": F.col("n_dup_lines") / words,
-        "repeat_share": F.col("n_repeat_words") / words,
-        "word_length": F.col("word_chars") / words,
+        "n_words": n_words.cast("double"),
+        "symbol_share": n_symbols / F.greatest(word_chars, F.lit(1)),
+        "dup_line_share": n_dup_lines / words,
+        "repeat_share": n_repeat_words / words,
+        "word_length": word_chars / words,
     }
 
 
@@ -85,8 +108,8 @@ class Test:
     above: bool
     threshold: float
 
-    def column(self) -> Column:
-        f = features()[self.feature]
+    def column(self, at: str = "") -> Column:
+        f = features(at)[self.feature]
         return f > self.threshold if self.above else f <= self.threshold
 
     def __str__(self) -> str:
@@ -99,8 +122,8 @@ class Rule:
 
     tests: tuple[Test, ...]
 
-    def column(self) -> Column:
-        return reduce(lambda a, b: a & b, [t.column() for t in self.tests])
+    def column(self, at: str = "") -> Column:
+        return reduce(lambda a, b: a & b, [t.column(at) for t in self.tests])
 
 
 def learn(
@@ -108,15 +131,13 @@ def learn(
     label: str = "quality",
     key: str = "doc_id",
     bins: int = 24,
-    max_rules: int = 4,
-    max_tests: int = 2,
     precision: float = 0.9,
     least: int = 3,
 ) -> list[Rule]:
     """A list of rejecting rules from rows with the statistics and a 0/1 label (0 is rejected)."""
     names = list(features())
     rows = labelled.where(F.col(label).isin(0, 1) & ~base_failed()).select(
-        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        *STATISTICS,
         (F.pmod(F.xxhash64(F.col(key)), F.lit(3)) < 2).alias("grow"),
         (F.col(label) == 0).cast("long").alias("bad"),
     )
@@ -133,13 +154,10 @@ def learn(
             edges = F.array(*map(F.lit, cuts[n])) if cuts[n] else F.array().cast("array<double>")
             binned = binned.withColumn(f"bin_{n}", bins_below(edges, f))
         rules: list[Rule] = []
-        for _ in range(max_rules if any(cuts.values()) else 0):
+        while any(cuts.values()):  # each rule covers `least` bad rows or more, so this ends
             left = reduce(lambda d, r: d.where(~r.column()), rules, binned)
             grown: list[Test] = []
-            while len(grown) < max_tests:
-                best = best_test(left, grown, cuts, least)
-                if best is None:
-                    break
+            while (best := best_test(left, grown, cuts, least)) is not None:  # each test leaves fewer rows
                 grown.append(best[0])
                 if best[1] >= 0.995:
                     break
@@ -204,29 +222,37 @@ def best_test(rows: DataFrame, grown: list[Test], cuts: dict[str, list[float]],
 
 
 def prune(rows: DataFrame, grown: list[Test], precision: float, least: int) -> Rule | None:
-    """The shortest prefix whose precision on the pruning rows is best; None if no prefix is precise enough on all rows."""
-    prefixes = [tuple(grown[: i + 1]) for i in range(len(grown))]
-    if not prefixes:
+    """Drops the test without which the rule does best on the pruning rows, while it does no worse; None if it isn't precise enough."""
+    if not grown:
         return None
-    held, all_rows = counts(rows, prefixes, False), counts(rows, prefixes, None)
-    ok = [
-        ((b + 0.5) / (n + 1), -len(p), p)
-        for p, (b, n), (ab, an) in zip(prefixes, held, all_rows)
-        if ab >= least and ab >= precision * an and (n == 0 or b >= precision * n)
-    ]
-    return Rule(max(ok, key=lambda x: x[:2])[2]) if ok else None
-
-
-def verdict(rules: list[Rule]) -> Column:
+    now = tuple(grown)
+    while True:
+        shorter = [now[:i] + now[i + 1 :] for i in range(len(now))] if len(now) > 1 else []
+        forms = [now, *shorter]
+        held, all_rows = counts(rows, forms, False), counts(rows, forms, None)
+        worth = [(b + 0.5) / (n + 1) for b, n in held]
+        best = max(range(1, len(forms)), key=worth.__getitem__, default=0)
+        if not best or worth[best] < worth[0]:
+            (b, n), (ab, an) = held[0], all_rows[0]
+            return Rule(now) if ab >= least and ab >= precision * an and (n == 0 or b >= precision * n) else None
+        now = forms[best]
+
+
+def verdict(rules: list[Rule], at: str = "") -> Column:
     """True where a document stays: the base rules first, then the learned list in order."""
-    out = F.when(base_failed(), F.lit(False))
+    out = F.when(base_failed(at), F.lit(False))
     for rule in rules:
-        out = out.when(rule.column(), F.lit(False))
+        out = out.when(rule.column(at), F.lit(False))
     return out.otherwise(F.lit(True))
 
 
-def train(documents: DataFrame, labels: DataFrame, key: str = "doc_id", sample: int = 20_000, **options) -> list[Rule]:
-    """Statistics of labelled documents, at most `sample` chosen by a hash of the id, then the list."""
+def train(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", sample: int = 20_000, **options) -> list[Rule]:
+    """Statistics of labelled documents, at most `sample` ids chosen by a hash of the id, then the list.
+
+    The labelled texts are written down before anything is computed from them: a filter on statistics would else be
+    pushed below the join, to all documents.
+    """
     wanted = labels.where(F.col("quality").isin(0, 1)).groupBy(key).agg(F.max("quality").alias("quality"))
     wanted = wanted.orderBy(F.xxhash64(key), key).limit(sample)  # so many small rows are broadcast
-    return learn(text_statistics(documents.select(key, "text").join(F.broadcast(wanted), key)).drop("text"), key=key, **options)
+    labelled = materialise(documents.select(key, F.col(text).alias("text")).join(F.broadcast(wanted), key))
+    return learn(materialise(text_statistics(labelled).drop("text")), key=key, **options)
