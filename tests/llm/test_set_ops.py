@@ -12,7 +12,7 @@ from starloom.llm import html_text, mixing, near_duplicates, sharding
 
 def test_shards_have_exact_sizes(spark):
     df = spark.createDataFrame([(i % 7, None if i % 5 else "x") for i in range(1003)], "key int, text string")
-    out = sharding.shard_rows(df, 16, rows_per_block=50, least_blocks=4).collect()
+    out = sharding.shard_rows(df.repartition(5), 16, rows_per_block=50).collect()
     slots = defaultdict(list)
     for r in out:
         slots[r.shard].append(r.slot)
@@ -21,6 +21,9 @@ def test_shards_have_exact_sizes(spark):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
     assert sharding.shard_rows(df.limit(0), 4).count() == 0
     assert {r.slot for r in sharding.shard_rows(df.limit(3), 16).collect()} == {0}
+    clash = df.withColumns({"shard": F.lit("x"), "slot": F.lit(None).cast("string"), "part": F.lit(1), "place": F.lit("y" * 100_000)})
+    again = sharding.shard_rows(clash, 4).collect()
+    assert {r.part for r in again} == {1} and Counter(r.shard for r in again) == {0: 251, 1: 251, 2: 251, 3: 250}
 
 
 def test_matrix_margins():
@@ -30,6 +33,30 @@ def test_matrix_margins():
     assert np.allclose(means, [[2.5, 7.5], [2.5, 7.5]], atol=0.15)
 
 
+def test_draws_from_large_urns():
+    rng = np.random.default_rng(3)
+    for good, bad, n in ((10**10, 3 * 10**10, 4 * 10**5), (7, 10**11, 10**10), (10**9, 10**9, 2 * 10**9 - 5), (5 * 10**8, 6 * 10**8, 1000)):
+        drawn = np.array([sharding.draw_one(rng, good, bad, n) for _ in range(400)])
+        p, all_ = good / (good + bad), good + bad
+        mean, deviation = n * p, np.sqrt(n * p * (1 - p) * (all_ - n) / (all_ - 1))
+        assert (drawn >= max(0, n - bad)).all() and (drawn <= min(good, n)).all()
+        assert abs(drawn.mean() - mean) < 5 * deviation / 20 + 1e-9 and 0.85 * deviation < drawn.std() < 1.15 * deviation
+    m = sharding.draw_matrix([10**10] * 8, [2 * 10**10] * 4, 2)
+    assert (m.sum(axis=0) == 2 * 10**10).all() and (m.sum(axis=1) == 10**10).all() and abs(m - 2.5 * 10**9).max() < 10**6
+
+
+def test_large_urns_as_small_ones(monkeypatch):
+    rng, small = np.random.default_rng(4), np.random.default_rng(5)
+    exact = np.bincount(small.hypergeometric(30, 50, 20, 20_000), minlength=21) / 20_000
+
+    class Urn:  # numpy's own draw is not to be used
+        random = rng.random
+
+    monkeypatch.setattr(sharding, "SMALL_URN", 0)
+    ours = np.bincount([sharding.draw_one(Urn, 30, 50, 20) for _ in range(20_000)], minlength=21) / 20_000
+    assert abs(ours - exact).max() < 0.015
+
+
 def test_temperature():
     tokens = {"a": 1000, "b": 100, None: 10, "z": 0}
     a = mixing.temperature(tokens, repetition=2.0)
