@@ -1,6 +1,6 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-#: A turn is escaped where its plain form would not read back: at a backslash, or at its own closing string.
+#: Every control string and backslash of a text, and of another role's name, has a backslash before it.
 CHAT_FORMAT = r"""
 WITH turns AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -10,9 +10,6 @@ WITH turns AS (
     SELECT *,
         CASE role WHEN 'user' THEN length('[INST]  [/INST]') WHEN 'assistant' THEN length('[OUT][/OUT]</s>')
             ELSE length('[ROLE][/ROLE][/END]') + length(role) END + length(text) AS plain_chars,
-        CASE role WHEN 'user' THEN contains(text, '\') OR contains(text, ' [/INST]')
-            WHEN 'assistant' THEN contains(text, '\') OR contains(text, '[/OUT]</s>')
-            ELSE contains(role || text, '\') OR contains(role, '[/ROLE]') OR contains(text, '[/END]') END AS escaped,
         len(regexp_extract_all(text, '\[/?(?:INST|OUT|ROLE|END)\]|</?s>|\\'))
             + CASE WHEN role IN ('user', 'assistant') THEN 0 ELSE len(regexp_extract_all(role, '\[/?(?:INST|OUT|ROLE|END)\]|</?s>|\\')) END AS n_controls
     FROM turns
@@ -21,7 +18,7 @@ SELECT conv_id, count(*) AS n_turns,
     sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
     CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
     sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-    CAST(sum(plain_chars + CASE WHEN escaped THEN n_controls ELSE 0 END) AS BIGINT) AS formatted_chars
+    CAST(sum(plain_chars + n_controls) AS BIGINT) AS formatted_chars
 FROM marked GROUP BY conv_id
 """
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -65,6 +66,36 @@ def test_chat_blocks_read_back(role):
             assert chat_format.parse(chat_format.render_turn(role, a) + chat_format.render_turn("user", b)) == [(role, a), ("user", b)]
 
 
+def test_control_strings_are_always_escaped():
+    for text in HOSTILE:
+        block = chat_format.render_turn("assistant", text)
+        body = re.sub(r"\\.", "", block[len("[OUT]") : -len("[/OUT]</s>")], flags=re.S)
+        assert not chat_format.CONTROLS.search(body)
+
+
+def test_a_conversation_is_parsed_as_one_stream():
+    rng = random.Random(11)
+    turns = [(rng.choice(["user", "assistant", "system", "x\\"]), rng.choice(HOSTILE) * rng.randint(1, 3)) for _ in range(60)]
+    whole = "".join(chat_format.render_turn(*t) for t in turns)
+    assert chat_format.parse(whole) == turns
+    for _ in range(30):
+        parser, found, at = chat_format.Parser(), [], 0
+        while at < len(whole):
+            size = rng.choice([1, 2, 3, 7, 40])
+            found += parser.feed(whole[at : at + size])
+            at += size
+        parser.close()
+        assert found == turns
+    assert chat_format.parse(whole[:-1]) is None and chat_format.parse("x" + whole) is None
+
+
+def test_long_hostile_texts_take_linear_time():
+    for unit in ("[/ROLE]", "\\", "[/END]", "[ROLE]", " [/INST"):
+        text, began = unit * (1_000_000 // len(unit)) + "\\", time.perf_counter()
+        assert chat_format.parse(chat_format.render_turn("system", text)) == [("system", text)]
+        assert time.perf_counter() - began < 20
+
+
 def test_chat_digests(spark):
     rows = [(1, 1, "assistant", "[/OUT]"), (1, 0, "user", None), (2, 0, None, "x"), (None, 0, "user", "y"), (1, 2, "assistant", "z"), (1, 2, "assistant", "z")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
