@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import itertools
-import tempfile
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -21,9 +21,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder the cluster names in spark.checkpoint.dir; a temporary one only where none is set."""
+    """Use the folder the cluster names in spark.checkpoint.dir; one in the warehouse, which is shared as well, only where none is set."""
     if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="starloom-"))
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.sql.warehouse.dir") + "/checkpoints")
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -32,6 +32,19 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share for intermediate tables."""
+    ensure_checkpoint_dir(spark)
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
+
+def written(df: DataFrame) -> DataFrame:
+    """As `materialise`, but in Parquet, which is smaller where values come again."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def fresh_name(df: DataFrame, stem: str) -> str:
     """A column name not used by `df`, so that extra columns of any name can't clash."""
     taken = {c.lower() for c in df.columns}

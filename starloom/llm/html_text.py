@@ -1,57 +1,89 @@
-"""Main text of web pages: block structure first, a host suffix array for what it leaves open.
-
-A page is parsed into text blocks.  Where it marks its article (`article`, `main` or their role or
-item property), the blocks inside are the text, less the furniture inside it.  Where it doesn't, the blocks outside
-recognised furniture are only candidates: the candidates' token streams of one host are concatenated,
-a suffix array finds the long substrings that distinct pages share, blocks covered by them are
-boilerplate, and the unique runs stay.  A large host is dealt over several suffix arrays; what pages of different
-parts share is found before by the 64-bit hashes of all windows of the least length.  Article blocks are never removed for being repeated, since
-pages of a host may share real passages.
-
-Defined cases: null or empty html gives an empty text; unclosed, stray and cut-off tags are tolerated;
-repeated rows are pages of their own, but a page_id counts once among distinct pages; a null url is a
-host of its own; extra columns don't matter.
+"""Main text of web pages: a host suffix array finds what pages share, block structure says how much sharing it takes.
+
+A page is parsed into text blocks.  The blocks of all pages of a host form one token stream, a suffix array finds
+the substrings of `length` tokens or more that distinct pages share, covered blocks are boilerplate and unique
+runs stay.  Blocks with fewer tokens are shared as a whole or not at all.  How many pages it takes depends on
+the structure that the page declares:
+
+    inside a marked article (`article`, `main`, their role or item property)
+        `article_pages` pages or more that are at least `article_share` of the host's: lines that a site puts into its
+        articles.  Fewer pages may quote the same passage.
+    on a page that marks no article
+        two pages.
+    outside the article, or in recognised furniture
+        never text.
+
+A large host is dealt over several suffix arrays by page.  A substring on `article_share` of the host's pages has
+that share in one of the parts, so the parts' finds are all the candidates, and these are counted again over
+all parts.  What two open pages of different parts share is found by the 64-bit hashes of their windows.  Results so
+don't depend on the split.
+
+Pages are parsed twice, once to hashed words, which are written down, and once to the texts that stay: written
+down, the texts would take more disk than the pages.
+
+Defined cases: null or empty html gives an empty text; unclosed, stray and cut-off tags are tolerated, in linear
+time; repeated rows are rows of their own, but a page_id counts once among distinct pages, and rows without one are
+one page; a null url is a host of its own; extra columns don't matter; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import Memo, map_rows, materialise
+from starloom.llm.common import Memo, map_rows, materialise, written
 from starloom.llm.near_duplicates import ODD, mix64
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-DROPPED = frozenset(
-    "head title script style noscript template nav header footer aside menu form button select textarea option label fieldset iframe object svg canvas audio video dialog".split()
-)
-BLOCKS = frozenset(
+#: Elements without text of their own, by whether they part the text about them.
+DROPPED_BLOCKS = frozenset("head title nav header footer aside menu form fieldset dialog".split())
+DROPPED_INLINE = frozenset("script style noscript template button select textarea option label iframe object svg canvas audio video".split())
+DROPPED = DROPPED_BLOCKS | DROPPED_INLINE
+BLOCKS = DROPPED_BLOCKS | frozenset(
     "address article blockquote body caption center dd details div dl dt figcaption figure h1 h2 h3 h4 h5 h6 html li main ol p pre section summary table tbody td tfoot th thead tr ul hr".split()
 )
 #: Start tags that close an open paragraph.
-CLOSES_P = BLOCKS - frozenset("body html td th tr caption".split())
-FURNITURE = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|adv|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notices?|popup|modal|overlay|newsletter|subscri\w*|sidebar|menu|nav|navbar|navigation|breadcrumbs?|footer|header|masthead|comments?|disqus|respond|replies|share|sharing|social|related|recommend\w*|widgets?|toolbar|pagination|pager|skip)(?:$|[\s_-])",
-    re.I,
+CLOSES_P = BLOCKS - frozenset("body html td th tr caption head title".split())
+#: A class or id names furniture if one of its parts is such a word and all others are words for places and shapes.
+FURNITURE = frozenset(
+    "ad ads advert adverts advertisement advertising adv banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription sidebar menu nav navbar navigation breadcrumb breadcrumbs footer header masthead comment comments disqus respond replies share sharing social related recommended recommendations widget widgets toolbar pagination pager skip".split()
+)
+SHAPES = frozenset(
+    "a area bar block body box bottom btn button buttons card cell column col container content form global group holder inner item items label left link links list main message module outer page panel primary region right row secondary section site slot sticky thread title top unit ul li wrap wrapper zone".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search menu menubar alert alertdialog dialog form".split())
 SCOPED = frozenset("div section ul ol li p span table dl figure details center font td a".split())
 
 
+def names_furniture(names: str) -> bool:
+    for name in names.lower().split():
+        parts = [p for p in re.split(r"[_\-\d]+", name) if p]
+        if any(p in FURNITURE for p in parts) and all(p in FURNITURE or p in SHAPES for p in parts):
+            return True
+    return False
+
+
 class PageParser(HTMLParser):
     """Collects (in_article, text) blocks in page order."""
 
+    #: What an implied end tag doesn't reach beyond.
+    BARRIERS = {"p": frozenset("article main section div td th li body table button".split()), "li": frozenset(("ul", "ol", "menu"))}
+
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, bool, bool]] = []  # tag, dropped, in article
+        self.places: dict[str, list[int]] = defaultdict(list)  # of each open tag in the stack
+        self.block_places: list[int] = []
+        self.barrier_places: dict[str, list[int]] = {"p": [], "li": []}
         self.blocks: list[tuple[bool, str]] = []
         self.run: list[str] = []
         self.has_article = False
@@ -66,33 +98,49 @@ class PageParser(HTMLParser):
                 self.blocks.append((self.state()[1], text))
             self.run = []
 
-    def pop(self, tag: str, until: frozenset = frozenset()) -> None:
-        """Close `tag` if it is open, but not beyond an element of `until`."""
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] == tag:
-                if any(t in BLOCKS for t, _, _ in self.stack[i:]):
-                    self.flush()
-                del self.stack[i:]
-                return
-            if self.stack[i][0] in until:
-                return
+    def push(self, tag: str, dropped: bool, inside: bool) -> None:
+        at = len(self.stack)
+        self.stack.append((tag, dropped, inside))
+        self.places[tag].append(at)
+        if tag in BLOCKS:
+            self.block_places.append(at)
+        for name, barriers in self.BARRIERS.items():
+            if tag in barriers:
+                self.barrier_places[name].append(at)
+
+    def pop(self, tag: str, beyond: list[int]) -> None:
+        """Close `tag` if it is open above the last place of `beyond`."""
+        at = self.places[tag]
+        if not at or (beyond and beyond[-1] > at[-1]):
+            return
+        cut = at[-1]
+        # a block's end parts the text, unless it lies in something dropped
+        if self.block_places and self.block_places[-1] >= cut and not (cut and self.stack[cut - 1][1]):
+            self.flush()
+        for name, _, _ in self.stack[cut:]:
+            self.places[name].pop()
+        del self.stack[cut:]
+        for places in (self.block_places, *self.barrier_places.values()):
+            while places and places[-1] >= cut:
+                places.pop()
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        if tag in CLOSES_P:
-            self.pop("p", frozenset("article main section div td th li body table button".split()))
-        if tag == "li":
-            self.pop("li", frozenset(("ul", "ol", "menu")))
-        if tag in BLOCKS or tag in DROPPED:
-            self.flush()
-        if tag == "br":
-            self.handle_data(" ")
+        dropped, inside = self.state()
+        if not dropped:
+            if tag in CLOSES_P:
+                self.pop("p", self.barrier_places["p"])
+            if tag == "li":
+                self.pop("li", self.barrier_places["li"])
+            if tag in BLOCKS:
+                self.flush()
+            if tag == "br":
+                self.handle_data(" ")
+            dropped, inside = self.state()
         if tag in VOID:
             return
         if tag == "body":
-            self.stack = [x for x in self.stack if x[0] != "head"]  # a head left open ends here
-            dropped, inside = any(x[1] for x in self.stack), False
-        else:
-            dropped, inside = self.state()
+            self.pop("head", [])  # a head left open ends here
+            dropped, inside = self.state()[0], False
         a = {k: v or "" for k, v in attrs}
         role = a.get("role", "").lower()
         if tag in ("article", "main") or role in ("main", "article") or a.get("itemprop", "").lower() == "articlebody":
@@ -100,9 +148,9 @@ class PageParser(HTMLParser):
             self.has_article = self.has_article or not dropped
         elif tag in DROPPED or role in ROLES or "hidden" in a or a.get("aria-hidden") == "true":
             dropped = True
-        elif tag in SCOPED and FURNITURE.search(f"{a.get('class', '')} {a.get('id', '')}"):
+        elif tag in SCOPED and not dropped and names_furniture(f"{a.get('class', '')} {a.get('id', '')}"):
             dropped = True
-        self.stack.append((tag, dropped, inside))
+        self.push(tag, dropped, inside)
 
     def handle_startendtag(self, tag: str, attrs) -> None:
         self.handle_starttag(tag, attrs)
@@ -110,10 +158,8 @@ class PageParser(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
-        if tag in VOID:
-            return
-        # an inline end tag doesn't reach past the block it stands in
-        self.pop(tag, frozenset() if tag in BLOCKS or tag in DROPPED else BLOCKS)
+        if tag not in VOID:  # an inline end tag doesn't reach past the block it stands in
+            self.pop(tag, [] if tag in BLOCKS or tag in DROPPED else self.block_places)
 
     def handle_data(self, data: str) -> None:
         if not self.state()[0]:
@@ -121,7 +167,7 @@ class PageParser(HTMLParser):
 
 
 def page_blocks(html: str | None) -> tuple[bool, list[str]]:
-    """(certain, blocks): the article's blocks, or candidate blocks where no article is marked."""
+    """(marked, blocks): the article's blocks, or candidate blocks where no article is marked."""
     parser = PageParser()
     parser.feed(html or "")
     parser.close()
@@ -131,8 +177,8 @@ def page_blocks(html: str | None) -> tuple[bool, list[str]]:
     return False, [t for _, t in parser.blocks]
 
 
-def suffix_array(tokens: np.ndarray) -> np.ndarray:
-    """Prefix doubling with numpy sorts."""
+def depth_order(tokens: np.ndarray, depth: int) -> np.ndarray:
+    """A suffix array by the first `depth` tokens or more: prefix doubling with numpy sorts."""
     n = len(tokens)
     rank = np.unique(tokens, return_inverse=True)[1].astype(np.int64) + 1
     step = 1
@@ -143,158 +189,236 @@ def suffix_array(tokens: np.ndarray) -> np.ndarray:
         order = np.argsort(key, kind="stable")
         new = np.empty(n, np.int64)
         new[order] = np.cumsum(np.append(True, np.diff(key[order]) != 0))
-        if new.max() == n or step >= n:
+        if new.max() == n or 2 * step >= min(n, depth):
             return order
         rank, step = new, step * 2
 
 
-def shared_tokens(tokens: np.ndarray, page: np.ndarray, length: int) -> np.ndarray:
-    """Which tokens lie in a substring of at least `length` tokens found on two distinct pages.
+def pages_sharing(tokens: np.ndarray, page: np.ndarray, length: int) -> np.ndarray:
+    """For each place, how many distinct pages have the `length` tokens that start there; 0 where a separator comes first.
 
-    `page` is -1 at separators, which have unique tokens.  Suffixes that agree in `length` tokens are
-    neighbours in the array, so runs of agreeing neighbours with more than one page are the finds.
+    `page` is -1 at separators, which have unique negative tokens.  Suffixes that agree in `length` tokens are
+    neighbours in the array.
     """
     n = len(tokens)
-    out = np.zeros(n + 1, np.int64)
-    if n <= length:
-        return out[:n] > 0
-    order = suffix_array(tokens)
+    out = np.zeros(n, np.int64)
+    if n < length:
+        return out
+    order = depth_order(tokens, length)
     agree = np.ones(n - 1, bool)
     a, b = order[:-1], order[1:]
     for k in range(length):
         ok = (a + k < n) & (b + k < n)
         agree &= ok & (tokens[np.minimum(a + k, n - 1)] == tokens[np.minimum(b + k, n - 1)])
     group = np.append(0, np.cumsum(~agree))
-    low, high = np.full(group[-1] + 1, n, np.int64), np.full(group[-1] + 1, -1, np.int64)
-    np.minimum.at(low, group, page[order])
-    np.maximum.at(high, group, page[order])
-    start = order[(low < high)[group]]
-    np.add.at(out, start, 1)
-    np.add.at(out, np.minimum(start + length, n), -1)
-    return np.cumsum(out[:n]) > 0
+    pairs = np.unique(group * (int(page.max(initial=0)) + 2) + page[order] + 1)
+    out[order] = np.bincount(pairs // (int(page.max(initial=0)) + 2), minlength=group[-1] + 1)[group]
+    # a start is whole if no separator lies in its tokens
+    ends = np.append(0, np.cumsum(page < 0))
+    place = np.arange(n)
+    whole = (place + length <= n) & (ends[np.minimum(place + length, n)] == ends[place])
+    return np.where(whole, out, 0)
 
 
-class WindowHasher:
-    """Hashes of a block's windows of `length` words, or of the whole block if it has fewer."""
+def shared_tokens(tokens: np.ndarray, page: np.ndarray, length: int) -> np.ndarray:
+    """Which tokens lie in a substring of at least `length` tokens found on two distinct pages."""
+    return covered_tokens(pages_sharing(tokens, page, length) > 1, len(tokens), length)
+
 
-    def __init__(self, length: int) -> None:
-        self.length = length
+class WordHasher:
+    """32-bit hashes of words."""
+
+    def __init__(self) -> None:
         self.known = Memo(500_000)
 
     def word(self, w: str) -> int:
         h = self.known.get(w)
         if h is None:
             self.known.make_room(1)
-            h = self.known[w] = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+            h = self.known[w] = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=4).digest(), "little", signed=True)
         return h
 
-    def hashes(self, block: str) -> np.ndarray:
-        h = np.array([self.word(w) for w in block.split()], np.uint64)
-        size = min(self.length, len(h))
-        out = np.full(len(h) - size + 1, size, np.uint64)  # a short block never equals a window
-        for k in range(size):
-            out = mix64(out * ODD + h[k : k + len(out)] + np.uint64(k + 1))
-        return out.view(np.int64)
+    def words(self, block: str) -> np.ndarray:
+        return np.array([self.word(w) for w in block.split()], np.int32)
+
+
+def window_hashes(words: np.ndarray, length: int) -> np.ndarray:
+    """64-bit hashes of a block's windows of `length` words, or of the whole block if it has fewer."""
+    size = min(length, len(words))
+    h, n = words.astype(np.int64), len(words) - size + 1
+    return hash_columns([h[k : k + n] for k in range(size)])
+
+
+def hash_columns(columns: list[np.ndarray]) -> np.ndarray:
+    """One hash of the k-th entries of all columns, and of their number."""
+    out = np.full(len(columns[0]), len(columns), np.uint64)  # a short block never equals a window
+    for k, h in enumerate(columns):
+        out = mix64(out * ODD + h.view(np.uint64) + np.uint64(k + 1))
+    return out.view(np.int64)
 
 
 def covered_tokens(hits: np.ndarray, size: int, length: int) -> np.ndarray:
     """Which of a block's `size` tokens lie in a window that is hit; windows have `length` tokens, or all of a shorter block."""
-    ends = np.zeros(size + 1, np.int64)
+    ends = np.zeros(size + length + 1, np.int64)
     start = np.flatnonzero(hits)
-    ends[start] += 1
+    np.add.at(ends, start, 1)
     np.add.at(ends, start + min(length, size), -1)
     return np.cumsum(ends[:size]) > 0
 
 
-def keep_unique(pages: list[tuple[int, list[str]]], length: int, share: float = 0.5, marks: np.ndarray | None = None) -> list[list[str]]:
-    """Per page the blocks that shared substrings cover by less than `share`; short blocks are shared if they are repeated whole.
-
-    `marks` are hashes of windows and short blocks known to be shared with pages that aren't here.
-    """
-    ids: dict[str, int] = {}
-    tokens, owner, spans, separator = [], [], [], -1
-    seen = Counter()
-    for number, blocks in pages:
-        seen.update({(number, b) for b in blocks})
-    per_block = Counter(b for _, b in seen)
-    for number, blocks in pages:
-        for b in blocks:
-            words = b.split()
-            spans.append((len(tokens), len(tokens) + len(words)))
-            tokens += [*(ids.setdefault(w, len(ids)) for w in words), separator]
-            owner += [number] * len(words) + [-1]
-            separator -= 1  # a find never reaches over the end of a block
-    found = shared_tokens(np.array(tokens, np.int64), np.array(owner, np.int64), length)
-    marked = set()
-    if marks is not None and len(marks):
-        hasher = WindowHasher(length)
-        for (lo, hi), b in zip(spans, (b for _, blocks in pages for b in blocks)):
-            hits = np.isin(hasher.hashes(b), marks)
-            if hits.any():
-                found[lo:hi] |= covered_tokens(hits, hi - lo, length)
-                marked.add(lo)
-    covered = np.append(0, np.cumsum(found))
-    at, out = iter(spans), []
-    for _, blocks in pages:
-        kept = []
-        for b in blocks:
-            lo, hi = next(at)
-            whole = hi - lo < length and (per_block[b] > 1 or lo in marked)
-            if not whole and covered[hi] - covered[lo] < share * (hi - lo):
-                kept.append(b)
-        out.append(kept)
+def host_of(url: Column) -> Column:
+    return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z]+://([^/?#]*)", 1), F.lit("")))
+
+
+class Page(NamedTuple):
+    number: int  # equal for rows of one page
+    marked: bool  # has an article
+    words: np.ndarray
+    ends: np.ndarray  # of its blocks
+
+    def blocks(self) -> list[np.ndarray]:
+        return np.split(self.words, self.ends[:-1]) if len(self.ends) else []
+
+
+def find_marks(pages: list[Page], length: int, least: float) -> np.ndarray:
+    """Hashes of the windows and short blocks on `least` distinct pages or more."""
+    tokens, owner, short = [], [], set()
+    for page in pages:
+        for x in page.blocks():
+            if len(x) < length:
+                short.add((page.number, int(window_hashes(x, length)[0])))
+            else:
+                # word hashes from 0 on, separators below
+                tokens += [x.astype(np.int64) + (1 << 31), np.array([-1 - len(tokens)])]
+                owner += [np.full(len(x), page.number), np.array([-1])]
+    found = np.array([h for h, n in Counter(h for _, h in short).items() if n >= least], np.int64)
+    if not tokens:
+        return found
+    flat = np.concatenate(tokens)
+    start = np.flatnonzero(pages_sharing(flat, np.concatenate(owner), length) >= least)
+    return np.unique(np.append(found, hash_columns([flat[start + k] - (1 << 31) for k in range(length)])))
+
+
+def dropped_blocks(page: Page, marks: np.ndarray, length: int, share: float = 0.5) -> list[int]:
+    """Numbers of the blocks that marked windows cover by `share` or more."""
+    out = []
+    for i, x in enumerate(page.blocks() if len(marks) else []):
+        hits = np.isin(window_hashes(x, length), marks)
+        if hits.any() and covered_tokens(hits, len(x), length).sum() >= share * len(x):
+            out.append(i)
     return out
 
 
-def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", length: int = 12, group_bytes: int = 8 << 20) -> DataFrame:
-    """(page_id, url, text) of every row."""
+def token_streams(rows: DataFrame) -> DataFrame:
+    """Rows (host, part, parts, host_pages, row_id, number, html) as streams: marked, words and ends for the html."""
 
     def make():
+        hasher = WordHasher()
+
         def run(b: pa.RecordBatch) -> pa.RecordBatch:
-            got = [page_blocks(h) for h in b.column(2).to_pylist()]
-            cols = [pa.array([c for c, _ in got], pa.bool_()), pa.array([x for _, x in got], pa.list_(pa.string()))]
-            return pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols], names=["page_id", "url", "certain", "blocks"])
+            marked, words, ends = [], [], []
+            for html in b.column(6).to_pylist():
+                has_article, blocks = page_blocks(html)
+                blocks = [hasher.words(x) for x in blocks]
+                marked.append(has_article)
+                words.append(np.concatenate(blocks) if blocks else np.empty(0, np.int32))
+                ends.append(np.cumsum([len(x) for x in blocks], dtype=np.int32))
+            cols = [pa.array(marked, pa.bool_()), pa.array(words, pa.list_(pa.int32())), pa.array(ends, pa.list_(pa.int32()))]
+            return pa.RecordBatch.from_arrays([*b.columns[:6], *cols], names=[*b.schema.names[:6], "marked", "words", "ends"])
 
         return run
 
-    rows = pages.select(F.col(key).cast("long").alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"))
-    parsed = map_rows(rows, make, "page_id long, url string, certain boolean, blocks array<string>")
-    sure = parsed.where("certain").select("page_id", "url", F.array_join("blocks", "\n").alias("text"))
-    host = F.lower(F.coalesce(F.regexp_extract("url", r"^[A-Za-z]+://([^/?#]*)", 1), F.lit("")))
-    open_pages = materialise(parsed.where("not certain").withColumn("host", host))  # read three times
-    # A host beyond one group's bytes is split by page; what its parts share is marked before.
-    size = F.sum(F.length(F.array_join("blocks", " "))).alias("size")
-    parts = open_pages.groupBy("host").agg(F.ceil((size + 1) / group_bytes).cast("int").alias("parts"))
-    dealt = open_pages.join(parts, "host").withColumn("part", F.pmod(F.xxhash64("page_id", "url"), F.col("parts")).cast("int"))
-    marks = marks_across(dealt.where("parts > 1"), length)
+    rows = rows.select("host", "part", "parts", "host_pages", "row_id", "number", "html")
+    return map_rows(rows, make, "host string, part int, parts int, host_pages long, row_id long, number long, marked boolean, words array<int>, ends array<int>")
 
-    def of_host(group: pd.DataFrame, marked: pd.DataFrame) -> pd.DataFrame:
-        numbers = pd.factorize(group["page_id"])[0]
-        kept = keep_unique([(int(n), list(b)) for n, b in zip(numbers, group["blocks"])], length, marks=marked["mark"].to_numpy(np.int64))
-        return pd.DataFrame({"page_id": group["page_id"], "url": group["url"], "text": ["\n".join(k) for k in kept]})
 
-    pages_of, marks_of = dealt.drop("certain", "parts").groupBy("host", "part"), marks.groupBy("host", "part")
-    rest = pages_of.cogroup(marks_of).applyInPandas(of_host, "page_id long, url string, text string")
-    return sure.unionByName(rest)
+def pages_of(group: pd.DataFrame) -> list[Page]:
+    numbers = pd.factorize(group["number"])[0]
+    return [Page(int(n), bool(m), np.asarray(w, np.int32), np.asarray(e, np.int64)) for n, m, w, e in zip(numbers, group["marked"], group["words"], group["ends"])]
 
 
-def marks_across(dealt: DataFrame, length: int) -> DataFrame:
-    """(host, part, mark): hashes of the windows and short blocks that two distinct pages of a host have, for each part that has them."""
+def windows_of(streams: DataFrame, length: int) -> DataFrame:
+    """(host, part, number, mark) of all windows and short blocks; with a column `marks`, of those among them."""
 
     def make():
-        hasher = WindowHasher(length)
-
         def run(b: pa.RecordBatch) -> pa.RecordBatch:
-            found = [np.unique(np.concatenate([hasher.hashes(x) for x in blocks])) if blocks else np.empty(0, np.int64) for blocks in b.column(3).to_pylist()]
+            found = []
+            for w, e, marks in zip(*(b.column(i).to_pylist() for i in (3, 4, 5))):
+                blocks = Page(0, True, np.array(w, np.int32), np.array(e, np.int64)).blocks()
+                here = np.unique(np.concatenate([window_hashes(x, length) for x in blocks])) if blocks else np.empty(0, np.int64)
+                found.append(here if marks is None else np.intersect1d(here, np.array(marks, np.int64)))
             row = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]), pa.int64())
-            cols = [b.column(i).take(row) for i in range(3)]
-            return pa.RecordBatch.from_arrays([*cols, pa.array(np.concatenate(found) if found else [], pa.int64())], names=["host", "part", "page_id", "mark"])
+            return pa.RecordBatch.from_arrays([*(b.column(i).take(row) for i in range(3)), pa.array(np.concatenate(found), pa.int64())], names=["host", "part", "number", "mark"])
+
+        return run
+
+    return map_rows(streams.select("host", "part", "number", "words", "ends", "marks"), make, "host string, part int, number long, mark long", 1 << 20)
+
+
+def marks_of_split_hosts(split: DataFrame, length: int, article_pages: int, article_share: float) -> DataFrame:
+    """(host, part, strong, mark) for hosts of several parts: strong ones count inside articles, others on open pages."""
+
+    def candidates(group: pd.DataFrame) -> pd.DataFrame:
+        pages = pages_of(group)
+        marks = find_marks(pages, length, article_share * len({p.number for p in pages}))
+        return pd.DataFrame({"host": np.repeat(group["host"].iloc[:1].to_numpy(), len(marks)), "mark": marks})
+
+    found = split.groupBy("host", "part").applyInPandas(candidates, "host string, mark long")
+    per_host = found.groupBy("host").agg(F.collect_set("mark").alias("marks"))  # a host's marks are few: each is on many of its pages
+    again = windows_of(split.join(per_host, "host"), length).select("host", "number", "mark").distinct()
+    enough = split.select("host", "parts", "host_pages").distinct()
+    counted = again.groupBy("host", "mark").agg(F.count(F.lit(1)).alias("n")).join(enough, "host")
+    counted = counted.where((F.col("n") >= article_pages) & (F.col("n") >= article_share * F.col("host_pages")))
+    strong = counted.select("host", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(True).alias("strong"), "mark")
+    open_windows = windows_of(split.where("not marked").withColumn("marks", F.lit(None).cast("array<long>")), length)
+    number = F.col("number")
+    in_part = open_windows.groupBy("host", "mark", "part").agg(F.min(number).alias("low"), F.max(number).alias("high"))
+    shared = in_part.groupBy("host", "mark").agg(F.collect_list("part").alias("parts"), (F.min("low") < F.max("high")).alias("two")).where("two")
+    return strong.unionByName(shared.select("host", F.explode("parts").alias("part"), F.lit(False).alias("strong"), "mark"))
+
+
+def extract(
+    pages: DataFrame,
+    key: str = "page_id",
+    url: str = "url",
+    html: str = "html",
+    length: int = 12,
+    article_pages: int = 8,
+    article_share: float = 0.6,
+    group_bytes: int = 8 << 20,
+) -> DataFrame:
+    """(page_id, url, text) of every row."""
+    rows = pages.select(F.col(key).cast("long").alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"))
+    # equal rows are equal pages, and a page_id counts once
+    rows = rows.withColumns({"row_id": F.xxhash64("page_id", "url", "html"), "number": F.xxhash64("page_id"), "host": host_of(F.col("url"))})
+    per_page = rows.groupBy("host", "number").agg(F.sum(F.coalesce(F.length("html"), F.lit(0))).alias("size"))
+    hosts = per_page.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"), F.ceil((F.sum("size") + 1) / group_bytes).cast("int").alias("parts"))
+    dealt = rows.join(hosts, "host").withColumn("part", F.pmod("number", F.col("parts")).cast("int"))
+    streams = written(token_streams(dealt))
+    marks = marks_of_split_hosts(streams.where("parts > 1"), length, article_pages, article_share)
+
+    def decide(group: pd.DataFrame, across: pd.DataFrame) -> pd.DataFrame:
+        found = pages_of(group)
+        strong, weak = (across["mark"][across["strong"] == s].to_numpy(np.int64) for s in (True, False))
+        if len(group) and group["parts"].iloc[0] == 1:
+            strong = find_marks(found, length, max(article_pages, article_share * int(group["host_pages"].iloc[0])))
+        weak = np.union1d(weak, find_marks([p for p in found if not p.marked], length, 2))
+        drops = [dropped_blocks(p, strong if p.marked else weak, length) for p in found]
+        return pd.DataFrame({"row_id": group["row_id"], "drops": drops})[[bool(x) for x in drops]]
+
+    of_part = streams.groupBy("host", "part").cogroup(marks.groupBy("host", "part"))
+    drops = of_part.applyInPandas(decide, "row_id long, drops array<int>").dropDuplicates(["row_id"]).withColumnRenamed("row_id", "dropped_row")
+    kept = rows.join(materialise(drops), F.col("row_id") == F.col("dropped_row"), "left").select("page_id", "url", "html", "drops")
+
+    def make():
+        def one(page: str | None, drops: list[int] | None) -> str:
+            blocks, gone = page_blocks(page)[1], set(drops or ())
+            return "\n".join(b for i, b in enumerate(blocks) if i not in gone)
+
+        def run(b: pa.RecordBatch) -> pa.RecordBatch:
+            text = [one(h, d) for h, d in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
+            return pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(text, pa.string())], names=["page_id", "url", "text"])
 
         return run
 
-    windows = map_rows(dealt.select("host", "part", "page_id", "blocks"), make, "host string, part int, page_id long, mark long", 1 << 20)
-    page = F.col("page_id")
-    in_part = windows.groupBy("host", "mark", "part").agg(F.min(page).alias("low"), F.max(page).alias("high"), F.max(page.isNull()).alias("unnamed"))
-    two = (F.min("low") < F.max("high")) | (F.min("low").isNotNull() & F.max("unnamed"))  # rows without an id are one page
-    shared = in_part.groupBy("host", "mark").agg(F.collect_list("part").alias("parts"), two.alias("two")).where("two")
-    return shared.select("host", F.explode("parts").alias("part"), "mark")
+    return map_rows(kept, make, "page_id long, url string, text string")

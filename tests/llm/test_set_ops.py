@@ -1,9 +1,11 @@
 """Operators on whole tables against plain versions."""
 
 import random
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -105,6 +107,52 @@ def test_pages(spark):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+def test_boilerplate_inside_articles_goes_by_coverage(spark):
+    rng = random.Random(12)
+    words = lambda n: " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(n))
+    letter, share, quote = words(14), "tell all your friends", words(30)
+    page = lambda i: f"<article><p>{words(25)}</p><p class=x{i}>{letter}</p><p>{share}</p><p>{quote if i % 3 == 0 else words(5)}</p></article>"
+    rows = [(i, f"http://h/{i}", page(i)) for i in range(30)] + [(i, f"http://few/{i}", page(i)) for i in range(100, 105)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for group_bytes in (8 << 20, 2000):  # one suffix array, and many
+        for r in html_text.extract(df, group_bytes=group_bytes).collect():
+            blocks = r.text.split("\n")
+            few = r.page_id >= 100  # too few pages to tell a custom of the host
+            assert (letter in blocks, share in blocks, len(blocks)) == ((True, True, 4) if few else (False, False, 2))
+            assert (quote in blocks) == (r.page_id % 3 == 0)  # a third of the pages may quote the same
+
+
+BLOCK_CASES = [
+    ("<p>one <script>..</script> two</p>", ["one two"]),
+    ("<p>one <button>x</button><svg><g><p>y</p></g></svg><label>z</label> two</p><select><option>q</select>", ["one two"]),
+    ("<p>one <noscript><div>no</div></noscript>two<p>three", ["one two", "three"]),
+    ("<p>a<nav><p>b</nav>c", ["a", "c"]),
+    ('<p class="share-price">12</p><div class="share-buttons">s</div><p id="ad-slot-3">t</p><div class="comment_list"><p>u</p></div>', ["12"]),
+    ("<ul><li>a<li>b<ul><li>c</ul><li>d</ul>", ["a", "b", "c", "d"]),
+    ("<p>a</i></b> b</p></p>c<br>d", ["a b", "c d"]),
+    ("<div>a<p>b</div>c<", ["a", "b", "c<"]),
+    ("a &lt;b&gt; &amp;&nbsp;&#228;&unknown;", ["a <b> & ä&unknown;"]),
+    ("<head><title>t</title>", []),
+    ("<head><title>t</title><body>x", ["x"]),
+    ("<div hidden>a</div><div aria-hidden=true>b</div><span role=search>c</span>d", ["d"]),
+    ("", []),
+    (None, []),
+]
+
+
+@pytest.mark.parametrize("html,blocks", BLOCK_CASES)
+def test_blocks(html, blocks):
+    assert html_text.page_blocks(html) == (False, blocks)
+    assert html_text.page_blocks(f"<nav>n</nav><article>{html or ''}</article><p>after") == (True, blocks) or html and "<head>" in html or (html or "").endswith("<")
+
+
+def test_deep_markup_takes_linear_time():
+    for html in ("<b>" * 100_000 + "<div>x</div>" * 20_000, "<p>" + "<b>" * 100_000 + "</i>" * 100_000, "<p><td>" + "<b>" * 50_000 + "<div>" * 50_000, "<li>" * 100_000):
+        began = time.perf_counter()
+        html_text.page_blocks(html)
+        assert time.perf_counter() - began < 10
+
+
 def test_parts_of_a_large_host_find_what_they_share(spark):
     rng = random.Random(8)
     word = lambda: "".join(rng.choices("abcdefgh", k=6))
