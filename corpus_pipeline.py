@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm import mixing, near_duplicates, piece_bpe, quality_classifier, quality_rules
-from starloom.llm.common import ensure_checkpoint_dir, fresh_name, materialise, table
+from starloom.llm.common import fresh_name, materialise, shared_folder, table
 from starloom.llm.queries import model_path
 
 #: No stage can be written in SQL for any SQL engine: learned rules, trees, MinHash and BPE merges.
@@ -17,7 +17,7 @@ ORACLE_SQL = None
 
 def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rules = quality_rules.train(docs, table(spark, sf_dir, "labels"))
-    return quality_rules.text_statistics(docs).where(quality_rules.verdict(rules)).select(*docs.columns)
+    return quality_rules.keep(docs, rules)
 
 
 def classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,9 +55,7 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows; every stage is written as Parquet in the shared folder and read again."""
-    ensure_checkpoint_dir(spark)
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    folder = f"{shared}/pipeline-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{i}")
