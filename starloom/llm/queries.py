@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm import chat_format, html_text, media, mixing, near_duplicates, piece_bpe, quality_classifier, quality_rules, sharding, token_counts
-from starloom.llm.common import table
+from starloom.llm.common import materialise, table
 from starloom.llm.oracles import SQL
 
 
@@ -53,8 +53,9 @@ def op6_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
-    return mixed.select("doc_id", "source", F.col("mix_tokens").alias("n_tokens"), "copy_no", "mix_block", "mix_order")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.n_tokens().alias("n_tokens"), F.xxhash64("text").alias("text_hash"))
+    mixed = mixing.mix(materialise(documents), tokens="n_tokens", identity=("doc_id", "text_hash"))
+    return mixed.select("doc_id", "source", "n_tokens", "copy_no", "mix_block", "mix_order")
 
 
 def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -91,6 +91,28 @@ def test_mix_keeps_every_row_and_meets_the_budget(spark):
     assert {c for c in df.columns} <= set(mixing.mix(df).columns)
 
 
+def test_mix_to_a_budget(spark):
+    rng = random.Random(5)
+    rows = [(i, "big" if i % 10 else rng.choice(["s1", "s2", None]), "w " * rng.randint(0, 9), "old", 7) for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string, copy_no string, h int")
+    tokens = Counter()
+    for _, s, t, _, _ in rows:
+        tokens[s] += len(t.split())
+    for budget, options in ((4000, {}), (40_000, {"repetition": 5.0}), (9000, {"entropy": 1.0})):
+        out = mixing.mix(df, budget=budget, rows_per_block=20, least_blocks=4, **options).collect()
+        reads = mixing.passes(tokens, mixing.temperature(tokens, budget=budget, **({"repetition": 2.0} | options)), budget)
+        assert abs(sum(reads[s] * tokens[s] for s in tokens) - budget) < 1e-6 * budget
+        got, copies = Counter(), Counter((r.doc_id, r.copy_no) for r in out)
+        for r in out:
+            got[r.source] += r.mix_tokens
+        assert max(copies.values()) == 1 and all(0 <= tokens[s] * reads[s] + 0.5 - got[s] < 10 for s in tokens)
+        assert {r.h for r in out} == {7} and len({r.mix_order for r in out}) == len(out)
+        in_order = sorted(out, key=lambda r: r.mix_order)
+        assert [r.mix_block for r in in_order] == sorted(r.mix_block for r in out)
+    many = spark.range(3000).selectExpr("id AS doc_id", "concat('s', id) AS source", "repeat('w ', cast(id % 5 AS int)) AS text")
+    assert mixing.mix(many, entropy=7.6).count() >= 3000 and mixing.mix(many).count() >= 3000  # any number of sources
+
+
 PAGE = (
     "<html><head><title>t</title></head><body><nav><ul><li>menu</ul></nav><div class='ad big'>buy</div><article><h1>Head &amp; more</h1>"
     "<p>one\n two<p>three <b>bold</b><script>var x='</p>'</script></p><div id=comments><p>reader</p></div><aside>side</aside></article><footer>&copy;</footer>"
