@@ -5,8 +5,15 @@ rank of every adjacent pair, takes the minimum of each word (segmented reduction
 occurrence, and in the same round all further non-overlapping ones where that cannot change the result,
 and compacts the array.  Words without a pair leave; the rounds end when none remains.
 
-Defined cases: a null text is empty; an empty text has only the end id; characters outside the
-vocabulary become byte pieces; repeated rows and extra columns don't matter, as every row is coded on its own.
+Long words would need a round for nearly every merge.  In them a round also merges each pair whose two outer
+boundaries are guarded: the guard of a boundary is the least rank of any piece that contains the symbols at
+its two sides as they stand.  Every later merge over the boundary makes such a piece, so a pair of a
+lesser rank than its guards is merged before either neighbour is touched, whatever happens elsewhere.  A boundary
+without such a piece parts the word into two that have nothing to do with each other.
+
+Defined cases: a null text is empty; an empty text has only the end id; a text of any length is coded whole; characters
+outside the vocabulary become byte pieces; an empty table gives no rows; repeated rows, ties and extra columns don't
+matter, as every row is coded on its own.
 """
 
 from __future__ import annotations
@@ -22,8 +29,10 @@ from pyspark.sql import functions as F
 from starloom.llm.common import Memo, map_rows
 
 MARK = "▁"
-#: No piece has the mark after another character, so a word starts at each mark that follows one.
+#: Where no piece has the mark after another character, a word starts at each mark that follows one.
 SEGMENT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+#: Words of more characters also use guards.
+LONG = 200
 
 #: The rank of a pair that no piece joins.
 NONE = np.iinfo(np.int64).max
@@ -65,6 +74,35 @@ class PieceCoder:
         for part in (self.keys // self.size, self.keys % self.size):
             self.safe[part[self.rank[self.merged] <= self.rank[part]]] = False
         self.memo = Memo(memo)
+        self.pieces = pieces
+        self.names = {i: p for p, i in pieces.items()}
+        self.spanned: dict[str, int] = {}
+        self.guards = Memo(memo)
+        # a vocabulary with marks inside its pieces has no words: its texts are coded whole
+        self.split = SEGMENT.findall if not any(re.search(f"[^{MARK}]{MARK}", p) for p in pieces) else lambda t: [t]
+
+    def _guards(self, sym: np.ndarray, word: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The least rank of a piece with the symbols at and after the places `at` in a row; NONE if there is none."""
+        if not self.spanned:  # of every string inside a piece the least rank of such a piece; built for the first long word
+            for p, i in self.pieces.items():
+                r = int(self.rank[i])
+                for a in range(len(p) - 1):
+                    for b in range(a + 2, len(p) + 1):
+                        if self.spanned.get(p[a:b], NONE) > r:
+                            self.spanned[p[a:b]] = r
+        after = np.minimum(at + 1, sym.size - 1)
+        left, right = sym[at], sym[after]
+        fits = (after > at) & (left < self.size) & (right < self.size) & (word[at] == word[after])
+        keys, place = np.unique(np.where(fits, left * self.size + right, -1), return_inverse=True)
+        found = []
+        for key in keys.tolist():
+            guard = self.guards.get(key)
+            if guard is None:
+                self.guards.make_room(1)
+                a, b = divmod(key, self.size)
+                guard = self.guards[key] = NONE if key < 0 else self.spanned.get(self.names[a] + self.names[b], NONE)
+            found.append(guard)
+        return np.array(found, np.int64)[place]
 
     def _pairs(self, sym: np.ndarray, word: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(piece, rank) that the symbols at and after the places `at` merge to; -1 and NONE where they don't."""
@@ -81,21 +119,27 @@ class PieceCoder:
         points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
         sym = self.symbol_of[points].astype(np.int64)
         word = np.repeat(np.arange(len(words)), np.fromiter(map(len, words), np.int64, len(words)))
-        done_sym, done_word = [], []
+        place, done_sym, done_place = np.arange(sym.size), [], []
+        starts = np.cumsum([0, *map(len, words)])
         made, rank = self._pairs(sym, word, np.arange(sym.size))
+        guarded = any(len(w) > LONG for w in words)
+        guard = self._guards(sym, word, np.arange(sym.size)) if guarded else rank
         while sym.size:
-            first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+            parted = word[1:] != word[:-1]
+            first = np.flatnonzero(np.append(True, parted | (guard[:-1] == NONE) if guarded else parted))
             lengths = np.diff(np.append(first, sym.size))
+            if guarded:
+                word = np.repeat(np.arange(len(first)), lengths)
             best = np.minimum.reduceat(rank, first)
             active = np.repeat(best < NONE, lengths)
             if not active.all():
                 done_sym.append(sym[~active])
-                done_word.append(word[~active])
+                done_place.append(place[~active])
             if not active.any():
                 break
             # leftmost pair of the least rank in each word, and equal pieces further on
             cand = np.flatnonzero((rank == np.repeat(best, lengths)) & active)
-            seg = word[cand]
+            seg = np.searchsorted(first, cand, side="right")
             head = np.append(True, seg[1:] != seg[:-1])
             lead = made[cand[np.maximum.accumulate(np.where(head, np.arange(len(cand)), 0))]]
             keep = head | ((made[cand] == lead) & self.safe[lead])
@@ -104,15 +148,23 @@ class PieceCoder:
             run = np.append(True, np.diff(cand) != 1)
             nth = np.arange(len(cand)) - np.maximum.accumulate(np.where(run, np.arange(len(cand)), 0))
             cand = cand[nth % 2 == 0]
+            if guarded:
+                before, after = np.append(NONE, guard[:-1]), np.append(guard[1:], NONE)
+                cand = np.union1d(cand, np.flatnonzero((rank < before) & (rank <= after) & (rank < NONE)))
             sym[cand] = made[cand]
             active[cand + 1] = False
             # only the pairs on both sides of a merged symbol are looked up again
             moved = np.cumsum(active)[cand] - 1
-            sym, word, made, rank = sym[active], word[active], made[active], rank[active]
+            sym, word, place, made, rank = sym[active], word[active], place[active], made[active], rank[active]
             touched = np.concatenate((moved, moved[moved > 0] - 1))
             made[touched], rank[touched] = self._pairs(sym, word, touched)
-        sym, word = np.concatenate(done_sym), np.concatenate(done_word)
-        ids = sym[np.argsort(word, kind="stable")].tolist()
+            guard = guard[active] if guarded else rank
+            if guarded:
+                guard[touched] = self._guards(sym, word, touched)
+        order = np.argsort(place := np.concatenate(done_place), kind="stable")
+        sym, place = np.concatenate(done_sym)[order], place[order]
+        word = np.searchsorted(starts, place, side="right") - 1
+        ids = sym.tolist()
         ends = np.cumsum(np.bincount(word, minlength=len(words))).tolist()
         coded = [ids[a:b] for a, b in zip([0, *ends], ends)]
         for i in np.unique(word[sym >= self.size]).tolist():
@@ -124,7 +176,7 @@ class PieceCoder:
         return [j for i in ids for j in ([i] if i < self.size else (self.byte_ids[b] for b in chr(i - self.size).encode("utf-8", "surrogatepass")))]
 
     def encode(self, texts: list[str | None], eos: bool = True) -> list[list[int]]:
-        split = [SEGMENT.findall((MARK + t).replace(" ", MARK)) if t else [] for t in texts]
+        split = [self.split((MARK + t).replace(" ", MARK)) if t else [] for t in texts]
         words = set().union(*split)
         new = list(words - self.memo.keys())
         self.memo.make_room(len(new))
