@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.operators import spatial
@@ -30,10 +30,10 @@ def dilate(marked: DataFrame, footprint: Sequence[OFFSET]) -> DataFrame:
 
 
 def mosaic(planes: DataFrame, offsets: dict[int, OFFSET]) -> DataFrame:
-    """Planes (plane, x, y, value) moved by their offset; where several overlap the least plane's known value stays."""
+    """Planes (plane, x, y, value) moved by their offset; where several overlap the last plane's known value stays."""
     at = F.create_map(*(c for k, o in offsets.items() for c in (F.lit(k), F.array(F.lit(o[0]), F.lit(o[1])))))[F.col("plane")]
     moved = planes.where("value is not null").withColumn("__at", at).withColumns({"x": F.col("x") + F.col("__at")[0], "y": F.col("y") + F.col("__at")[1]})
-    return moved.where("__at is not null").groupBy("x", "y").agg(F.min_by("value", F.struct("plane", "value")).alias("value"))
+    return moved.where("__at is not null").groupBy("x", "y").agg(F.max_by("value", F.struct("plane", "value")).alias("value"))
 
 
 def convolve(plane: DataFrame, kernel: dict[OFFSET, float]) -> DataFrame:
@@ -62,3 +62,61 @@ def aperture_photometry(plane: DataFrame, stars: DataFrame, key: str, radius: fl
         F.percentile(F.when(ring, F.col("value")), F.lit(0.5)).alias("sky"),
     )
     return sums.where("n_pix > 0").select(key, "n_pix", "sky", (F.col("total") - F.col("n_pix") * F.coalesce("sky", F.lit(0.0))).alias("flux"))
+
+
+def square_photometry(plane: DataFrame, stars: DataFrame, key: str, target: int, inner: int, outer: int, kappa: float = 3.0, rounds: int = 5) -> DataFrame:
+    """Per star (key, rx, ry at whole pixels): flux over a square of `target` pixels a side, the sky in it, and their difference.
+
+    The sky is the clipped median of the pixels between squares of `inner` and `outer` a side.  eflux comes from the plane's
+    column `noise` if it has one, else from the clipped sky's deviation.  A star's pixels are few and meet in one group.
+    """
+    far = lambda half: (F.abs(F.col("x") - F.col("rx")) <= half) & (F.abs(F.col("y") - F.col("ry")) <= half)
+    near = spatial.within(plane, stars, outer * 0.75).where(far(outer // 2))
+    noise = F.col("noise") if "noise" in plane.columns else F.lit(None).cast("double")
+    pixels = near.groupBy(key).agg(
+        F.sum(F.when(far(target // 2), F.col("value"))).alias("flux"),
+        F.sqrt(F.sum(F.when(far(target // 2), noise * noise))).alias("__noise"),
+        F.sort_array(F.collect_list(F.when(~far(inner // 2), F.col("value").cast("double")))).alias("__sky"),
+    )
+    for _ in range(rounds):
+        middle, spread = _median("__sky"), _deviation("__sky")
+        pixels = pixels.withColumn("__sky", F.filter("__sky", lambda v: F.abs(v - middle) <= kappa * spread))
+    area = target * target
+    sky = _median("__sky") * area
+    eflux = F.coalesce("__noise", _deviation("__sky") * area)
+    return pixels.select(key, "flux", sky.alias("sky"), (F.col("flux") - sky).alias("flux_wo_sky"), eflux.alias("eflux"))
+
+
+def _median(values: str) -> Column:
+    """Of a sorted array."""
+    n = F.size(values)
+    at = lambda i: F.get(F.col(values), i.cast("int"))
+    return (at(F.floor((n - 1) / 2)) + at(F.floor(n / 2))) / 2
+
+
+def _deviation(values: str) -> Column:
+    n = F.size(values)
+    mean = F.aggregate(values, F.lit(0.0), lambda a, v: a + v) / n
+    return F.sqrt(F.aggregate(values, F.lit(0.0), lambda a, v: a + (v - mean) * (v - mean)) / n)
+
+
+def block_reduce(plane: DataFrame, block: int, nx: int, ny: int) -> DataFrame:
+    """(bx, by, total, mean, n) of whole blocks; columns and rows beyond the last whole block are cut off."""
+    whole = plane.where((F.col("x") < nx // block * block) & (F.col("y") < ny // block * block))
+    cell = [F.floor(F.col(c) / block).cast("long").alias(f"b{c}") for c in ("x", "y")]
+    return whole.groupBy(*cell).agg(F.sum("value").alias("total"), F.avg("value").alias("mean"), F.count("value").alias("n"))
+
+
+def upsample(blocks: DataFrame, block: int, nx: int, ny: int, value: str) -> DataFrame:
+    """Every pixel of nx x ny with its block's value; pixels beyond the last block take the last one's."""
+    spread = lambda c, n: F.explode(F.sequence(F.col(c) * block, F.when(F.col(c) == n // block - 1, F.lit(n - 1)).otherwise(F.col(c) * block + block - 1)))
+    return blocks.withColumn("x", spread("bx", nx)).withColumn("y", spread("by", ny)).select("x", "y", value)
+
+
+def combine_bands(bands: DataFrame, keys: Sequence[str], value: str, noise: str, weight: str) -> DataFrame:
+    """(keys, value, noise): the weighted sum of a pixel's bands over the sum of weights, and its deviation from theirs."""
+    w = F.col(weight)
+    total = F.sum(F.when(F.col(value).isNotNull(), w))
+    mean = F.sum(F.col(value) * w) / F.nullif(total, F.lit(0))
+    spread = F.sqrt(F.sum(F.pow(w * F.col(noise), 2))) / F.nullif(total, F.lit(0))
+    return bands.groupBy(*keys).agg(mean.alias(value), spread.alias(noise))

@@ -6,11 +6,13 @@ import functools
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
+from starloom.operators import stats
+from starloom.session import checkpointed
+
 
 def gap_segments(df: DataFrame, keys: Sequence[str], t: str, tie: str, factor: float = 3.0) -> DataFrame:
     """Adds `segment` (long, from 0): a new one after each step above `factor` median steps of the key."""
@@ -21,7 +23,10 @@ def gap_segments(df: DataFrame, keys: Sequence[str], t: str, tie: str, factor: f
 
 
 def linear_fill(df: DataFrame, keys: Sequence[str], t: str, tie: str, value: str) -> DataFrame:
-    """Adds `filled`: missing values between two known ones, linear in time; the ends stay missing."""
+    """Adds `filled`: missing values between two known ones of the same keys, linear in time; the ends stay missing.
+
+    With `segment` among the keys nothing is filled across a gap.
+    """
     w = Window.partitionBy(*keys).orderBy(t, tie)
     back, ahead = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
     known_t = F.when(F.col(value).isNotNull(), F.col(t))
@@ -33,6 +38,15 @@ def linear_fill(df: DataFrame, keys: Sequence[str], t: str, tie: str, value: str
     return sides.withColumn("filled", F.coalesce(F.col(value), between, F.when(F.col("__t0") == F.col("__t1"), F.col("__v0")))).drop("__v0", "__t0", "__v1", "__t1")
 
 
+def clamped_fill(df: DataFrame, keys: Sequence[str], t: str, tie: str, value: str) -> DataFrame:
+    """As `linear_fill`, but the ends take the nearest known value, and keys without any 0."""
+    w = Window.partitionBy(*keys).orderBy(t, tie)
+    last = F.last(value, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    first = F.first(value, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
+    inside = linear_fill(df.withColumns({"__last": last, "__first": first}), keys, t, tie, value)
+    return inside.withColumn("filled", F.coalesce("filled", "__last", "__first", F.lit(0.0))).drop("__last", "__first")
+
+
 def moving(keys: Sequence[str], t: str, tie: str, before: int, after: int) -> WindowSpec:
     return Window.partitionBy(*keys).orderBy(t, tie).rowsBetween(-before, after)
 
@@ -45,27 +59,44 @@ def savgol_weights(window: int, order: int) -> np.ndarray:
 
 
 def savgol(df: DataFrame, keys: Sequence[str], t: str, tie: str, value: str, window: int = 5, order: int = 2) -> DataFrame:
-    """Adds `smooth`; both ends take the values of their outermost window's polynomial, shorter keys stay as they are.
+    """Adds `smooth`: the polynomial of the window about each row; both ends take their outermost window's polynomial.
 
-    One key's sequence is one group: a light curve, whose length the observing cadence bounds.
+    Keys shorter than the window use the largest odd window that fits them, and stay as they are where it would not exceed the
+    order.  All of it is one window expression of rows within reach, so no key is gathered in Python.
     """
-    names = list(df.columns)
-    weights = savgol_weights(window, order)
-    half = window // 2
-
-    def smooth(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values([t, tie])
-        v = group[value].to_numpy(float)
-        out = v.copy()
-        if len(v) >= window:
-            views = np.lib.stride_tricks.sliding_window_view(v, window)
-            out[half : len(v) - half] = views @ weights[half]
-            out[:half] = weights[:half] @ v[:window]
-            out[len(v) - half :] = weights[half + 1 :] @ v[-window:]
-        return group[names].assign(smooth=out)
-
-    schema = df.withColumn("smooth", F.lit(0.0)).schema
-    return df.groupBy(*keys).applyInPandas(smooth, schema)
+    w = Window.partitionBy(*keys).orderBy(t, tie)
+    at = df.withColumns({"__i": F.row_number().over(w) - 1, "__n": F.count(F.lit(1)).over(Window.partitionBy(*keys))})
+    i, n = F.col("__i"), F.col("__n")
+    smooth = F.col(value)
+    for size in range(1, window + 1, 2):  # the size that a key of n rows gets
+        if size <= order:
+            continue
+        weights = savgol_weights(size, order)
+        half = size // 2
+
+        def terms(row: int, first: int) -> Column:
+            """Weights of one place in the window, which begins at the offset `first`."""
+            return functools.reduce(Column.__add__, [F.lead(value, first + k).over(w) * float(x) for k, x in enumerate(weights[row])])
+
+        here = terms(half, -half)
+        for k in range(half):
+            here = F.when(i == k, terms(k, -k)).when(i == n - 1 - k, terms(size - 1 - k, k - size + 1)).otherwise(here)
+        smooth = F.when((n >= size) if size == window or size == window - 1 else n.between(size, size + 1), here).otherwise(smooth)
+    return at.withColumn("smooth", smooth).drop("__i", "__n")
+
+
+def clipped_savgol(df: DataFrame, keys: Sequence[str], t: str, tie: str, value: str, window: int = 5, order: int = 2, kappa: float = 3.0, gap: float = 3.0) -> DataFrame:
+    """Adds `segment` and `smooth`: segments between gaps are filled and smoothed, residuals beyond kappa robust deviations of their
+    segment are dropped and refilled, and the result is smoothed again."""
+    rows = gap_segments(df, keys, t, tie, gap)
+    by = [*keys, "segment"]
+    first = savgol(clamped_fill(rows, by, t, tie, value), by, t, tie, "filled", window, order)
+    residual = first.withColumn("__r", F.col(value) - F.col("smooth"))
+    scale = stats.robust_sigma(residual, by, "__r").select(*by, F.col("median").alias("__m"), F.col("sigma").alias("__s"))
+    good = F.abs(F.col("__r") - F.col("__m")) <= kappa * F.col("__s")
+    kept = residual.join(scale, by, "left").withColumn("__kept", F.when(good, F.col(value))).drop("filled", "smooth", "__r", "__m", "__s")
+    again = savgol(clamped_fill(kept, by, t, tie, "__kept"), by, t, tie, "filled", window, order)
+    return again.drop("filled", "__kept")
 
 
 def weighted_window(keys: Sequence[str], t: str, tie: str, value: str, weights: Sequence[float]) -> Column:
@@ -99,9 +130,14 @@ def adaptive_median(df: DataFrame, keys: Sequence[str], t: str, tie: str, value:
 
 
 def frame_fallback(df: DataFrame, frame: str, raw: str, smooth: str, kappa: float) -> DataFrame:
-    """Adds `chosen`: the smooth value, or the raw one in frames whose median residual lies over kappa 1.4826 MAD off, and where smooth is null."""
-    medians = df.groupBy(frame).agg(F.percentile(F.col(raw) - F.col(smooth), F.lit(0.5)).alias("__r"))
-    middle = medians.agg(F.percentile("__r", F.lit(0.5)).alias("__m"))
-    spread = medians.join(F.broadcast(middle)).agg(F.first("__m").alias("__m"), (1.4826 * F.percentile(F.abs(F.col("__r") - F.col("__m")), F.lit(0.5))).alias("__s"))  # one row
-    outlying = medians.join(F.broadcast(spread)).select(frame, (F.abs(F.col("__r") - F.col("__m")) > kappa * F.col("__s")).alias("__out"))
-    return df.join(outlying, frame).withColumn("chosen", F.when(F.col("__out") | F.col(smooth).isNull(), F.col(raw)).otherwise(F.col(smooth))).drop("__out")
+    """Adds `chosen`: the smooth value, or the raw one where smooth is null and in outlying frames.
+
+    A frame's residual is the median of |raw - smooth|; it is outlying above the median residual by kappa 1.4826 MAD.
+    """
+    away = df.select(frame, F.abs(F.col(raw) - F.col(smooth)).alias("__d"))
+    medians = checkpointed(stats.quantile(away, [frame], "__d", name="__r"))  # one row per frame
+    typical = medians.agg(F.percentile("__r", F.lit(0.5)).alias("__m"))
+    mad = medians.join(F.broadcast(typical)).agg(F.first("__m").alias("__m"), F.percentile(F.abs(F.col("__r") - F.col("__m")), F.lit(0.5)).alias("__s"))  # one row
+    outlying = medians.join(F.broadcast(mad)).where(F.col("__r") > F.col("__m") + kappa * 1.4826 * F.col("__s")).select(frame, F.lit(True).alias("__out"))
+    use_raw = F.col("__out").isNotNull() | F.col(smooth).isNull()
+    return df.join(outlying, frame, "left").withColumn("chosen", F.when(use_raw, F.col(raw)).otherwise(F.col(smooth))).drop("__out")

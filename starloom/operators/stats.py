@@ -4,37 +4,88 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from starloom.session import checkpointed
+
+
+def ranked(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """(keys, __x, __n, __upto): the distinct known values of each key, their numbers of rows, and the rows up to each in order.
+
+    Equal values are counted before they move, the distinct ones are dealt by range over many tasks, and what lies before a
+    task's values comes from one row per key and task: no key is in one task, and no task holds a column.
+    """
+    x = F.col(value).cast("double")
+    return in_order(df.where(x.isNotNull() & ~F.isnan(x)).groupBy(*keys, x.alias("__x")).agg(F.count(F.lit(1)).alias("__n")), keys)
+
+
+def in_order(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Adds __upto to rows (keys, __x, __n) of distinct values."""
+    dealt = checkpointed(counts.repartitionByRange(*keys, "__x").withColumn("__part", F.spark_partition_id()))
+    sums = dealt.groupBy(*keys, "__part").agg(F.sum("__n").alias("__s"))
+    before = F.sum("__s").over(Window.partitionBy(*keys).orderBy("__part")) - F.col("__s")
+    inside = F.sum("__n").over(Window.partitionBy(*keys, "__part").orderBy("__x"))
+    both = dealt.join(sums.withColumn("__before", before).drop("__s"), [*keys, "__part"])
+    return checkpointed(both.withColumn("__upto", inside + F.col("__before")).drop("__part", "__before"))
+
+
+def quantile_of(values: DataFrame, keys: Sequence[str], p: float, name: str) -> DataFrame:
+    """(keys, name) of `ranked` rows or an interval of them: linear between the two nearest ranks."""
+    ends = values.groupBy(*keys).agg(F.min(F.col("__upto") - F.col("__n")).alias("__first"), F.max("__upto").alias("__last"))
+    place = F.lit(p) * (F.col("__last") - F.col("__first") - 1) + F.col("__first")
+    holds = lambda rank: F.when((F.col("__upto") > rank) & (F.col("__upto") - F.col("__n") <= rank), F.col("__x"))
+    found = values.join(ends, list(keys)).groupBy(*keys).agg(F.max(place).alias("__p"), F.max(holds(F.floor(place))).alias("__a"), F.max(holds(F.ceil(place))).alias("__b"))
+    return found.select(*keys, (F.col("__a") + (F.col("__b") - F.col("__a")) * (F.col("__p") - F.floor("__p"))).alias(name))
+
+
+def quantile(df: DataFrame, keys: Sequence[str], value: str, p: float = 0.5, name: str = "median") -> DataFrame:
+    """Exact quantiles of keys with any number of rows; nulls and NaN don't count."""
+    return quantile_of(ranked(df, keys, value), keys, p, name)
+
 
 def sigma_clip(df: DataFrame, keys: Sequence[str], value: str, kappa: float = 3.0, rounds: int = 5) -> DataFrame:
     """Per key the bounds (lo, hi) after `rounds` of clipping at median +- kappa population deviations.
 
-    Each round is one aggregation with partial combination; the bounds come back by a join whose
-    small side Spark may broadcast by its own size check.  NaN counts as missing.
+    The values are ranked once; each round reads them twice, for the median and the deviation between the last bounds.
+    NaN counts as missing.
     """
-    x = F.when(~F.isnan(value), F.col(value))
-    rows = df.select(*keys, x.alias("__x")).where("__x is not null")
-    bounds = None
+    return clip_ranked(ranked(df, keys, value), keys, kappa, rounds)
+
+
+def clip_ranked(values: DataFrame, keys: Sequence[str], kappa: float, rounds: int) -> DataFrame:
+    bounds, left = None, values
     for _ in range(rounds):
-        left = rows if bounds is None else rows.join(bounds, list(keys)).where(F.col("__x").between(F.col("lo"), F.col("hi"))).drop("lo", "hi")
-        agg = left.groupBy(*keys).agg(F.percentile("__x", F.lit(0.5)).alias("m"), F.stddev_pop("__x").alias("s"))
-        bounds = agg.select(*keys, (F.col("m") - kappa * F.col("s")).alias("lo"), (F.col("m") + kappa * F.col("s")).alias("hi"))
+        if bounds is not None:
+            left = values.join(bounds, list(keys)).where(F.col("__x").between(F.col("lo"), F.col("hi"))).drop("lo", "hi")
+        middle = quantile_of(left, keys, 0.5, "__m")
+        away = F.col("__x") - F.col("__m")  # sums about the median lose no digits
+        n, s, s2 = F.sum("__n"), F.sum(F.col("__n") * away), F.sum(F.col("__n") * away * away)
+        spread = left.join(middle, list(keys)).groupBy(*keys).agg(F.max("__m").alias("__m"), F.sqrt(F.greatest(s2 / n - F.pow(s / n, 2), F.lit(0.0))).alias("__s"))
+        bounds = checkpointed(spread.select(*keys, (F.col("__m") - kappa * F.col("__s")).alias("lo"), (F.col("__m") + kappa * F.col("__s")).alias("hi")))
     return bounds
 
 
 def sigma_clip_mean(df: DataFrame, keys: Sequence[str], value: str, kappa: float = 3.0, rounds: int = 5) -> DataFrame:
-    bounds = sigma_clip(df, keys, value, kappa, rounds)
-    inside = df.join(bounds, list(keys)).where(F.col(value).between(F.col("lo"), F.col("hi")))
-    return inside.groupBy(*keys).agg(F.avg(value).alias("clipped_mean"), F.count(value).alias("n"))
+    values = ranked(df, keys, value)
+    inside = values.join(clip_ranked(values, keys, kappa, rounds), list(keys)).where(F.col("__x").between(F.col("lo"), F.col("hi")))
+    return inside.groupBy(*keys).agg((F.sum(F.col("__x") * F.col("__n")) / F.sum("__n")).alias("clipped_mean"), F.sum("__n").alias("n"))
+
+
+def robust_scale(mad: Column, median: Column) -> Column:
+    """1.4826 MAD, and never quite 0."""
+    return 1.4826 * F.greatest(mad, 1e-12 * (1 + F.abs(median)))
 
 
 def robust_sigma(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """(median, 1.4826 MAD) per key."""
-    middle = df.groupBy(*keys).agg(F.percentile(value, F.lit(0.5)).alias("median"))
-    away = df.join(middle, list(keys)).withColumn("__d", F.abs(F.col(value) - F.col("median")))
-    return away.groupBy(*keys, "median").agg((1.4826 * F.percentile("__d", F.lit(0.5))).alias("sigma"))
+    """(keys, median, sigma) with a sigma of 1.4826 MAD, for keys with any number of rows."""
+    values = ranked(df, keys, value)
+    middle = checkpointed(quantile_of(values, keys, 0.5, "median"))
+    away = values.join(middle, list(keys)).select(*keys, F.abs(F.col("__x") - F.col("median")).alias("__d"), F.col("__n").alias("__times"))
+    # the distances have an order of their own
+    again = in_order(away.groupBy(*keys, "__d").agg(F.sum("__times").alias("__n")).withColumnRenamed("__d", "__x"), keys)
+    mad = quantile_of(again, keys, 0.5, "__mad")
+    return middle.join(mad, list(keys)).select(*keys, "median", robust_scale(F.col("__mad"), F.col("median")).alias("sigma"))
 
 
 def one_pass_clip(df: DataFrame, keys: Sequence[str], value: str, kappa: float) -> DataFrame:
@@ -57,12 +108,37 @@ def snap_groups(df: DataFrame, steps: dict[str, float]) -> DataFrame:
 
 
 def binned_clip(df: DataFrame, keys: Sequence[str], t: str, value: str, width: float, kappa: float) -> DataFrame:
-    """(keys, bin, t_mean, v_mean, n) over equal time bins from each key's first time; bins of three rows or more drop values over kappa 1.4826 MAD off their median."""
+    """(keys, bin, t_mean, v_mean, n) over equal time bins from each key's first time.
+
+    Bins of three rows or more drop values over kappa robust deviations off their median; means of a bin that loses all are null.
+    A bin's rows are bounded by its width in time.
+    """
     start = df.groupBy(*keys).agg(F.min(t).alias("__t0"))
     rows = df.join(start, list(keys)).withColumn("bin", F.floor((F.col(t) - F.col("__t0")) / width))
     by = [*keys, "bin"]
-    middle = rows.groupBy(*by).agg(F.percentile(value, F.lit(0.5)).alias("__m"), F.count(value).alias("__n"))
+    middle = rows.groupBy(*by).agg(F.percentile(value, F.lit(0.5)).alias("__m"), F.count(value).alias("__k"))
     rows = rows.join(middle, by).withColumn("__d", F.abs(F.col(value) - F.col("__m")))
     spread = rows.groupBy(*by).agg(F.percentile("__d", F.lit(0.5)).alias("__s"))
-    inside = rows.join(spread, by).where((F.col("__n") < 3) | (F.col("__d") <= kappa * 1.4826 * F.col("__s")))
-    return inside.groupBy(*by).agg(F.avg(t).alias("t_mean"), F.avg(value).alias("v_mean"), F.count(value).alias("n"))
+    inside = (F.col("__k") < 3) | (F.col("__d") <= kappa * robust_scale(F.col("__s"), F.col("__m")))
+    kept = lambda c: F.when(inside, F.col(c))
+    return rows.join(spread, by).groupBy(*by).agg(F.avg(kept(t)).alias("t_mean"), F.avg(kept(value)).alias("v_mean"), F.count(kept(value)).alias("n"))
+
+
+def positive_clipped_mean(df: DataFrame, value: str, kappa: float = 3.0, rounds: int = 5, name: str = "reference") -> DataFrame:
+    """One row: the clipped mean of the positive, finite values of the whole table."""
+    rows = df.where((F.col(value) > 0) & (F.col(value) < float("inf"))).select(F.lit(1).alias("__one"), value)
+    return sigma_clip_mean(rows, ["__one"], value, kappa, rounds).select(F.col("clipped_mean").alias(name))
+
+
+def first_seen_groups(df: DataFrame, order: Sequence[str], steps: dict[str, float], valid: Column) -> DataFrame:
+    """Adds group_id (from 0 in the order in which a cell is first seen, -1 for rows that aren't valid) and each column's cell, group_<column>."""
+    cells = {c: F.round(F.rint(F.col(c) / s) * s, 6) for c, s in steps.items()}
+    ok = F.coalesce(valid, F.lit(False))
+    for c in steps:
+        ok = ok & F.col(c).isNotNull() & ~F.isnan(c)
+    rows = df.withColumns({f"group_{c}": F.when(ok, cell) for c, cell in cells.items()})
+    names = [f"group_{c}" for c in steps]
+    # one row per group: groups are pointings, few against frames
+    first = rows.where(ok).groupBy(*names).agg(F.min(F.struct(*order)).alias("__first"))
+    number = first.withColumn("group_id", (F.row_number().over(Window.orderBy("__first")) - 1).cast("int")).drop("__first")
+    return rows.join(number, names, "left").withColumn("group_id", F.coalesce("group_id", F.lit(-1)))

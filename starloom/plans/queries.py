@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from starloom.functions import scalars
+from starloom.functions import names, scalars
 from starloom.operators import runstate, select, sequence, spatial, stats
 from starloom.sources import tables
 
@@ -91,7 +91,7 @@ SELECT e.event_id, e.value AS flux_uncal, round(coalesce(e.value * r.ref / c.ker
 FROM events e CROSS JOIN r LEFT JOIN c ON e.user_id = c.c_custkey""")
 def calib_left_join(spark, d):
     c = T(spark, d, "customer").where("c_nationkey % 7 <> 0").select("c_custkey", (F.lit(0.02) + (F.col("c_nationkey") % 5) * F.lit(0.002)).alias("kernel"))
-    ref = c.agg(F.percentile("kernel", F.lit(0.5)).alias("ref"))  # one row
+    ref = stats.quantile(c.select(F.lit(1).alias("one"), "kernel"), ["one"], "kernel", name="ref").select("ref")  # one row
     e = T(spark, d, "events").join(c, F.col("user_id") == F.col("c_custkey"), "left").join(F.broadcast(ref))
     v = F.col("value")
     return e.select("event_id", v.alias("flux_uncal"), r6(F.coalesce(v * F.col("ref") / F.col("kernel"), v)).alias("flux"), r6(scalars.magnitude(v, F.lit(20.0))).alias("mag"))
@@ -120,12 +120,12 @@ PLANE = "(s_suppkey * 7919 % 1000) / 10.0::DOUBLE AS x, (s_suppkey * 104729 % 10
 
 
 @query(f"""WITH s AS (SELECT s_suppkey, {PLANE} FROM supplier),
-c AS (SELECT c_custkey, (c_custkey * 7919 % 1000) / 10.0::DOUBLE AS rx, (c_custkey * 104729 % 1000) / 10.0::DOUBLE AS ry FROM customer WHERE c_custkey % 50 = 0)
-SELECT s_suppkey FROM s WHERE NOT EXISTS (SELECT 1 FROM c WHERE pow(x - rx, 2) + pow(y - ry, 2) <= 25)""")
+c AS (SELECT c_custkey, (c_custkey * 7919 % 1000) / 10.0::DOUBLE AS rx, (c_custkey * 104729 % 1000) / 10.0::DOUBLE AS ry FROM customer)
+SELECT s_suppkey FROM s WHERE NOT EXISTS (SELECT 1 FROM c WHERE pow(x - rx, 2) + pow(y - ry, 2) <= 1)""")
 def isolation_anti(spark, d):
     plane = lambda k, x, y: ((F.col(k) * 7919 % 1000 / 10).alias(x), (F.col(k) * 104729 % 1000 / 10).alias(y))
-    stars = T(spark, d, "customer").where("c_custkey % 50 = 0").select(*plane("c_custkey", "rx", "ry"))
-    return spatial.within(T(spark, d, "supplier").select("s_suppkey", *plane("s_suppkey", "x", "y")), stars, 5.0, "left_anti").select("s_suppkey")
+    stars = T(spark, d, "customer").select(*plane("c_custkey", "rx", "ry"))
+    return spatial.within(T(spark, d, "supplier").select("s_suppkey", *plane("s_suppkey", "x", "y")), stars, 1.0, "left_anti").select("s_suppkey")
 
 
 @query("""SELECT round_even(l_quantity / 7, 0) * 7 AS l_quantity_cell, round_even(l_discount / 0.03, 0) * 0.03::DOUBLE AS l_discount_cell, count(*) AS n FROM lineitem GROUP BY 1, 2""")
@@ -242,7 +242,21 @@ def rolling_median(spark, d):
     return events(spark, d).select("event_id", r6(F.percentile("value", F.lit(0.5)).over(w)).alias("median"))
 
 
-@query(None)
+def savgol_sql(window: int, order: int) -> str:
+    """CASE over places i in keys of n rows, with the fit's weights as constants."""
+    cases = []
+    for size in range(order + 1 + order % 2, window + 1, 2):
+        weights, half = sequence.savgol_weights(size, order), size // 2
+        terms = lambda row, first: " + ".join(f"({float(x)!r}::DOUBLE) * lead(value, {first + k}) OVER w" for k, x in enumerate(weights[row]))  # noqa: B023, E731
+        rows = "n >= {0}" if size == window else "n BETWEEN {0} AND {0} + 1"
+        cases += [f"WHEN {rows.format(size)} AND i = {k} THEN {terms(k, -k)}" for k in range(half)]
+        cases += [f"WHEN {rows.format(size)} AND i = n - 1 - {k} THEN {terms(size - 1 - k, k - size + 1)}" for k in range(half)]
+        cases.append(f"WHEN {rows.format(size)} THEN {terms(half, -half)}")
+    return f"CASE {' '.join(cases)} ELSE value END"
+
+
+@query(STEPS + "n AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY t, event_id) - 1 AS i, count(*) OVER (PARTITION BY user_id) AS n FROM e), s AS (SELECT event_id, "
+    + savgol_sql(5, 2) + " AS smooth FROM n WINDOW w AS (PARTITION BY user_id ORDER BY t, event_id)) SELECT event_id, round(smooth, 6) AS smooth FROM s")
 def savgol_full(spark, d):
     return sequence.savgol(events(spark, d), ["user_id"], "t", "event_id", "value").select("event_id", r6(F.col("smooth")).alias("smooth"))
 
@@ -289,13 +303,13 @@ def path_ids(spark, d):
     )
 
 
-@query("""SELECT s_suppkey, printf('s%04d_c%d_k%d_%s', s_suppkey, s_nationkey % 4, s_nationkey % 5, s_name) AS label FROM supplier""")
+@query(r"""SELECT s_suppkey, printf('s%04d_c%d_k%d_%s', s_suppkey, s_nationkey % 4, s_nationkey % 5, regexp_replace(trim(s_name), '[^\w.-]+', '_', 'g')) AS label FROM supplier""")
 def label_format(spark, d):
-    return T(spark, d, "supplier").select("s_suppkey", scalars.target_label(F.col("s_suppkey"), F.col("s_nationkey") % 4, F.col("s_nationkey") % 5, F.col("s_name")).alias("label"))
+    return T(spark, d, "supplier").select("s_suppkey", names.target_label(F.col("s_suppkey"), F.col("s_nationkey") % 4, F.col("s_nationkey") % 5, F.col("s_name")).alias("label"))
 
 
 @query("""WITH m AS (SELECT c_custkey, CASE WHEN c_acctbal > 0 THEN 20 - 2.5 * log10(c_acctbal) END AS mag, CASE WHEN c_acctbal > 0 THEN 2.5 / ln(10) * 5 / c_acctbal END AS emag FROM customer)
-SELECT c_custkey, round(mag, 6) AS mag, round(emag, 6) AS emag, round(pow(10, (8.9 - mag) / 2.5), 6) AS jy FROM m""")
+SELECT c_custkey, round(mag, 6) AS mag, round(emag, 6) AS emag, round(2416 * pow(10, -0.4 * mag), 6) AS jy FROM m""")
 def mag_chain(spark, d):
     mag = scalars.magnitude(F.col("c_acctbal"), F.lit(20.0))
     emag = scalars.magnitude_error(F.col("c_acctbal"), F.lit(5.0))
@@ -321,7 +335,7 @@ def ra_wrap(spark, d):
 
 
 @query("""WITH p AS (SELECT event_id, value AS x, (event_id * 31 % 1000) / 10.0::DOUBLE AS y FROM events)
-SELECT event_id FROM p WHERE (CASE WHEN (10 > y) <> (90 > y) AND x < (50 - 10) * (y - 10) / (90 - 10) + 10 THEN 1 ELSE 0 END + CASE WHEN (90 > y) <> (20 > y) AND x < (95 - 50) * (y - 90) / (20 - 90) + 50 THEN 1 ELSE 0 END + CASE WHEN (20 > y) <> (10 > y) AND x < (10 - 95) * (y - 20) / (10 - 20) + 95 THEN 1 ELSE 0 END) % 2 = 1""")
+SELECT event_id FROM p WHERE (CASE WHEN y > 10 AND y <= 90 AND x <= (50 - 10) * (y - 10) / (90 - 10) + 10 THEN 1 ELSE 0 END + CASE WHEN y > 20 AND y <= 90 AND x <= (95 - 50) * (y - 90) / (20 - 90) + 50 THEN 1 ELSE 0 END + CASE WHEN y > 10 AND y <= 20 AND x <= (10 - 95) * (y - 20) / (10 - 20) + 95 THEN 1 ELSE 0 END) % 2 = 1""")
 def point_in_polygon(spark, d):
     y = F.col("event_id") * 31 % 1000 / 10
     return T(spark, d, "events").where(scalars.in_polygon(F.col("value"), y, [(10, 10), (50, 90), (95, 20)])).select("event_id")

@@ -47,18 +47,9 @@ def interp_join(spark, d):
     return found.select("event_id", r6(F.col("value")).alias("value"))
 
 
-@query("""WITH p AS (SELECT p_partkey, p_partkey * 17 % 1000 AS x, p_partkey * 29 % 1000 AS y FROM part), s AS (SELECT s_suppkey, s_suppkey * 37 % 1000 AS rx, s_suppkey * 61 % 1000 AS ry FROM supplier),
-m AS (SELECT p_partkey, arg_min(s_suppkey, ((x - rx) * (x - rx) + (y - ry) * (y - ry), s_suppkey)) AS s_suppkey FROM p JOIN s ON (x - rx) * (x - rx) + (y - ry) * (y - ry) <= 10000 GROUP BY p_partkey)
-SELECT p_partkey, s_suppkey FROM p LEFT JOIN m USING (p_partkey)""")
-def nearest_tile(spark, d):
-    k = F.col("p_partkey")
-    p = T(spark, d, "part").select("p_partkey", (k * 17 % 1000).alias("x"), (k * 29 % 1000).alias("y"))
-    return spatial.nearest_within(p, stars(spark, d), 100.0, "p_partkey", "s_suppkey").select("p_partkey", "s_suppkey")
-
-
 @query("""WITH p AS (SELECT p_partkey, p_partkey * 17 % 1000 AS x, p_partkey * 29 % 1000 AS y FROM part), s AS (SELECT s_suppkey, s_suppkey * 37 % 1000 AS rx, s_suppkey * 61 % 1000 AS ry FROM supplier)
 SELECT p_partkey, arg_min(s_suppkey, ((x - rx) * (x - rx) + (y - ry) * (y - ry), s_suppkey)) AS s_suppkey FROM p LEFT JOIN s ON true GROUP BY p_partkey""")
-def nearest_tile_unbounded(spark, d):
+def nearest_tile(spark, d):
     k = F.col("p_partkey")
     p = T(spark, d, "part").select("p_partkey", (k * 17 % 1000).alias("x"), (k * 29 % 1000).alias("y"))
     return spatial.nearest(p, stars(spark, d), 100.0, "p_partkey", "s_suppkey").select("p_partkey", "s_suppkey")
@@ -88,8 +79,9 @@ def status_counts(spark, d):
 
 
 @query(f"""WITH {E}, b AS (SELECT *, floor((t - min(t) OVER (PARTITION BY event_type)) / 86400)::BIGINT AS bin FROM e),
-m AS (SELECT *, median(value) OVER w AS m, count(value) OVER w AS k FROM b WINDOW w AS (PARTITION BY event_type, bin)), s AS (SELECT *, median(abs(value - m)) OVER (PARTITION BY event_type, bin) AS s FROM m)
-SELECT event_type, bin, round(avg(t), 3) AS t_mean, round(avg(value), 6) AS v_mean, count(value) AS n FROM s WHERE k < 3 OR abs(value - m) <= 2 * 1.4826::DOUBLE * s GROUP BY event_type, bin""")
+m AS (SELECT *, median(value) OVER w AS m, count(value) OVER w AS k FROM b WINDOW w AS (PARTITION BY event_type, bin)), s AS (SELECT *, median(abs(value - m)) OVER (PARTITION BY event_type, bin) AS s FROM m),
+g AS (SELECT *, coalesce(k < 3 OR abs(value - m) <= 2 * 1.4826::DOUBLE * greatest(s, 1e-12::DOUBLE * (1 + abs(m))), false) AS kept FROM s)
+SELECT event_type, bin, round(avg(t) FILTER (kept), 3) AS t_mean, round(avg(value) FILTER (kept), 6) AS v_mean, count(value) FILTER (kept) AS n FROM g GROUP BY event_type, bin""")
 def binned_clip(spark, d):
     found = stats.binned_clip(events(spark, d), ["event_type"], "t", "value", 86400.0, 2.0)
     return found.select("event_type", "bin", F.round("t_mean", 3).alias("t_mean"), r6(F.col("v_mean")).alias("v_mean"), "n")
@@ -118,8 +110,8 @@ def adaptive_median(spark, d):
 
 
 @query(f"""WITH {E}, f AS (SELECT event_id, floor(t / 86400) AS frame, value, avg(value) OVER (PARTITION BY user_id ORDER BY t, event_id ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING) AS smooth FROM e),
-r AS (SELECT frame, median(value - smooth) AS r FROM f GROUP BY frame), m AS (SELECT median(r) AS m FROM r), s AS (SELECT m, 1.4826::DOUBLE * (SELECT median(abs(r - m)) FROM r) AS s FROM m)
-SELECT event_id, round(CASE WHEN abs(r - m) > 1 * s OR smooth IS NULL THEN value ELSE smooth END, 6) AS chosen FROM f JOIN r USING (frame), s""")
+r AS (SELECT frame, median(abs(value - smooth)) AS r FROM f GROUP BY frame), m AS (SELECT median(r) AS m FROM r), s AS (SELECT m, 1.4826::DOUBLE * (SELECT median(abs(r - m)) FROM r) AS s FROM m)
+SELECT event_id, round(CASE WHEN r > m + 1 * s OR smooth IS NULL THEN value ELSE smooth END, 6) AS chosen FROM f JOIN r USING (frame), s""")
 def frame_fallback(spark, d):
     smooth = F.avg("value").over(sequence.moving(["user_id"], "t", "event_id", 3, 3))
     e = events(spark, d).select("event_id", F.floor(F.col("t") / 86400).alias("frame"), "value", smooth.alias("smooth"))
@@ -138,10 +130,10 @@ def ready_batch(spark, d):
     return runstate.ready(T(spark, d, "orders"), "o_orderstatus", ["O", "P"], "o_orderdate", now, 20, ["o_orderdate", "o_orderkey"]).select("o_orderkey", "o_orderstatus")
 
 
-@query("""WITH e AS (SELECT p_partkey, concat('b', p_size % 5, '-c', p_size % 3, '+d', p_partkey % 2) AS s FROM part), u AS (SELECT p_partkey, unnest(regexp_extract_all(s, '[+-]?[^+-]+')) AS term FROM e)
-SELECT p_partkey, CASE WHEN term[1] = '-' THEN -1 ELSE 1 END AS sign, regexp_replace(term, '^[+-]', '') AS label FROM u""")
+@query("""WITH e AS (SELECT p_partkey, concat('b', p_size % 5, ' - c', p_size % 3, '+d', p_partkey % 2, CASE WHEN p_partkey % 7 = 0 THEN ')' ELSE '' END) AS s FROM part), u AS (SELECT p_partkey, unnest(regexp_extract_all(s, '[+-]?[^+-]+')) AS term FROM e WHERE s NOT LIKE '%)')
+SELECT p_partkey, CASE WHEN term[1] = '-' THEN -1 ELSE 1 END AS sign, trim(regexp_replace(term, '^[+-]', '')) AS label FROM u""")
 def signed_terms(spark, d):
-    text = F.format_string("b%d-c%d+d%d", F.col("p_size") % 5, F.col("p_size") % 3, F.col("p_partkey") % 2)
+    text = F.format_string("b%d - c%d+d%d%s", F.col("p_size") % 5, F.col("p_size") % 3, F.col("p_partkey") % 2, F.when(F.col("p_partkey") % 7 == 0, ")").otherwise(""))
     return T(spark, d, "part").select("p_partkey", F.inline(scalars.signed_terms(text)))
 
 
@@ -158,11 +150,11 @@ def dilate_mask(spark, d):
     return pixels.dilate(marked, pixels.disc(2))
 
 
-@query("""WITH m AS (SELECT l_linenumber AS plane, l_orderkey % 500 + [0, 3, -2][l_linenumber] AS x, l_partkey % 500 + [0, 1, 4][l_linenumber] AS y, l_quantity AS value FROM lineitem WHERE l_linenumber <= 3)
-SELECT x, y, arg_min(value, (plane, value)) AS value FROM m GROUP BY x, y""")
+@query("""WITH m AS (SELECT l_linenumber AS plane, l_orderkey % 500 + [0, 3, -2, 1, 1, -4, 2][l_linenumber] AS x, l_partkey % 500 + [0, 1, 4, 0, -3, 2, 2][l_linenumber] AS y, l_quantity AS value FROM lineitem)
+SELECT x, y, arg_max(value, (plane, value)) AS value FROM m GROUP BY x, y""")
 def offset_mosaic(spark, d):
     planes = T(spark, d, "lineitem").select(F.col("l_linenumber").alias("plane"), (F.col("l_orderkey") % 500).alias("x"), (F.col("l_partkey") % 500).alias("y"), F.col("l_quantity").alias("value"))
-    return pixels.mosaic(planes.where("plane <= 3"), {1: (0, 0), 2: (3, 1), 3: (-2, 4)})
+    return pixels.mosaic(planes, {1: (0, 0), 2: (3, 1), 3: (-2, 4), 4: (1, 0), 5: (1, -3), 6: (-4, 2), 7: (2, 2)})
 
 
 @query(f"""WITH {PLANE}, k AS (SELECT dx, dy, CASE WHEN dx = 0 AND dy = 0 THEN 0.5::DOUBLE ELSE 0.0625::DOUBLE END AS w FROM (SELECT unnest(range(-1, 2)) AS dx), (SELECT unnest(range(-1, 2)) AS dy)),

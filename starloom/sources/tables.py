@@ -22,7 +22,7 @@ def fixed_width(df: DataFrame, line: str, fields: Sequence[FIELD]) -> DataFrame:
 
 def tokens(df: DataFrame, text: str, separators: str = "[/,]", name: str = "token") -> DataFrame:
     """One row per trimmed, non-empty part."""
-    parts = F.transform(F.split(text, separators), F.trim)
+    parts = F.transform(F.split(text, separators), lambda p: F.trim(p))
     return df.withColumn(name, F.explode(F.filter(parts, lambda p: p != "")))
 
 

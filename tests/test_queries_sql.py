@@ -6,7 +6,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from starloom.plans import survey_queries
+from starloom.plans import frame_queries, state_queries, survey_queries
 from starloom.plans.queries import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
@@ -38,4 +38,5 @@ def test_same_as_sql(spark, duck, name):
 
 
 def test_all_registered():
-    assert survey_queries.aperture_flux in QUERIES.values()
+    for f in (survey_queries.aperture_flux, frame_queries.frame_names, state_queries.state_promote):
+        assert f in QUERIES.values()
