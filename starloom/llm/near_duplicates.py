@@ -10,7 +10,8 @@ many documents it is linked to, and the least class of its connected part.  So n
 a row, and no bucket meets in one task as a whole.
 
 Defined cases: a null text is empty; a text without words is a class of its own with no link; a
-text of fewer words than n has its whole word sequence as its one n-gram; repeated rows with the same id
+text of fewer words than n has its whole word sequence as its one n-gram, one of any length all of its n-grams;
+an empty table gives no rows; ties don't arise, as every link counts; repeated rows with the same id
 count as documents; a row with a null id gets its own class's id, which is null if all its ids are; extra
 columns don't matter.
 """
@@ -184,11 +185,17 @@ def similar_classes(df: DataFrame, key: str, text: str, n: int, threshold: float
     number = F.pmod(F.xxhash64("class"), F.col("parts")).cast("int")
     blocks = materialise(homes.select("class", F.struct(F.col("home").alias("bucket"), number.alias("part")).alias("block")))
     in_bucket = candidates.select("class", "bucket").join(blocks, "class").groupBy("bucket").agg(F.collect_set("block").alias("blocks"))
+    # A bucket's blocks are paired by lots of 64, so that the pairs of a crowded bucket are made in many tasks.
+    lots = F.expr("transform(sequence(0, (size(blocks) - 1) div 64), i -> slice(blocks, i * 64 + 1, 64))")
     pairs = (
         in_bucket.select(F.array_sort("blocks").alias("blocks"))
+        .select(lots.alias("lots"))
+        .select("lots", F.posexplode("lots").alias("i", "left"))
+        .select("left", F.explode(F.expr("slice(lots, i + 1, size(lots))")).alias("right"))
         .distinct()  # near copies meet in many bands, with the same blocks
-        .select("blocks", F.posexplode("blocks").alias("i", "a"))
-        .select("a", F.explode(F.expr("slice(blocks, i + 1, size(blocks))")).alias("b"))
+        .select("right", F.explode("left").alias("a"))
+        .select("a", F.explode("right").alias("b"))
+        .where("a <= b")
         .distinct()
     )
     # copies of one text may have several ids or rows; one of them brings the text
@@ -262,6 +269,18 @@ def components(edges: DataFrame) -> DataFrame:
         label = new
 
 
+#: Classes with more than one in so many rows are joined by broadcast: fewer than this number.
+HEAVY = 4096
+
+
+def join_classes(members: DataFrame, full: DataFrame) -> DataFrame:
+    """`members` with the row of `full` of their class; the rows of a large class stay where they are."""
+    n = members.count()
+    large = F.broadcast(full.where(F.col("size") * HEAVY > n))
+    rest = members.join(large.select("class"), "class", "left_anti").join(full.where(F.col("size") * HEAVY <= n), "class")
+    return members.join(large, "class").unionByName(rest)
+
+
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, threshold: float = 0.8, recall: float = 0.99999, block: int = 2048, block_grams: int = 2_000_000) -> DataFrame:
     """(doc_id, class_id, n_links, group_id) of every row.
 
@@ -276,8 +295,8 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", n: i
     empty_class = class_of([])
     own = F.when(F.col("class") == empty_class, F.lit(0)).otherwise(F.col("size") - 1)
     full = named.join(least, "label").join(per_class, "class", "left")
-    full = full.select("class", "class_id", (F.coalesce("n_links", F.lit(0)) + own).cast("long").alias("n_links"), "group_id")
-    out = members.join(full, "class")
+    full = materialise(full.select("class", "size", "class_id", (F.coalesce("n_links", F.lit(0)) + own).cast("long").alias("n_links"), "group_id"))
+    out = join_classes(members, full)
     alone = F.col("class") == empty_class  # texts without words aren't copies of each other
     return out.select(
         F.col("id").alias("doc_id"),
