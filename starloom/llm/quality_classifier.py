@@ -6,7 +6,8 @@ flattened into arrays that every task traverses for all rows of a slice at once.
 
 Defined cases: a null text is empty and is scored like any other; without labels, or with one class
 only, every score is the (smoothed) share of label 1; equal texts get equal scores; an id with several
-labels counts with its largest; extra columns don't matter.
+labels counts with its largest; of extra columns only one named like the score is replaced; a text of any length
+is read whole; an empty table gives no rows.  Of labelled ids with several rows, `sample` rows at most are fitted on.
 """
 
 from __future__ import annotations
@@ -160,8 +161,7 @@ def train(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: st
 
 def score(df: DataFrame, forest: Forest, text: str = "text", name: str = "score") -> DataFrame:
     """All columns of `df` plus the score (double)."""
-    if name.lower() in (c.lower() for c in df.columns):
-        raise ValueError(f"the input already has a column {name}")
+    df = df.drop(name)
     at = df.columns.index(text)
 
     def make():

@@ -5,8 +5,9 @@ the match falls back over that link.  One pass over a word then gives the length
 longest-match tokenization; no piece is ever cut out or looked up.
 
 Defined cases: a null or empty text has no words and no tokens; characters outside the vocabulary
-count as one token per UTF-8 byte; repeated rows are counted each on its own; extra columns are kept
-by `count_tokens` whatever their names (the two new columns must not exist already).
+count as one token per UTF-8 byte; a text of any length is counted whole, in linear time; an empty table gives no
+rows; repeated rows are counted each on its own; extra columns are kept by `count_tokens`, but for those named
+n_words or n_tokens, which are replaced.
 """
 
 from __future__ import annotations
@@ -89,8 +90,7 @@ def load_vocabulary(path: str) -> list[str]:
 
 def count_tokens(df: DataFrame, vocabulary_path: str, text: str = "text", mark: str = "▁", memo: int = 200_000) -> DataFrame:
     """Add `n_words` and `n_tokens` (long): ASCII-space words, each tokenized with `mark` before it."""
-    if {"n_words", "n_tokens"} & set(df.columns):
-        raise ValueError("the input already has a column n_words or n_tokens")
+    df = df.drop("n_words", "n_tokens")
     schema = df.withColumns({"n_words": F.lit(0).cast("long"), "n_tokens": F.lit(0).cast("long")}).schema
     at = df.columns.index(text)
 
