@@ -1,4 +1,9 @@
-"""The corpus pipeline: rules, classifier, near duplicates, mixing, tokens.  Each stage reads what the one before wrote."""
+"""The corpus pipeline: rules, classifier, near duplicates, mixing, tokens.  Each stage reads what the one before wrote.
+
+Defined cases, in all stages: a null text is an empty one; rows with a null, repeated or shared doc_id are rows of their
+own; very long texts are read whole; ties are broken as each operator says; an empty table gives empty stages; extra columns of
+any name go through all stages but the last.  The tables of the stages stay in the shared folder, as the last is read lazily.
+"""
 
 from __future__ import annotations
 
@@ -22,7 +27,8 @@ def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     forest = quality_classifier.train(docs, table(spark, sf_dir, "labels"))
-    return quality_classifier.score(docs, forest, name="quality_score").where("quality_score >= 0.3").select(*docs.columns)
+    score = fresh_name(docs, "score")
+    return quality_classifier.score(docs, forest, name=score).where(F.col(score) >= 0.3).select(*docs.columns)
 
 
 def duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
