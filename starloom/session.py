@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -27,8 +25,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Written down in the cluster's spark.checkpoint.dir, so that rounds don't lengthen the lineage; a temporary folder only where none is set."""
+    """Written down in the cluster's spark.checkpoint.dir, so that rounds don't lengthen the lineage; in the warehouse only where none is set."""
     spark = df.sparkSession
     if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="starloom-"))
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.sql.warehouse.dir") + "/checkpoints")
     return df.checkpoint(eager=True)
