@@ -1,6 +1,7 @@
 """Operators on single texts against plain versions."""
 
 import hashlib
+import io
 import random
 import time
 import zlib
@@ -153,6 +154,36 @@ def test_images():
     assert np.allclose(media.area_resize(grey, 1, 1), grey.mean())
 
 
+def test_scales_and_bit_fields():
+    assert media.decode_image(b"P2\n3 1\n15\n0 15 7").tolist() == [[0, 255, 119]]
+    assert media.decode_image(b"P5\n2 1\n65535\n\xff\xff\x80\x00").tolist() == [[255, 128]]
+    head = b"BM" + (66 + 4).to_bytes(4, "little") + bytes(4) + (66).to_bytes(4, "little") + (40).to_bytes(4, "little")
+    info = (1).to_bytes(4, "little") + (1).to_bytes(4, "little") + b"\1\0\x20\0" + (3).to_bytes(4, "little") + bytes(20)
+    masks = b"".join(m.to_bytes(4, "little") for m in (0xFF, 0xFF00, 0xFF0000))
+    assert media.decode_image(head + info + masks + b"\1\2\3\4").tolist() == [[[1, 2, 3]]]
+    rng = np.random.default_rng(3)
+    tall = rng.integers(0, 256, (3000, 64)).astype(np.uint8)
+    rows = np.linspace(0, 3000, 9)
+    want = [tall[int(a) : int(b)].mean() for a, b in zip(rows, rows[1:])]
+    assert np.allclose(media.area_resize(tall, 8, 1)[:, 0], want)
+
+
+def test_image_columns(spark):
+    grey = (np.arange(64 * 64) % 251).astype(np.uint8).reshape(64, 64)
+    rows = [(1, media.encode_pgm(grey)), (2, None), (3, b"GIF89"), (4, b"P5\n9 9\n255\nshort"), (5, b"BM"), (6, b""), (7, b"P5\n0 4\n255\n"), (1, media.encode_pgm(grey))]
+    df = spark.createDataFrame([(i, x, "kept") for i, x in rows], "k long, image binary, tile string")
+    got = media.image_columns(df, "k", "image", 16).collect()
+    assert len(got) == 8
+    for r in got:
+        if r.id == 1:
+            tile = np.load(io.BytesIO(r.tile))
+            assert (r.height, r.width, r.error, tile.shape, tile.dtype) == (64, 64, None, (16, 16), np.uint8)
+            assert (tile == np.rint(grey.reshape(16, 4, 16, 4).mean(axis=(1, 3)))).all() and len(r.dhash) == 16
+        else:
+            assert r.tile is None and (r.error is None) == (r.id == 2)
+    assert media.image_columns(df.limit(0), "k", "image").count() == 0
+
+
 def test_payloads(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "doc_id long, text string")
     for r in media.read_back(media.store_payload(df)).collect():
