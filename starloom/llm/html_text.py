@@ -18,8 +18,8 @@ that share in one of the parts, so the parts' finds are all the candidates, and
 all parts.  What two open pages of different parts share is found by the 64-bit hashes of their windows.  Results so
 don't depend on the split.
 
-Pages are parsed twice, once to hashed words, which are written down, and once to the texts that stay: written
-down, the texts would take more disk than the pages.
+Pages are parsed twice, once to hashed words for the arrays and once to the texts that stay: written down, they
+would take more disk than the pages.  Open pages of split hosts, and split hosts with candidates, are parsed again.
 
 Defined cases: null or empty html gives an empty text; unclosed, stray and cut-off tags are tolerated, in linear
 time; repeated rows are rows of their own, but a page_id counts once among distinct pages, and rows without one are
@@ -29,6 +29,7 @@ one page; a null url is a host of its own; extra columns don't matter; an empty
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 from collections import Counter, defaultdict
 from html.parser import HTMLParser
@@ -40,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import Memo, map_rows, materialise, written
+from starloom.llm.common import Memo, map_rows, written
 from starloom.llm.near_duplicates import ODD, mix64
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -186,7 +187,7 @@ def depth_order(tokens: np.ndarray, depth: int) -> np.ndarray:
         second = np.zeros(n, np.int64)
         second[: n - step] = rank[step:] if step < n else 0
         key = rank * (n + 2) + second
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         new = np.empty(n, np.int64)
         new[order] = np.cumsum(np.append(True, np.diff(key[order]) != 0))
         if new.max() == n or 2 * step >= min(n, depth):
@@ -225,21 +226,23 @@ def shared_tokens(tokens: np.ndarray, page: np.ndarray, length: int) -> np.ndarr
     return covered_tokens(pages_sharing(tokens, page, length) > 1, len(tokens), length)
 
 
-class WordHasher:
+class WordHasher(Memo):
     """32-bit hashes of words."""
 
     def __init__(self) -> None:
-        self.known = Memo(500_000)
+        super().__init__(500_000)
 
-    def word(self, w: str) -> int:
-        h = self.known.get(w)
-        if h is None:
-            self.known.make_room(1)
-            h = self.known[w] = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=4).digest(), "little", signed=True)
+    def __missing__(self, word: str) -> int:
+        self.make_room(1)
+        h = self[word] = int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=4).digest(), "little", signed=True)
         return h
 
-    def words(self, block: str) -> np.ndarray:
-        return np.array([self.word(w) for w in block.split()], np.int32)
+    def page(self, blocks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(words, ends) of all blocks."""
+        split = [b.split() for b in blocks]
+        ends = np.cumsum([len(x) for x in split], dtype=np.int32)
+        n = int(ends[-1]) if split else 0
+        return np.fromiter(map(self.__getitem__, itertools.chain.from_iterable(split)), np.int32, n), ends
 
 
 def window_hashes(words: np.ndarray, length: int) -> np.ndarray:
@@ -280,23 +283,49 @@ class Page(NamedTuple):
         return np.split(self.words, self.ends[:-1]) if len(self.ends) else []
 
 
+def counted_marks(hashes: np.ndarray, page: np.ndarray, least: float) -> np.ndarray:
+    """The hashes on `least` distinct pages or more."""
+    order = np.lexsort((page, hashes))
+    h, p = hashes[order], page[order]
+    once = h[np.append(True, (h[1:] != h[:-1]) | (p[1:] != p[:-1]))[: len(h)]]
+    found, n = np.unique(once, return_counts=True)
+    return found[n >= least]
+
+
 def find_marks(pages: list[Page], length: int, least: float) -> np.ndarray:
-    """Hashes of the windows and short blocks on `least` distinct pages or more."""
-    tokens, owner, short = [], [], set()
-    for page in pages:
-        for x in page.blocks():
-            if len(x) < length:
-                short.add((page.number, int(window_hashes(x, length)[0])))
-            else:
-                # word hashes from 0 on, separators below
-                tokens += [x.astype(np.int64) + (1 << 31), np.array([-1 - len(tokens)])]
-                owner += [np.full(len(x), page.number), np.array([-1])]
-    found = np.array([h for h, n in Counter(h for _, h in short).items() if n >= least], np.int64)
-    if not tokens:
-        return found
-    flat = np.concatenate(tokens)
-    start = np.flatnonzero(pages_sharing(flat, np.concatenate(owner), length) >= least)
-    return np.unique(np.append(found, hash_columns([flat[start + k] - (1 << 31) for k in range(length)])))
+    """Hashes of the windows and short blocks on `least` distinct pages or more.
+
+    A window can't be on more pages than any of its words, so only stretches of frequent words go into the suffix array.
+    """
+    if not pages:
+        return np.empty(0, np.int64)
+    words = np.concatenate([p.words for p in pages])
+    sizes = np.concatenate([np.diff(p.ends, prepend=0) for p in pages]).astype(np.int64)
+    block_page = np.repeat([p.number for p in pages], [len(p.ends) for p in pages])
+    starts = np.cumsum(sizes) - sizes
+    found = []
+    for size in range(1, length):
+        at = np.flatnonzero(sizes == size)
+        if at.size:
+            found.append(counted_marks(hash_columns([words[starts[at] + k].astype(np.int64) for k in range(size)]), block_page[at], least))
+    ids, n = np.unique(words, return_counts=True)
+    ids = ids[n >= least]
+    if ids.size:
+        place = np.minimum(np.searchsorted(ids, words), ids.size - 1)
+        ok = (ids[place] == words) & np.repeat(sizes >= length, sizes)
+        parted = ~ok
+        parted[starts[sizes > 0]] = True  # a find never reaches over the end of a block
+        run = np.cumsum(parted)
+        kept = np.flatnonzero(ok & (np.bincount(run[ok], minlength=len(words) + 1)[run] >= length))
+        if kept.size:
+            nth = np.unique(run[kept], return_inverse=True)[1]
+            flat = -1 - np.arange(kept.size + nth[-1] + 1)  # separators, all different
+            owner = np.full(flat.size, -1)
+            at = np.arange(kept.size) + nth
+            flat[at], owner[at] = place[kept], np.repeat(block_page, sizes)[kept]
+            start = np.flatnonzero(pages_sharing(flat, owner, length) >= least)
+            found.append(np.unique(hash_columns([ids[flat[start + k]].astype(np.int64) for k in range(length)])))
+    return np.unique(np.concatenate(found)) if found else np.empty(0, np.int64)
 
 
 def dropped_blocks(page: Page, marks: np.ndarray, length: int, share: float = 0.5) -> list[int]:
@@ -319,10 +348,10 @@ def token_streams(rows: DataFrame) -> DataFrame:
             marked, words, ends = [], [], []
             for html in b.column(6).to_pylist():
                 has_article, blocks = page_blocks(html)
-                blocks = [hasher.words(x) for x in blocks]
+                w, e = hasher.page(blocks)
                 marked.append(has_article)
-                words.append(np.concatenate(blocks) if blocks else np.empty(0, np.int32))
-                ends.append(np.cumsum([len(x) for x in blocks], dtype=np.int32))
+                words.append(w)
+                ends.append(e)
             cols = [pa.array(marked, pa.bool_()), pa.array(words, pa.list_(pa.int32())), pa.array(ends, pa.list_(pa.int32()))]
             return pa.RecordBatch.from_arrays([*b.columns[:6], *cols], names=[*b.schema.names[:6], "marked", "words", "ends"])
 
@@ -338,7 +367,7 @@ def pages_of(group: pd.DataFrame) -> list[Page]:
 
 
 def windows_of(streams: DataFrame, length: int) -> DataFrame:
-    """(host, part, number, mark) of all windows and short blocks; with a column `marks`, of those among them."""
+    """(host, part, number, mark) of all windows and short blocks; where a column `marks` isn't null, of those among them."""
 
     def make():
         def run(b: pa.RecordBatch) -> pa.RecordBatch:
@@ -355,26 +384,13 @@ def windows_of(streams: DataFrame, length: int) -> DataFrame:
     return map_rows(streams.select("host", "part", "number", "words", "ends", "marks"), make, "host string, part int, number long, mark long", 1 << 20)
 
 
-def marks_of_split_hosts(split: DataFrame, length: int, article_pages: int, article_share: float) -> DataFrame:
-    """(host, part, strong, mark) for hosts of several parts: strong ones count inside articles, others on open pages."""
-
-    def candidates(group: pd.DataFrame) -> pd.DataFrame:
-        pages = pages_of(group)
-        marks = find_marks(pages, length, article_share * len({p.number for p in pages}))
-        return pd.DataFrame({"host": np.repeat(group["host"].iloc[:1].to_numpy(), len(marks)), "mark": marks})
-
-    found = split.groupBy("host", "part").applyInPandas(candidates, "host string, mark long")
-    per_host = found.groupBy("host").agg(F.collect_set("mark").alias("marks"))  # a host's marks are few: each is on many of its pages
-    again = windows_of(split.join(per_host, "host"), length).select("host", "number", "mark").distinct()
-    enough = split.select("host", "parts", "host_pages").distinct()
-    counted = again.groupBy("host", "mark").agg(F.count(F.lit(1)).alias("n")).join(enough, "host")
-    counted = counted.where((F.col("n") >= article_pages) & (F.col("n") >= article_share * F.col("host_pages")))
-    strong = counted.select("host", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(True).alias("strong"), "mark")
-    open_windows = windows_of(split.where("not marked").withColumn("marks", F.lit(None).cast("array<long>")), length)
+def marks_across(streams: DataFrame, length: int) -> DataFrame:
+    """(host, part, mark): windows and short blocks that two distinct open pages of a host have, for each part that has them."""
+    open_windows = windows_of(streams.where("not marked").withColumn("marks", F.lit(None).cast("array<long>")), length)
     number = F.col("number")
     in_part = open_windows.groupBy("host", "mark", "part").agg(F.min(number).alias("low"), F.max(number).alias("high"))
     shared = in_part.groupBy("host", "mark").agg(F.collect_list("part").alias("parts"), (F.min("low") < F.max("high")).alias("two")).where("two")
-    return strong.unionByName(shared.select("host", F.explode("parts").alias("part"), F.lit(False).alias("strong"), "mark"))
+    return shared.select("host", F.explode("parts").alias("part"), "mark")
 
 
 def extract(
@@ -385,7 +401,7 @@ def extract(
     length: int = 12,
     article_pages: int = 8,
     article_share: float = 0.6,
-    group_bytes: int = 8 << 20,
+    group_bytes: int = 4 << 20,
 ) -> DataFrame:
     """(page_id, url, text) of every row."""
     rows = pages.select(F.col(key).cast("long").alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"))
@@ -393,30 +409,68 @@ def extract(
     rows = rows.withColumns({"row_id": F.xxhash64("page_id", "url", "html"), "number": F.xxhash64("page_id"), "host": host_of(F.col("url"))})
     per_page = rows.groupBy("host", "number").agg(F.sum(F.coalesce(F.length("html"), F.lit(0))).alias("size"))
     hosts = per_page.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"), F.ceil((F.sum("size") + 1) / group_bytes).cast("int").alias("parts"))
+    hosts = written(hosts)  # a table of known size: Spark broadcasts it, or not, before it shuffles pages
     dealt = rows.join(hosts, "host").withColumn("part", F.pmod("number", F.col("parts")).cast("int"))
-    streams = written(token_streams(dealt))
-    marks = marks_of_split_hosts(streams.where("parts > 1"), length, article_pages, article_share)
 
-    def decide(group: pd.DataFrame, across: pd.DataFrame) -> pd.DataFrame:
-        found = pages_of(group)
-        strong, weak = (across["mark"][across["strong"] == s].to_numpy(np.int64) for s in (True, False))
-        if len(group) and group["parts"].iloc[0] == 1:
-            strong = find_marks(found, length, max(article_pages, article_share * int(group["host_pages"].iloc[0])))
-        weak = np.union1d(weak, find_marks([p for p in found if not p.marked], length, 2))
-        drops = [dropped_blocks(p, strong if p.marked else weak, length) for p in found]
-        return pd.DataFrame({"row_id": group["row_id"], "drops": drops})[[bool(x) for x in drops]]
+    def result(host: list, marks: list, rows: list, drops: list) -> pd.DataFrame:
+        return pd.DataFrame({
+            "host": pd.Series(host, dtype=object),
+            "mark": pd.array(marks, dtype="Int64"),
+            "row_id": pd.array(rows, dtype="Int64"),
+            "drops": pd.Series(drops, dtype=object),
+        })
 
-    of_part = streams.groupBy("host", "part").cogroup(marks.groupBy("host", "part"))
-    drops = of_part.applyInPandas(decide, "row_id long, drops array<int>").dropDuplicates(["row_id"]).withColumnRenamed("row_id", "dropped_row")
-    kept = rows.join(materialise(drops), F.col("row_id") == F.col("dropped_row"), "left").select("page_id", "url", "html", "drops")
+    def decide(group: pd.DataFrame) -> pd.DataFrame:
+        """Marks that are strong enough for articles, as far as this part can tell, and the open pages' dropped blocks; of a split host only their rows."""
+        found = pages_of(group)
+        here, alone = len({p.number for p in found}), group["parts"].iloc[0] == 1
+        strong = find_marks(found, length, max(article_pages, article_share * here) if alone else article_share * here).tolist()
+        opened = [(int(i), p) for i, p in zip(group["row_id"], found) if not p.marked]
+        weak = find_marks([p for _, p in opened], length, 2) if alone else None
+        drops = [(i, None if weak is None else dropped_blocks(p, weak, length)) for i, p in opened]
+        drops = [x for x in drops if x[1] is None or x[1]]
+        no_mark, no_row = [None] * len(drops), [None] * len(strong)
+        return result([*[group["host"].iloc[0]] * len(strong), *no_mark], [*strong, *no_mark], [*no_row, *(i for i, _ in drops)], [*no_row, *(d for _, d in drops)])
+
+    kinds = "host string, mark long, row_id long, drops array<int>"
+    found = written(token_streams(dealt).groupBy("host", "part").applyInPandas(decide, kinds))
+    # Open pages of split hosts: what their parts share is counted first.
+    undecided = written(found.where("row_id is not null and drops is null").select("row_id").distinct())
+    opened = dealt.join(undecided, "row_id", "left_semi")
+    across = marks_across(token_streams(opened), length)
+
+    def decide_open(group: pd.DataFrame, across: pd.DataFrame) -> pd.DataFrame:
+        pages = pages_of(group)
+        weak = np.union1d(across["mark"].to_numpy(np.int64), find_marks(pages, length, 2))
+        drops = [(int(i), d) for i, p in zip(group["row_id"], pages) if (d := dropped_blocks(p, weak, length))]
+        nothing = [None] * len(drops)
+        return result(nothing, nothing, [i for i, _ in drops], [d for _, d in drops])
+
+    later = token_streams(opened).groupBy("host", "part").cogroup(across.groupBy("host", "part")).applyInPandas(decide_open, kinds)
+    local = found.where("mark is not null").select("host", "mark").distinct().join(hosts, "host")
+    # The marks of a host are few, as each is on many of its pages: at most 1 / article_share times a page's windows on average.
+    candidates = written(local.where("parts > 1").groupBy("host").agg(F.collect_set("mark").alias("marks")))
+    again = windows_of(token_streams(dealt.join(candidates.select("host"), "host", "left_semi")).join(candidates, "host"), length)
+    counted = again.select("host", "number", "mark").distinct().groupBy("host", "mark").agg(F.count(F.lit(1)).alias("n")).join(hosts, "host")
+    counted = counted.where((F.col("n") >= article_pages) & (F.col("n") >= article_share * F.col("host_pages")))
+    strong = local.where("parts = 1").select("host", "mark").unionByName(counted.select("host", "mark"))
+    strong = written(strong.groupBy("host").agg(F.collect_set("mark").alias("marks")))
+    drops = found.where("drops is not null").select("row_id", "drops").unionByName(later.select("row_id", "drops"))
+    drops = written(drops.dropDuplicates(["row_id"]))
+    kept = rows.join(strong, "host", "left").join(drops, "row_id", "left").select("page_id", "url", "html", "marks", "drops")
 
     def make():
-        def one(page: str | None, drops: list[int] | None) -> str:
-            blocks, gone = page_blocks(page)[1], set(drops or ())
+        hasher = WordHasher()
+
+        def one(page: str | None, marks: list[int] | None, drops: list[int] | None) -> str:
+            marked, blocks = page_blocks(page)
+            if marked and marks:
+                drops = dropped_blocks(Page(0, True, *hasher.page(blocks)), np.array(marks, np.int64), length)
+            gone = set(drops or ())
             return "\n".join(b for i, b in enumerate(blocks) if i not in gone)
 
         def run(b: pa.RecordBatch) -> pa.RecordBatch:
-            text = [one(h, d) for h, d in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
+            text = [one(*x) for x in zip(*(b.column(i).to_pylist() for i in (2, 3, 4)))]
             return pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(text, pa.string())], names=["page_id", "url", "text"])
 
         return run
