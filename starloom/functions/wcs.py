@@ -164,3 +164,19 @@ def grid(nx: int, ny: int, over: int = 1) -> Column:
     """Array of struct(x, y) of pixel centres, `over` of them to each side's pixel; to be exploded."""
     at = lambda n: F.transform(F.sequence(F.lit(0), F.lit(n * over - 1)), lambda i: (i + 0.5) / over - 0.5)
     return F.flatten(F.transform(at(ny), lambda y: F.transform(at(nx), lambda x: F.struct(x.alias("x"), y.alias("y")))))
+
+
+def tangent_plane(ra: Column, dec: Column, ra0: float, dec0: float) -> tuple[Column, Column]:
+    """Plane offsets in degrees of a sky position; null on the far side."""
+    a, d, a0, d0 = (ra - ra0) * scalars.RAD, dec * scalars.RAD, 0.0, dec0 * scalars.RAD
+    cosine = F.sin(F.lit(d0)) * F.sin(d) + F.cos(F.lit(d0)) * F.cos(d) * F.cos(a - a0)
+    x = F.cos(d) * F.sin(a) / cosine / scalars.RAD
+    y = (F.cos(F.lit(d0)) * F.sin(d) - F.sin(F.lit(d0)) * F.cos(d) * F.cos(a)) / cosine / scalars.RAD
+    return F.when(cosine > 0, x), F.when(cosine > 0, y)
+
+
+def pixel(ra: Column, dec: Column, ra0: float, dec0: float, x0: float, y0: float, cd: Sequence[float]) -> tuple[Column, Column]:
+    """Pixel of a sky position through the inverse of a CD matrix (four numbers by row)."""
+    u, v = tangent_plane(ra, dec, ra0, dec0)
+    det = cd[0] * cd[3] - cd[1] * cd[2]
+    return (cd[3] * u - cd[1] * v) / det + x0, (cd[0] * v - cd[2] * u) / det + y0
