@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -36,11 +37,27 @@ def mosaic(planes: DataFrame, offsets: dict[int, OFFSET]) -> DataFrame:
     return moved.where("__at is not null").groupBy("x", "y").agg(F.max_by("value", F.struct("plane", "value")).alias("value"))
 
 
+def _sums(plane: DataFrame, kernel: dict[OFFSET, float]) -> DataFrame:
+    spread = _moved(plane, [(*o, float(w)) for o, w in kernel.items()], "w")
+    return spread.groupBy("x", "y").agg(F.sum(F.col("value") * F.col("__o.w")).alias("sum"))
+
+
 def convolve(plane: DataFrame, kernel: dict[OFFSET, float]) -> DataFrame:
     """Sums of the weighted values that the kernel moves onto each pixel of the plane; values outside it count as 0."""
-    spread = _moved(plane, [(*o, float(w)) for o, w in kernel.items()], "w")
-    sums = spread.groupBy("x", "y").agg(F.sum(F.col("value") * F.col("__o.w")).alias("sum"))
-    return plane.select("x", "y").join(sums, ["x", "y"])
+    return plane.select("x", "y").join(_sums(plane, kernel), ["x", "y"])
+
+
+def separable(plane: DataFrame, weights: Sequence[float]) -> DataFrame:
+    """As `convolve` with the product of `weights` (of odd number) along x and along y, in two passes of their number instead of its square."""
+    half = len(weights) // 2
+    rows = _sums(plane, {(k - half, 0): w for k, w in enumerate(weights)}).withColumnRenamed("sum", "value")
+    return plane.select("x", "y").join(_sums(rows, {(0, k - half): w for k, w in enumerate(weights)}), ["x", "y"])
+
+
+def gaussian(sigma: float, reach: float = 4.0) -> list[float]:
+    half = int(reach * sigma + 0.5)
+    weights = [math.exp(-0.5 * (k / sigma) ** 2) for k in range(-half, half + 1)]
+    return [w / sum(weights) for w in weights]
 
 
 def mesh_background(plane: DataFrame, block: int) -> DataFrame:

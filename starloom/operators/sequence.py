@@ -118,15 +118,25 @@ def adaptive_median(df: DataFrame, keys: Sequence[str], t: str, tie: str, value:
     """Adds `smooth`: a moving median whose half width follows the local scatter.
 
     The scatter is the moving (max - min) over one row to each side.  `levels` gives (scatter at least, half width) from
-    the most restless down; below all of them the half width is `calm`.
+    the most restless down; below all of them the half width is `calm`.  The widest window is gathered once, and each row sorts
+    the part of it that its own width asks for.
     """
     near = moving(keys, t, tie, 1, 1)
-    df = df.withColumn("__s", F.max(value).over(near) - F.min(value).over(near))
-    median = lambda half: F.percentile(value, F.lit(0.5)).over(moving(keys, t, tie, half, half))
-    smooth = median(calm)
-    for least, half in reversed(levels):
-        smooth = F.when(F.col("__s") >= least, median(half)).otherwise(smooth)
-    return df.withColumn("smooth", smooth).drop("__s")
+    widest = max([calm, *(half for _, half in levels)])
+    half = F.lit(calm)
+    for least, h in reversed(levels):
+        half = F.when(F.col("__s") >= least, h).otherwise(half)
+    df = df.withColumns({
+        "__s": F.max(value).over(near) - F.min(value).over(near),
+        "__w": F.collect_list(F.struct(F.col(value).alias("v"))).over(moving(keys, t, tie, widest, widest)),
+        "__i": F.least(F.row_number().over(Window.partitionBy(*keys).orderBy(t, tie)) - 1, F.lit(widest)),
+    }).withColumn("__h", half)
+    low = F.greatest(F.col("__i") - F.col("__h"), F.lit(0))
+    part = F.transform(F.slice("__w", low + 1, F.col("__i") + F.col("__h") - low + 1), lambda x: x["v"])
+    df = df.withColumn("__w", F.sort_array(F.filter(part, lambda v: v.isNotNull())))
+    n = F.size("__w")
+    at = lambda i: F.get(F.col("__w"), i.cast("int"))
+    return df.withColumn("smooth", (at(F.floor((n - 1) / 2)) + at(F.floor(n / 2))) / 2).drop("__s", "__w", "__i", "__h")
 
 
 def frame_fallback(df: DataFrame, frame: str, raw: str, smooth: str, kappa: float) -> DataFrame:

@@ -164,6 +164,15 @@ def kernel_sum(spark, d):
     return pixels.convolve(plane(spark, d), kernel).select("x", "y", r6(F.col("sum")).alias("sum"))
 
 
+WEIGHTS = pixels.gaussian(0.8)
+
+
+@query(f"""WITH {PLANE}, k AS (SELECT unnest(range({-(len(WEIGHTS) // 2)}, {len(WEIGHTS) // 2 + 1})) AS d, unnest({WEIGHTS!r}::DOUBLE[]) AS w),
+m AS (SELECT x + a.d AS x, y + b.d AS y, sum(value * a.w * b.w) AS s FROM p, k a, k b GROUP BY ALL) SELECT x, y, round(s, 6) AS sum FROM p JOIN m USING (x, y)""")
+def gaussian_sum(spark, d):
+    return pixels.separable(plane(spark, d), WEIGHTS).select("x", "y", r6(F.col("sum")).alias("sum"))
+
+
 @query(f"""WITH {PLANE}, m AS (SELECT x // 16 AS bx, y // 16 AS by, median(value) AS v FROM p GROUP BY ALL)
 SELECT a.bx, a.by, round(median(b.v), 6) AS level FROM m a JOIN m b ON abs(a.bx - b.bx) <= 1 AND abs(a.by - b.by) <= 1 GROUP BY a.bx, a.by""")
 def mesh_background(spark, d):
