@@ -95,6 +95,11 @@ def with_edges_and_coverage(mask: DataFrame, x_min: int, y_min: int, nx: int, ny
     return out.join(short, ["x", "y"], "left").withColumn("mask", F.col("mask").bitwiseOR(F.coalesce("short", F.lit(0)))).drop("short")
 
 
+def combined(masks: DataFrame, keys: Sequence[str], mask: Column) -> DataFrame:
+    """(keys, mask): all bits that are set in any row of a pixel."""
+    return masks.groupBy(*keys).agg(F.bit_or(mask).alias("mask"))
+
+
 def pixel_sums(values: DataFrame, pixel: str, value: str, mask: str, ignored: Sequence[int], keys: Sequence[str] = ()) -> DataFrame:
     """(keys, pixel, total, n, n_masked): sums per mapped pixel (from 0 on) of values without an ignored bit; partial sums merge by `merge_sums`."""
     bits = sum(1 << b for b in ignored)

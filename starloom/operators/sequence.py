@@ -47,6 +47,11 @@ def clamped_fill(df: DataFrame, keys: Sequence[str], t: str, tie: str, value: st
     return inside.withColumn("filled", F.coalesce("filled", "__last", "__first", F.lit(0.0))).drop("__last", "__first")
 
 
+def centred_mean(keys: Sequence[str], t: str, value: str, half: float) -> Column:
+    """The mean of the values within `half` in time to both sides; nulls don't count."""
+    return F.avg(value).over(Window.partitionBy(*keys).orderBy(t).rangeBetween(-half, half))
+
+
 def moving(keys: Sequence[str], t: str, tie: str, before: int, after: int) -> WindowSpec:
     return Window.partitionBy(*keys).orderBy(t, tie).rowsBetween(-before, after)
 

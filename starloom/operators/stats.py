@@ -124,6 +124,18 @@ def binned_clip(df: DataFrame, keys: Sequence[str], t: str, value: str, width: f
     return rows.join(spread, by).groupBy(*by).agg(F.avg(kept(t)).alias("t_mean"), F.avg(kept(value)).alias("v_mean"), F.count(kept(value)).alias("n"))
 
 
+def vector_median(df: DataFrame, keys: Sequence[str], vector: str) -> DataFrame:
+    """(keys, place, median) of arrays, place by place; nulls don't count."""
+    places = df.select(*keys, F.posexplode(vector).alias("place", "v"))
+    return places.groupBy(*keys, F.col("place").cast("long").alias("place")).agg(F.percentile(F.col("v").cast("double"), F.lit(0.5)).alias("median"))
+
+
+def ratio_to_largest(df: DataFrame, value: str, name: str) -> DataFrame:
+    """Adds the value over the table's largest one."""
+    top = df.agg(F.max(value).alias("__top"))  # one row
+    return df.join(F.broadcast(top)).withColumn(name, F.col(value) / F.col("__top")).drop("__top")
+
+
 def positive_clipped_mean(df: DataFrame, value: str, kappa: float = 3.0, rounds: int = 5, name: str = "reference") -> DataFrame:
     """One row: the clipped mean of the positive, finite values of the whole table."""
     rows = df.where((F.col(value) > 0) & (F.col(value) < float("inf"))).select(F.lit(1).alias("__one"), value)

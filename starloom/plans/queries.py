@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions import names, scalars
-from starloom.operators import runstate, select, sequence, spatial, stats
+from starloom.operators import manifest, masks, runstate, select, sequence, spatial, stats
 from starloom.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,9 +61,8 @@ def truthy_filter(spark, d):
 @query("""SELECT l_orderkey, l_linenumber, l_quantity - 10 AS x, l_extendedprice - 20000 AS y FROM lineitem
 WHERE l_quantity >= 10 AND l_quantity < 30 AND l_extendedprice >= 20000 AND l_extendedprice < 40000""")
 def box_filter_rebase(spark, d):
-    q, p = F.col("l_quantity"), F.col("l_extendedprice")
-    rows = T(spark, d, "lineitem").where((q >= 10) & (q < 30) & (p >= 20000) & (p < 40000))
-    return rows.select("l_orderkey", "l_linenumber", (q - 10).alias("x"), (p - 20000).alias("y"))
+    rows = T(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_quantity").alias("x"), F.col("l_extendedprice").alias("y"))
+    return select.in_box(rows, {"x": (10, 30), "y": (20000, 40000)})
 
 
 def sky(df: DataFrame, key: str) -> DataFrame:
@@ -82,7 +81,8 @@ def cone_filter(spark, d):
 
 @query("""SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' ORDER BY o_totalprice DESC, o_orderkey LIMIT 20""")
 def early_stop_topn(spark, d):
-    return T(spark, d, "orders").where("o_orderstatus = 'F'").select("o_orderkey", "o_totalprice").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(20)
+    o = T(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    return select.first_valid(o, F.col("o_orderstatus") == "F", [F.desc("o_totalprice"), "o_orderkey"], 20).select("o_orderkey", "o_totalprice")
 
 
 @query("""WITH c AS (SELECT c_custkey, 0.02 + (c_nationkey % 5) * 0.002 AS kernel FROM customer WHERE c_nationkey % 7 <> 0),
@@ -100,8 +100,8 @@ def calib_left_join(spark, d):
 @query("""WITH u AS (SELECT o_custkey, arg_max(o_orderstatus, o_orderkey) AS status FROM orders GROUP BY o_custkey)
 SELECT c_custkey, coalesce(status, '') AS status FROM customer LEFT JOIN u ON c_custkey = o_custkey""")
 def update_join_last_wins(spark, d):
-    last = T(spark, d, "orders").groupBy("o_custkey").agg(F.max_by("o_orderstatus", "o_orderkey").alias("status"))
-    return T(spark, d, "customer").join(last, F.col("c_custkey") == F.col("o_custkey"), "left").select("c_custkey", F.coalesce("status", F.lit("")).alias("status"))
+    results = T(spark, d, "orders").select(F.col("o_custkey").cast("string").alias("id"), "o_orderkey", "o_orderstatus")
+    return manifest.update_last(T(spark, d, "customer").select("c_custkey"), F.col("c_custkey").cast("string"), results, "id", "o_orderkey", {"o_orderstatus": "status"}, {"status": ""})
 
 
 @query("""SELECT c_custkey, coalesce(min(o_orderkey), -1) AS first_order FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey""")
@@ -135,8 +135,7 @@ def grid_groups(spark, d):
 
 @query("""SELECT o_orderpriority, arg_min(o_orderkey, (o_orderdate, o_orderkey)) AS first_order, count(*) AS n FROM orders GROUP BY o_orderpriority""")
 def group_summary(spark, d):
-    first = F.min_by("o_orderkey", F.struct("o_orderdate", "o_orderkey")).alias("first_order")
-    return T(spark, d, "orders").groupBy("o_orderpriority").agg(first, F.count(F.lit(1)).alias("n"))
+    return select.first_of_group(T(spark, d, "orders"), ["o_orderpriority"], ["o_orderdate", "o_orderkey"], "o_orderkey", "first_order")
 
 
 CLIP_STEP = """, b{i} AS (SELECT l_returnflag, quantile_cont(x, 0.5) - 1.5 * stddev_pop(x) AS lo, quantile_cont(x, 0.5) + 1.5 * stddev_pop(x) AS hi
@@ -175,7 +174,7 @@ def masked_groupby(spark, d):
 
 @query("""SELECT l_orderkey, bit_or(1 << l_linenumber) AS mask FROM lineitem GROUP BY l_orderkey""")
 def bit_or_masks(spark, d):
-    return T(spark, d, "lineitem").groupBy("l_orderkey").agg(F.expr("bit_or(shiftleft(1, l_linenumber))").alias("mask"))
+    return masks.combined(T(spark, d, "lineitem"), ["l_orderkey"], F.expr("shiftleft(1, l_linenumber)"))
 
 
 @query("""SELECT ceil((p_retailprice - 900) / 200)::INT AS bin, count(*) AS n FROM part WHERE p_retailprice > 900 GROUP BY 1""")
@@ -198,14 +197,14 @@ def block_reduce(spark, d):
 
 @query("""SELECT label, k AS place, round(quantile_cont(v, 0.5), 6) AS median FROM (SELECT label, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) - 1 AS k FROM embeddings) GROUP BY 1, 2""")
 def group_median_vec(spark, d):
-    long = T(spark, d, "embeddings").select("label", F.posexplode("embedding").alias("place", "v"))
-    return long.groupBy("label", F.col("place").cast("long").alias("place")).agg(r6(F.percentile(F.col("v").cast("double"), F.lit(0.5))).alias("median"))
+    out = stats.vector_median(T(spark, d, "embeddings"), ["label"], "embedding")
+    return out.withColumn("median", r6(F.col("median")))
 
 
 @query("""SELECT c_custkey, round(c_acctbal / (SELECT max(c_acctbal) FROM customer), 6) AS ratio FROM customer""")
 def ratio_to_max(spark, d):
     c = T(spark, d, "customer").select("c_custkey", "c_acctbal")
-    return c.join(F.broadcast(c.agg(F.max("c_acctbal").alias("top")))).select("c_custkey", r6(F.col("c_acctbal") / F.col("top")).alias("ratio"))
+    return stats.ratio_to_largest(c, "c_acctbal", "ratio").select("c_custkey", r6(F.col("ratio")).alias("ratio"))
 
 
 STEPS = """WITH e AS (SELECT event_id, user_id, value, epoch_us(ts) / 1e6 AS t FROM events), """
@@ -231,8 +230,7 @@ def linear_fill(spark, d):
 @query(STEPS + """w AS (SELECT event_id, avg(value) OVER (PARTITION BY user_id ORDER BY t RANGE BETWEEN 86400.0 PRECEDING AND 86400.0 FOLLOWING) AS m FROM e)
 SELECT event_id, round(m, 6) AS mean FROM w""")
 def centered_mean(spark, d):
-    w = Window.partitionBy("user_id").orderBy("t").rangeBetween(-86400, 86400)
-    return events(spark, d).select("event_id", r6(F.avg("value").over(w)).alias("mean"))
+    return events(spark, d).select("event_id", r6(sequence.centred_mean(["user_id"], "t", "value", 86400)).alias("mean"))
 
 
 @query(STEPS + """w AS (SELECT event_id, quantile_cont(value, 0.5) OVER (PARTITION BY user_id ORDER BY t, event_id ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING) AS m FROM e)
@@ -350,8 +348,7 @@ def aperture_sum(spark, d):
 
 @query("""SELECT l_partkey, l_linenumber, arg_max(l_extendedprice, (l_orderkey, l_suppkey, l_extendedprice)) AS value FROM lineitem GROUP BY l_partkey, l_linenumber""")
 def mosaic_last_wins(spark, d):
-    last = F.max_by("l_extendedprice", F.struct("l_orderkey", "l_suppkey", "l_extendedprice")).alias("value")
-    return T(spark, d, "lineitem").groupBy("l_partkey", "l_linenumber").agg(last)
+    return select.last_wins(T(spark, d, "lineitem"), ["l_partkey", "l_linenumber"], ["l_orderkey", "l_suppkey", "l_extendedprice"], "l_extendedprice")
 
 
 @query("""SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' THEN 'R' ELSE o_orderstatus END AS o_orderstatus, o_orderstatus = 'O' AS claimed FROM orders""")
@@ -372,6 +369,6 @@ def keyed_gather(spark, d):
     return o.select("o_orderkey", F.coalesce("n", F.lit(0)).alias("arrived"), F.coalesce(F.col("n") == F.col("last"), F.lit(False)).alias("complete"))
 
 
-@query("""SELECT p_partkey, substr(sha256(concat_ws('|', p_name, p_brand, p_type)), 1, 16) AS fingerprint FROM part""")
+@query("""SELECT p_partkey, substr(sha256('{"brand":"' || p_brand || '","name":"' || p_name || '","type":"' || p_type || '"}'), 1, 16) AS fingerprint FROM part""")
 def fingerprint(spark, d):
-    return T(spark, d, "part").select("p_partkey", F.substring(F.sha2(F.concat_ws("|", "p_name", "p_brand", "p_type"), 256), 1, 16).alias("fingerprint"))
+    return T(spark, d, "part").select("p_partkey", names.fingerprint({"name": F.col("p_name"), "type": F.col("p_type"), "brand": F.col("p_brand")}).alias("fingerprint"))
