@@ -112,13 +112,16 @@ def mix(
     budget: int | None = None,
     tokens: str | None = None,
     identity: Sequence[str] | None = None,
+    ordered: bool = False,
     rows_per_block: int = 200_000,
     least_blocks: int = 64,
     seed: int = SEED,
 ) -> DataFrame:
     """All columns of `df`, one row per copy, plus `copy_no` (int, from 1), `mix_block` (int), `mix_order` (long) and `mix_tokens` (long).
 
-    Sorted by mix_order the copies are the mixed order, and each mix_block is a stretch of it; no sort is forced here.
+    Sorted by mix_order the copies are the mixed order, and each mix_block is a stretch of it; no sort is forced here, unless
+    `ordered` asks for it: then documents are dealt to partitions by their hash, each of them once however many its
+    copies, and every partition is a mix of its own, in order.
     """
     size = (F.coalesce(F.col(tokens), F.lit(0)) if tokens else n_tokens(text)).cast("long")
     df = df.select("*", size.alias(name := fresh_name(df, "size"))).drop(*(c for c in ADDED if c != tokens))
@@ -155,8 +158,11 @@ def mix(
     joined = rows.join(plan, F.col(source).eqNullSafe(F.col(s)))
     partial = F.coalesce((at < F.col(b)) | ((at == F.col(b)) & (F.col(h) <= F.col(cut))), F.lit(False))
     copies = F.col(times) + partial.cast("int")
+    if ordered:
+        joined = joined.where(copies > 0).repartition(at)
     out = joined.withColumn("copy_no", F.explode(F.when(copies > 0, F.sequence(F.lit(1), copies))))
     order = F.xxhash64(F.lit(seed + 1), F.col(h), F.col("copy_no"))
     out = out.withColumns({"mix_block": place(order), "mix_order": order, "mix_tokens": F.col(name)})
     kept = [c for c in df.columns if c != name and c not in ADDED]
-    return out.select(*kept, *ADDED)
+    out = out.select(*kept, *ADDED)
+    return out.sortWithinPartitions("mix_order") if ordered else out

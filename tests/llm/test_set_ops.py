@@ -109,6 +109,9 @@ def test_mix_to_a_budget(spark):
         assert {r.h for r in out} == {7} and len({r.mix_order for r in out}) == len(out)
         in_order = sorted(out, key=lambda r: r.mix_order)
         assert [r.mix_block for r in in_order] == sorted(r.mix_block for r in out)
+    files = mixing.mix(df, ordered=True).withColumn("file", F.spark_partition_id()).collect()
+    assert Counter((r.doc_id, r.copy_no, r.mix_order) for r in files) == Counter((r.doc_id, r.copy_no, r.mix_order) for r in mixing.mix(df).collect())
+    assert all(a.file != b.file or a.mix_order < b.mix_order for a, b in zip(files, files[1:]))
     many = spark.range(3000).selectExpr("id AS doc_id", "concat('s', id) AS source", "repeat('w ', cast(id % 5 AS int)) AS text")
     assert mixing.mix(many, entropy=7.6).count() >= 3000 and mixing.mix(many).count() >= 3000  # any number of sources
 
