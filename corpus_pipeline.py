@@ -42,8 +42,8 @@ def duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A flatter mix of the sources: every document stays, those of small sources up to twice.  Each file holds whole blocks in mixed order."""
-    return mixing.mix(docs).repartition("mix_block").sortWithinPartitions("mix_block", "mix_order").select(*docs.columns)
+    """A flatter mix of the sources: every document stays, those of small sources up to twice.  Each file is a mix of its own, in mixed order."""
+    return mixing.mix(docs, ordered=True).select(*docs.columns)
 
 
 def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
