@@ -301,3 +301,27 @@ def test_readers_and_sinks(spark, tmp_path):
     boxed = catalogues.cropped(spark.createDataFrame([(1, 1, 1.0), (5, 5, 2.0)], "x int, y int, value double"), (4, 8, 4, 8))
     assert [(r.x, r.y) for r in boxed.collect()] == [(1, 1)]
     assert select.keep_one(a, ["product_id"], ["kernel_sum"]).count() == 2
+
+
+def test_first_valid_wants_enough_rows(spark):
+    df = spark.createDataFrame([(1, True), (2, None), (3, True)], "k int, ok boolean")
+    assert [r.k for r in select.first_valid(df, F.col("ok"), ["k"], 2).orderBy("k").collect()] == [1, 3]
+    with pytest.raises(Exception, match="2 valid rows of 3"):
+        select.first_valid(df, F.col("ok"), ["k"], 3).collect()
+
+
+def test_separable_as_the_whole_kernel(spark):
+    rng = random.Random(9)
+    plane = spark.createDataFrame([(x, y, rng.random()) for x in range(9) for y in range(7) if rng.random() < 0.7], "x int, y int, value double")
+    w = [0.2, 0.5, 0.1]
+    whole = {(r.x, r.y): r["sum"] for r in pixels.convolve(plane, {(i - 1, j - 1): w[i] * w[j] for i in range(3) for j in range(3)}).collect()}
+    parts = {(r.x, r.y): r["sum"] for r in pixels.separable(plane, w).collect()}
+    assert whole.keys() == parts.keys() and all(abs(whole[k] - parts[k]) < 1e-12 for k in whole)
+    assert abs(sum(pixels.gaussian(1.5)) - 1) < 1e-12
+
+
+def test_first_seen_and_last_tile(spark):
+    df = spark.createDataFrame([("a", 2, 5.0), ("a", 1, 7.0), ("b", 1, None)], "k string, i int, v double")
+    assert {r.k: (r.first, r.n) for r in select.first_of_group(df, ["k"], ["i"], "v", "first").collect()} == {"a": (7.0, 2), "b": (None, 1)}
+    assert {r.k: r.value for r in select.last_wins(df, ["k"], ["i"], "v").collect()} == {"a": 5.0, "b": None}
+    assert [(r.i, r.v) for r in select.in_box(df, {"v": (5.0, 7.0)}).collect()] == [(2, 0.0)]
