@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions import scalars
 from starloom.operators import joins, pixels, runstate, select, sequence, spatial, stats
-from starloom.plans.queries import T, events, query, r6
+from starloom.plans.queries import SQL, T, events, query, r6
 
 E = "e AS (SELECT event_id, user_id, event_type, value, epoch_us(ts) / 1e6 AS t FROM events)"
 PLANE = "p AS (SELECT l_orderkey % 128 AS x, l_partkey % 128 AS y, avg(l_quantity) AS value FROM lineitem GROUP BY ALL)"
@@ -55,6 +55,14 @@ def nearest_tile(spark, d):
     return spatial.nearest(p, stars(spark, d), 100.0, "p_partkey", "s_suppkey").select("p_partkey", "s_suppkey")
 
 
+@query(SQL["nearest_tile"])
+def nearest_tile_unbounded(spark, d):
+    """The same by a small first radius, which is doubled more often."""
+    k = F.col("p_partkey")
+    p = T(spark, d, "part").select("p_partkey", (k * 17 % 1000).alias("x"), (k * 29 % 1000).alias("y"))
+    return spatial.nearest(p, stars(spark, d), 25.0, "p_partkey", "s_suppkey").select("p_partkey", "s_suppkey")
+
+
 @query(None)
 def greedy_thin(spark, d):
     k = F.col("c_custkey")
