@@ -51,6 +51,58 @@ def fresh_name(df: DataFrame, stem: str) -> str:
     return next(n for n in itertools.chain([stem], (f"{stem}_{i}" for i in itertools.count(1))) if n.lower() not in taken)
 
 
+#: A key that holds more than one in so many rows is joined by broadcast; fewer than this number of keys do.
+HOT = 4096
+
+
+def join_hot(big: DataFrame, small: DataFrame, key: str, weight: str, total: int | None = None) -> DataFrame:
+    """Inner join with `small`, which has one row per key and in `weight` the key's rows in `big`; rows of hot keys stay where they are."""
+    if total is None:
+        total = small.agg(F.sum(weight)).first()[0] or 0
+    is_hot = F.col(weight) * HOT > total
+    hot = small.where(is_hot)
+    rest = big.join(F.broadcast(hot.select(key)), key, "left_anti").join(small.where(~is_hot), key)
+    return big.join(F.broadcast(hot), key).unionByName(rest)
+
+
+def pointer_jumps(to: DataFrame) -> DataFrame:
+    """(u, p) of rows (u, p), every u with the end of its chain: no p leads further."""
+    while True:
+        members = to.groupBy("p").agg(F.count(F.lit(1)).alias("n_members"))
+        further = members.join(to.select(F.col("u").alias("p"), F.col("p").alias("further")), "p", "left")
+        jumped = join_hot(to, written(further), "p", "n_members").select("u", F.coalesce("further", "p").alias("p"), (F.col("further") != F.col("p")).alias("moved"))
+        jumped = written(jumped)
+        if jumped.where("moved").isEmpty():
+            return to
+        to = jumped.select("u", "p")
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(v, label): the least node of each connected part of edges (u, v), by contraction.
+
+    In each round every node points at its least neighbour, chains of pointers are jumped to their ends, and the edges between ends
+    are what's left: at most half of the nodes, so the rounds are a logarithm of the longest part's size.  Tables are
+    written, not checkpointed, as a checkpoint keeps its plan's estimated size, which grows with every join of a loop.
+    """
+    edges = edges.toDF("u", "v")
+    both, label = written(edges.union(edges.select("v", "u")).where("u != v").distinct()), None
+    while True:
+        degree = both.groupBy("u").agg(F.count(F.lit(1)).alias("degree"), F.min("v").alias("least"))
+        degree = written(degree)
+        ends = pointer_jumps(written(degree.select("u", F.least("u", "least").alias("p"))))
+        if label is None:
+            label = ends
+        else:
+            members = label.groupBy("p").agg(F.count(F.lit(1)).alias("n_members")).join(ends.select(F.col("u").alias("p"), F.col("p").alias("further")), "p", "left")
+            label = written(join_hot(label, written(members), "p", "n_members").select("u", F.coalesce("further", "p").alias("p")))
+        nodes, n_ends = written(degree.select("u", "degree").join(ends, "u")), both.count()
+        half = join_hot(both, nodes, "u", "degree", n_ends).select("v", F.col("p").alias("pu"))
+        other = nodes.select(F.col("u").alias("v"), "degree", F.col("p").alias("pv"))
+        both = written(join_hot(half, other, "v", "degree", n_ends).where("pu != pv").select("pu", "pv").distinct().toDF("u", "v"))
+        if both.isEmpty():
+            return label.select(F.col("u").alias("v"), F.col("p").alias("label"))
+
+
 def chunks(batches: Iterable[pa.RecordBatch], max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Slice Arrow batches so that no slice (but for a single larger row) holds much over `max_bytes`."""
     for batch in batches:

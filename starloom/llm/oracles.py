@@ -56,4 +56,82 @@ SELECT named.doc_id, named.class_id, CAST(classes.size - 1 + coalesce(linked.n,
 FROM named JOIN classes USING (class_id) JOIN grouped ON grouped.c = named.class_id LEFT JOIN linked ON linked.c = named.class_id
 """
 
-SQL = {"op2_chat_format": CHAT_FORMAT, "op9_ngram_jaccard": NGRAM_JACCARD}
+#: crc32 byte by byte through its table; one-edit pairs by words with one code point left out; roots by closure.
+SPELLING_VARIANTS = r"""
+WITH RECURSIVE crc_table AS (
+    SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+    FROM range(256) AS r(i)
+), runs AS (
+    SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+    FROM documents
+), counted AS (
+    SELECT doc_id, run, count(*) AS n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS h FROM runs GROUP BY ALL
+), hashed AS (
+    SELECT run, n, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(0, len(h) // 2), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT))),
+        lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8))) AS crc
+    FROM counted, crc_table
+), edited AS (
+    SELECT CASE WHEN crc % 199 = 0 THEN substr(run, 1, crc % length(run)) || substr(run, crc % length(run) + 2) ELSE run END AS word, n FROM hashed
+), words AS (
+    SELECT word, CAST(sum(n) AS BIGINT) AS n FROM edited WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), cuts AS (
+    SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS cut FROM (SELECT word, unnest(range(length(word))) AS i FROM words)
+), pairs AS (
+    SELECT a.word AS a, b.word AS b FROM cuts a JOIN cuts b ON a.i = b.i AND a.cut = b.cut AND a.word <> b.word
+    UNION SELECT c.word, w.word FROM cuts c JOIN words w ON c.cut = w.word
+    UNION SELECT w.word, c.word FROM cuts c JOIN words w ON c.cut = w.word
+), best AS (
+    SELECT a AS word, count(*) AS n_near, arg_min(b, (-n, b)) AS form, max(n) AS form_n FROM pairs JOIN words ON words.word = b GROUP BY a
+), named AS (
+    SELECT words.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 5 * n THEN form END AS form, CASE WHEN form_n >= 5 * n THEN form_n END AS form_n
+    FROM words LEFT JOIN best ON words.word = best.word
+), chain AS (
+    SELECT word, word AS r FROM named
+    UNION ALL SELECT chain.word, form FROM chain JOIN named ON named.word = r WHERE form IS NOT NULL
+)
+SELECT named.*, r AS root FROM named JOIN chain ON chain.word = named.word JOIN named AS top ON top.word = r WHERE top.form IS NULL
+"""
+
+#: All pairs by brute force, components by closure; vectors that link with nothing are a component each.
+NEAR_VECTORS = r"""
+WITH RECURSIVE usable AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.95
+), reached AS (
+    SELECT vec_id, vec_id AS r FROM embeddings
+    UNION SELECT vec_id, b FROM reached JOIN links ON a = r
+), smallest AS (SELECT vec_id, min(r) AS component_id FROM reached GROUP BY vec_id)
+SELECT e.vec_id, (SELECT count(*) FROM links WHERE a = e.vec_id) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e JOIN smallest ON smallest.vec_id = e.vec_id
+"""
+
+FILL_IN_MIDDLE = r"""
+WITH hashed AS (
+    SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+        regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units
+    FROM documents
+), drawn AS (
+    SELECT doc_id, text, units, len(units) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(units) + 1) AS x, CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(units) + 1) AS y,
+        CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 >= 50 THEN 'plain'
+            WHEN CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+    FROM hashed
+), cut AS (
+    SELECT doc_id, text, n, form, array_to_string(units[1:least(x, y)], '') AS p, array_to_string(units[least(x, y) + 1:greatest(x, y)], '') AS m,
+        array_to_string(units[greatest(x, y) + 1:], '') AS s
+    FROM drawn
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN text WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE '<P>' || p || '<S>' || s || '<M>' || m END) AS output_sha256,
+    sha256(text) AS restored_sha256
+FROM cut
+"""
+
+SQL = {
+    "op2_chat_format": CHAT_FORMAT,
+    "op9_ngram_jaccard": NGRAM_JACCARD,
+    "op11_spelling_variants": SPELLING_VARIANTS,
+    "op12_near_vectors": NEAR_VECTORS,
+    "op13_fill_in_middle": FILL_IN_MIDDLE,
+}

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import chat_format, html_text, media, mixing, near_duplicates, piece_bpe, quality_classifier, quality_rules, sharding, token_counts
+from starloom.llm import (
+    chat_format, fill_in_middle, html_text, media, mixing, near_duplicates, near_vectors, piece_bpe, quality_classifier, quality_rules, sharding, spelling_variants, token_counts,
+)
 from starloom.llm.common import materialise, table
 from starloom.llm.oracles import SQL
 
@@ -74,10 +76,26 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.group_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rewritten = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    return fill_in_middle.restored(rewritten).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256")
+    )
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (
         op1_token_counts, op2_chat_format, op3_sentencepiece, op4_quality_rules, op5_sharding,
         op6_media, op7_mixing, op8_html_text, op9_ngram_jaccard, op10_quality_classifier,
+        op11_spelling_variants, op12_near_vectors, op13_fill_in_middle,
     )}
 
 
