@@ -6,7 +6,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from starloom.plans import frame_queries, mask_queries, state_queries, survey_queries
+from starloom.plans import frame_queries, image_queries, mask_queries, state_queries, survey_queries
 from starloom.plans.queries import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
@@ -38,5 +38,5 @@ def test_same_as_sql(spark, duck, name):
 
 
 def test_all_registered():
-    for f in (survey_queries.aperture_flux, frame_queries.frame_names, state_queries.state_promote, mask_queries.catalogue_mask):
+    for f in (image_queries.kernel_subtract, survey_queries.aperture_flux, frame_queries.frame_names, state_queries.state_promote, mask_queries.catalogue_mask):
         assert f in QUERIES.values()
