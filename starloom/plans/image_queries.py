@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators import kernel_fit, psf_flux
+from starloom.operators import kernel_fit, psf_flux, star_profiles
 from starloom.plans.queries import T, query, r6
 
 SIDE = 48
@@ -91,3 +91,27 @@ def psf_flux_fit(spark, d):
     pixels = lit_frames(spark, d).withColumn("noise", F.col("n").cast("double"))
     found = psf_flux.fit_flux(pixels, square.select("source", "x", "y", "u", "v", psf.alias("psf")), ["frame", "source"], order=0)
     return found.where("n_pix >= 2").select("frame", "source", "n_pix", F.round("flux", 5).alias("flux"), F.round("eflux", 5).alias("eflux"))
+
+
+STAR_TEMPLATE = """WITH t AS (SELECT unnest(range(4)) AS tile), c AS (SELECT tile, 20 + 40 * (tile % 2) AS cx, 20 + 40 * (tile // 2) AS cy FROM t),
+cell AS (SELECT tile, i, j, (1 + i) * (2 + j + tile) / 100.0::DOUBLE AS w FROM t, (SELECT unnest(range(5)) AS i), (SELECT unnest(range(5)) AS j)),
+s AS (SELECT c_custkey, c_nationkey AS grp, (c_custkey * 37 % 820) / 10.0 - 1 AS x, (c_custkey * 61 % 830) / 10.0 - 1 AS y, 1 + c_custkey % 7 AS flux FROM customer),
+n AS (SELECT s.*, arg_min(tile, ((x - cx) * (x - cx) + (y - cy) * (y - cy), tile)) AS tile FROM s, c WHERE x >= 0 AND x < 80 AND y >= 0 AND y < 80 GROUP BY ALL),
+m AS (SELECT *, 2 * x AS fx, 2 * y AS fy, round_even(2 * x, 0) AS rx, round_even(2 * y, 0) AS ry FROM n),
+f AS (SELECT grp, rx - 2 + j + dj AS gx, ry - 2 + i + di AS gy, flux * w * CASE WHEN di = 0 THEN 1 - abs(fy - ry) ELSE abs(fy - ry) END * CASE WHEN dj = 0 THEN 1 - abs(fx - rx) ELSE abs(fx - rx) END AS v
+ FROM m JOIN cell USING (tile), (SELECT unnest([-1, 0, 1]) AS di), (SELECT unnest([-1, 0, 1]) AS dj)
+ WHERE (di = 0 OR di = sign(fy - ry)) AND (dj = 0 OR dj = sign(fx - rx)) AND i + di BETWEEN 0 AND 4 AND j + dj BETWEEN 0 AND 4
+ AND i + di - (fy - ry) BETWEEN 0 AND 4 AND j + dj - (fx - rx) BETWEEN 0 AND 4)
+SELECT grp, CAST(floor(gx / 2) AS BIGINT) AS x, CAST(floor(gy / 2) AS BIGINT) AS y, round(sum(v), 5) AS value FROM f WHERE gx BETWEEN 0 AND 159 AND gy BETWEEN 0 AND 159 GROUP BY ALL HAVING sum(v) > 0"""
+
+
+@query(STAR_TEMPLATE)
+def star_template(spark, d):
+    """One template per nation, of its customers as stars."""
+    k = F.col("c_custkey")
+    stars = T(spark, d, "customer").select("c_nationkey", (k * 37 % 820 / 10 - 1).alias("x"), (k * 61 % 830 / 10 - 1).alias("y"), (1 + k % 7).cast("double").alias("flux"))
+    tile = spark.range(4).select(F.col("id").cast("int").alias("tile"))
+    weight = F.transform(F.sequence(F.lit(0), F.lit(24)), lambda c: (1 + F.floor(c / 5)) * (2 + c % 5 + F.col("tile")) / 100.0)
+    profiles = tile.select("tile", weight.alias("profile"))
+    found = star_profiles.star_template(stars.withColumnRenamed("c_nationkey", "grp"), profiles, ["grp"], star_profiles.tile_centres(40, 2, 2), 2, 80, 80)
+    return found.where("value > 0").select("grp", "x", "y", F.round("value", 5).alias("value"))
