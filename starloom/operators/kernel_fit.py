@@ -77,6 +77,11 @@ def design(parts: np.ndarray, x: np.ndarray, y: np.ndarray, model: KernelModel)
     return np.concatenate((parts[:1], varied.reshape(-1, *x.shape), ground))
 
 
+def named(value: object, n: int) -> pd.Series:
+    """A name in every row, as objects: strings too can go back to Spark."""
+    return pd.Series([value] * n, dtype=object)
+
+
 def dense(rows: pd.DataFrame, column: str, x0: int, y0: int, width: int, height: int) -> np.ndarray:
     """Missing pixels are NaN."""
     out = np.full((height, width), np.nan)
@@ -127,7 +132,7 @@ def stamp_sums(science: DataFrame, template: DataFrame, stamps: DataFrame, model
         a = design(parts, x, y, model).reshape(-1, size * size)
         w, v = weight.ravel(), value.ravel()
         aw = a * w
-        return pd.DataFrame({"frame": rows["frame"].iloc[:1], "stamp": rows["stamp"].iloc[:1], "gram": [(aw @ a.T).ravel()], "side": [aw @ v], "squares": [float(w @ (v * v))], "n_pix": [int((w > 0).sum())]})
+        return pd.DataFrame({"frame": named(rows["frame"].iloc[0], 1), "stamp": named(rows["stamp"].iloc[0], 1), "gram": [(aw @ a.T).ravel()], "side": [aw @ v], "squares": [float(w @ (v * v))], "n_pix": [int((w > 0).sum())]})
 
     kinds = f"frame {stamps.schema['frame'].dataType.simpleString()}, stamp {stamps.schema['stamp'].dataType.simpleString()}"
     return pixels.groupBy("frame", "stamp").applyInPandas(of_stamp, f"{kinds}, gram array<double>, side array<double>, squares double, n_pix long")
@@ -156,7 +161,7 @@ def fit_kernels(science: DataFrame, template: DataFrame, stamps: DataFrame, mode
     def of_frame(rows: pd.DataFrame) -> pd.DataFrame:
         gram = np.stack(rows["gram"].to_list()).reshape(-1, p, p)
         solution, used, chi2 = solve_clipped(gram, np.stack(rows["side"].to_list()), rows["squares"].to_numpy(), rows["n_pix"].to_numpy(), kappa, rounds)
-        return pd.DataFrame({"frame": rows["frame"].iloc[:1], "solution": [solution], "kernel_sum": [float(solution[0])], "chi2": [chi2], "n_used": [int(used.sum())], "n_stamps": [len(rows)]})
+        return pd.DataFrame({"frame": named(rows["frame"].iloc[0], 1), "solution": [solution], "kernel_sum": [float(solution[0])], "chi2": [chi2], "n_used": [int(used.sum())], "n_stamps": [len(rows)]})
 
     sums = stamp_sums(science, template, stamps, model).where("n_pix > 0")
     return sums.groupBy("frame").applyInPandas(of_frame, f"frame {stamps.schema['frame'].dataType.simpleString()}, solution array<double>, kernel_sum double, chi2 double, n_used long, n_stamps long")
@@ -177,7 +182,7 @@ def kernel_images(solutions: DataFrame, model: KernelModel, x: float, y: float)
         ky, kx = np.mgrid[-model.half : model.half + 1, -model.half : model.half + 1]
         for part in parts:
             for frame, solution in zip(part["frame"], part["solution"]):
-                yield pd.DataFrame({"frame": frame, "kx": kx.ravel(), "ky": ky.ravel(), "weight": kernel_at(solution, model, x, y).ravel()})
+                yield pd.DataFrame({"frame": named(frame, kx.size), "kx": kx.ravel(), "ky": ky.ravel(), "weight": kernel_at(solution, model, x, y).ravel()})
 
     kind = solutions.schema["frame"].dataType.simpleString()
     return solutions.select("frame", "solution").mapInPandas(run, f"frame {kind}, kx int, ky int, weight double")
@@ -192,7 +197,7 @@ def convolve_planes(template: DataFrame, solutions: DataFrame, model: KernelMode
 
     def of_tile(key: tuple, rows: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
         if not len(own) or not len(rows):
-            return pd.DataFrame({"frame": [], "x": [], "y": [], "convolved": [], "background": []})
+            return pd.DataFrame({"frame": named(None, 0), "x": [], "y": [], "convolved": [], "background": []})
         x0, y0 = int(key[1]) * tile, int(key[2]) * tile
         side = tile + 2 * model.half
         parts, sound = convolutions(dense(rows, "value", x0 - model.half, y0 - model.half, side, side), basis_images(model.half, model.falloffs, model.degrees))
@@ -200,7 +205,7 @@ def convolve_planes(template: DataFrame, solutions: DataFrame, model: KernelMode
         a, s = design(parts, x.astype(float), y.astype(float), model), own["solution"].iloc[0]
         n_ground = len(monomials(model.background_order))
         whole, ground = np.tensordot(s[:-n_ground], a[:-n_ground], axes=1), np.tensordot(s[-n_ground:], a[-n_ground:], axes=1)
-        return pd.DataFrame({"frame": key[0], "x": x[sound], "y": y[sound], "convolved": whole[sound], "background": ground[sound]})
+        return pd.DataFrame({"frame": named(key[0], int(sound.sum())), "x": x[sound], "y": y[sound], "convolved": whole[sound], "background": ground[sound]})
 
     kind = template.schema["frame"].dataType.simpleString()
     return tiled.groupBy("frame", "tx", "ty").cogroup(work.groupBy("own_frame", "own_tx", "own_ty")).applyInPandas(of_tile, f"frame {kind}, x long, y long, convolved double, background double")

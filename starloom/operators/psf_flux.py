@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.kernel_fit import monomials
+from starloom.operators.kernel_fit import monomials, named
 
 
 def moved(image: np.ndarray, dy: float, dx: float) -> np.ndarray:
@@ -65,7 +65,7 @@ def psf_stamps(sources: DataFrame, key: str, oversample: int, size: int) -> Data
                 ix, iy = int(np.floor(px + 0.5)), int(np.floor(py + 0.5))
                 psf = located(np.asarray(profile, float).reshape(side, side), oversample, middle + px - ix, middle + py - iy, size)
                 x, y = u + ix - size // 2, v + iy - size // 2
-                yield pd.DataFrame({key: name, "x": x.ravel(), "y": y.ravel(), "u": (u - middle).ravel(), "v": (v - middle).ravel(), "psf": psf.ravel()})
+                yield pd.DataFrame({key: named(name, u.size), "x": x.ravel(), "y": y.ravel(), "u": (u - middle).ravel(), "v": (v - middle).ravel(), "psf": psf.ravel()})
 
     kind = sources.schema[key].dataType.simpleString()
     known = sources.where("px IS NOT NULL AND py IS NOT NULL AND profile IS NOT NULL").select(key, "px", "py", "profile")

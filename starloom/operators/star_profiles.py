@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.operators.kernel_fit import named
 from starloom.operators.psf_flux import centred
 
 
@@ -84,7 +85,7 @@ def fit_profiles(
             solution = np.linalg.lstsq(a * weight, v * weight[:, 0], rcond=None)[0][: n * n]
             if np.isfinite(solution).all() and solution.sum() > 0:
                 profile = (solution / solution.sum()).tolist()
-        return pd.DataFrame({"frame": [key[0]], "tile": [key[1]], "profile": [profile]})
+        return pd.DataFrame({"frame": named(key[0], 1), "tile": [key[1]], "profile": [profile]})
 
     kind = planes.schema["frame"].dataType.simpleString()
     fits = pixels.groupBy("frame", "tile").cogroup(of_frame.groupBy("star_frame", "star_tile")).applyInPandas(of_tile, f"frame {kind}, tile int, profile array<double>")
@@ -92,7 +93,7 @@ def fit_profiles(
     def filled(rows: pd.DataFrame) -> pd.DataFrame:
         good = rows["profile"].notna()
         middle = np.median(np.stack(rows["profile"][good].to_list()), axis=0) if good.any() else None
-        out = pd.DataFrame({"frame": rows["frame"].iloc[0], "tile": range(across * down)}).merge(rows[good][["tile", "profile"]], on="tile", how="left")
+        out = pd.DataFrame({"frame": named(rows["frame"].iloc[0], across * down), "tile": range(across * down)}).merge(rows[good][["tile", "profile"]], on="tile", how="left")
         out["fitted"] = out["profile"].notna()
         out["profile"] = [p if ok else middle for p, ok in zip(out["profile"], out["fitted"])]
         return out if middle is not None else out.iloc[:0]

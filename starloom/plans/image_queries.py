@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators import kernel_fit, psf_flux, star_profiles
+from starloom.operators import background, kernel_fit, psf_flux, star_profiles
 from starloom.plans.queries import T, query, r6
 
 SIDE = 48
@@ -115,3 +115,23 @@ def star_template(spark, d):
     profiles = tile.select("tile", weight.alias("profile"))
     found = star_profiles.star_template(stars.withColumnRenamed("c_nationkey", "grp"), profiles, ["grp"], star_profiles.tile_centres(40, 2, 2), 2, 80, 80)
     return found.where("value > 0").select("grp", "x", "y", F.round("value", 5).alias("value"))
+
+
+MASKED_BACKGROUND = f"""WITH {FRAMES}, b AS (SELECT frame, x // 8 AS bx, y // 8 AS yb, median(value) AS m, stddev_pop(value) AS s, count(*) AS n FROM p GROUP BY ALL),
+k AS (SELECT frame, bx, yb, median(value) FILTER (abs(value - m) <= 2 * s) AS level, any_value(b.n) AS n FROM p JOIN b USING (frame) WHERE x // 8 = bx AND y // 8 = yb GROUP BY ALL),
+g AS (SELECT frame, bx, yb, CASE WHEN n >= 40 THEN level END AS level FROM (SELECT * FROM (SELECT DISTINCT frame FROM p), (SELECT unnest(range(6)) AS bx), (SELECT unnest(range(6)) AS yb)) LEFT JOIN k USING (frame, bx, yb)),
+i AS (SELECT a.frame, a.bx, a.yb, o.level, sqrt((a.bx - o.bx) * (a.bx - o.bx) + (a.yb - o.yb) * (a.yb - o.yb)) AS d, o.yb AS oy, o.bx AS ox FROM g a JOIN g o ON a.frame = o.frame AND a.level IS NULL AND o.level IS NOT NULL),
+r AS (SELECT *, row_number() OVER (PARTITION BY frame, bx, yb ORDER BY d, oy, ox) AS k FROM i),
+w AS (SELECT frame, bx, yb, level FROM g WHERE level IS NOT NULL UNION ALL SELECT frame, bx, yb, sum(level / d) / sum(1 / d) FROM r WHERE k <= 10 GROUP BY ALL),
+z AS (SELECT a.frame, a.bx, a.yb, median(o.level) AS level FROM w a JOIN w o ON a.frame = o.frame AND abs(a.bx - o.bx) <= 1 AND abs(a.yb - o.yb) <= 1 GROUP BY ALL),
+u AS (SELECT *, greatest(0, least(5, (x + 0.5) / 8 - 0.5)) AS gx, greatest(0, least(5, (y + 0.5) / 8 - 0.5)) AS gy FROM p),
+c AS (SELECT u.*, z.level, (1 - abs(gx - bx)) * (1 - abs(gy - yb)) AS share FROM u JOIN z ON z.frame = u.frame AND abs(gx - bx) < 1 AND abs(gy - yb) < 1)
+SELECT frame, x, y, round(sum(level * share), 5) AS background FROM c GROUP BY frame, x, y"""
+
+
+@query(MASKED_BACKGROUND)
+def masked_background(spark, d):
+    """Boxes with fewer than 40 of 64 pixels lit are excluded."""
+    lit = lit_frames(spark, d)
+    found = background.with_background(lit, SIDE, SIDE, 8, exclude=0.375, kappa=2.0, rounds=1)
+    return found.select("frame", "x", "y", F.round("background", 5).alias("background"))

@@ -102,6 +102,16 @@ def test_what_is_left_after_subtraction(spark, sky):
     assert sorted(map(tuple, left)) == [(1, 33, 41, 500.0), (2, 33, 41, 500.0)]
 
 
+def test_frames_with_names(spark, sky):
+    template, science, truth, stamps = sky
+    name = F.concat(F.lit("frame "), "frame")
+    s, t = (frames(spark, {2: p[2]}).withColumn("frame", name) for p in (science, template))
+    at = spark.createDataFrame([r for r in stamps if r[0] == 2], "frame long, stamp long, cx long, cy long").withColumns({"frame": name, "stamp": F.col("stamp").cast("string")})
+    fitted = kernel_fit.fit_kernels(s, t, at, MODEL)
+    assert np.allclose(fitted.first().solution, truth[2], atol=1e-6)
+    assert {r.frame for r in kernel_fit.kernel_images(fitted, MODEL, 1, 1).collect()} == {r.frame for r in kernel_fit.convolve_planes(t, fitted, MODEL).collect()} == {"frame 2"}
+
+
 def test_stamps_without_pixels(spark, sky):
     template, science, _, _ = sky
     at = spark.createDataFrame([(1, 0, -50, -50), (1, 1, 3, 3)], "frame long, stamp long, cx long, cy long")
