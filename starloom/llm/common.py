@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import re
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -21,9 +22,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder the cluster names in spark.checkpoint.dir; one in the warehouse, which is shared as well, only where none is set."""
+    """Use the folder the cluster names in spark.checkpoint.dir; one in the warehouse only where none is set, and on several machines only if that isn't a local folder."""
     if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.sql.warehouse.dir") + "/checkpoints")
+        spark.sparkContext.setCheckpointDir(fallback_folder(spark.sparkContext.master, spark.conf.get("spark.sql.warehouse.dir")))
+
+
+def fallback_folder(master: str, warehouse: str) -> str:
+    if not re.match(r"local(\[|$)", master) and not re.match(r"(?!file:)[\w+.-]+:", warehouse):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share: the warehouse is a local one")
+    return warehouse + "/checkpoints"
 
 
 def materialise(df: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import WORD, map_rows, materialise
+from starloom.llm.common import WORD, components, map_rows, materialise
 
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -254,21 +254,6 @@ def keyed_texts(df: DataFrame) -> DataFrame:
     return map_rows(df.select("text"), make, "class string, text string")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(v, label): the least node of each connected part of edges (u, v), by repeated neighbour minima and pointer jumps."""
-    both = materialise(edges.union(edges.select("v", "u")).where("u != v").distinct().toDF("u", "v"))
-    label = materialise(both.groupBy("v").agg(F.min("u").alias("m")).select("v", F.least("v", "m").alias("label")))
-    while True:
-        at_u = label.select(F.col("v").alias("u"), "label")
-        near = both.join(at_u, "u").select("v", "label").union(label).groupBy("v").agg(F.min("label").alias("label"))
-        jump = near.select(F.col("v").alias("w"), F.col("label").alias("further"))
-        new = near.join(jump, F.col("label") == F.col("w"), "left").select("v", F.least("label", F.coalesce("further", "label")).alias("label"))
-        new = materialise(new)
-        if new.join(label.withColumnRenamed("label", "old"), "v").where("label != old").isEmpty():
-            return new
-        label = new
-
-
 #: Classes with more than one in so many rows are joined by broadcast: fewer than this number.
 HEAVY = 4096
 

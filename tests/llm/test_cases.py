@@ -188,9 +188,9 @@ def test_a_list_of_several_rules(spark):
     for i in range(1200):
         kind = i % 6
         if kind == 0:
-            rows.append((i, text_of(200, symbols=100), 0))
+            rows.append((i, text_of(rng.randint(100, 130), symbols=60), 0))  # as long as good ones
         elif kind == 1:
-            rows.append((i, text_of(200, word=4), 0))
+            rows.append((i, text_of(rng.randint(100, 130), word=4), 0))
         elif kind == 2:
             rows.append((i, text_of(rng.choice([325, 345, 365]), lines=25), 0))  # long and with repeated lines
         elif kind == 3:

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starloom.llm import fill_in_middle, near_vectors, spelling_variants
-from starloom.llm.common import components
+from starloom.llm.common import components, fallback_folder
 from starloom.llm.queries import queries
 
 SF = "/root/testdata/sf0.01"
@@ -169,6 +169,13 @@ def test_components_of_hubs_and_chains(spark):
     assert found == {v: 8 if v in (8, 9) else 0 for e in edges if e != (7, 7) for v in e}
 
 
+def test_no_local_folder_on_a_cluster():
+    assert fallback_folder("local[4]", "file:/tmp/w") == "file:/tmp/w/checkpoints" and fallback_folder("yarn", "hdfs://n/w") == "hdfs://n/w/checkpoints"
+    for warehouse in ("file:/tmp/w", "/tmp/w", "spark-warehouse"):
+        with pytest.raises(ValueError):
+            fallback_folder("spark://host:7077", warehouse)
+
+
 def plain_middle(doc_id, text):
     text = text or ""
     units = UNIT.findall(text)
