@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -25,8 +27,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Written down in the cluster's spark.checkpoint.dir, so that rounds don't lengthen the lineage; in the warehouse only where none is set."""
+    """Written down in the cluster's spark.checkpoint.dir, so that rounds don't lengthen the lineage; in the warehouse only where none is set.
+
+    On several machines a warehouse in a local folder is an error, as executors wouldn't see each other's files.
+    """
     spark = df.sparkSession
     if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.sql.warehouse.dir") + "/checkpoints")
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        if not re.match(r"local(\[|$)", spark.sparkContext.master) and not re.match(r"(?!file:)[\w+.-]+:", warehouse):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        spark.sparkContext.setCheckpointDir(warehouse + "/checkpoints")
     return df.checkpoint(eager=True)
