@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -180,3 +181,67 @@ def pixel(ra: Column, dec: Column, ra0: float, dec0: float, x0: float, y0: float
     u, v = tangent_plane(ra, dec, ra0, dec0)
     det = cd[0] * cd[3] - cd[1] * cd[2]
     return (cd[3] * u - cd[1] * v) / det + x0, (cd[0] * v - cd[2] * u) / det + y0
+
+
+#: A frame's map between sky and pixels: the tangent point in degrees, its pixel (from 0), the matrix by row, and the terms of the
+#: distortion, c u^p v^q of the offsets u and v from that pixel, that are added to u (`a`) and to v (`b`).
+SKY_MAP = "struct<ra0:double,dec0:double,x0:double,y0:double,cd:array<double>,a:array<struct<p:int,q:int,c:double>>,b:array<struct<p:int,q:int,c:double>>>"
+
+
+def separation(ra1: float, dec1: float, ra2: float, dec2: float) -> float:
+    """Degrees between two positions."""
+    a1, d1, a2, d2 = (math.radians(v) for v in (ra1, dec1, ra2, dec2))
+    h = math.sin((d2 - d1) / 2) ** 2 + math.cos(d1) * math.cos(d2) * math.sin((a2 - a1) / 2) ** 2
+    return math.degrees(2 * math.asin(min(1.0, math.sqrt(h))))
+
+
+def _term_sums(terms: Column, u: Column, v: Column) -> Column:
+    """struct(f, fu, fv): the terms' sum and its slopes; no terms count 0."""
+    power = lambda x, n: F.when(n == 0, F.lit(1.0)).otherwise(F.pow(x, n))
+    slope = lambda x, n: F.when(n == 0, F.lit(0.0)).when(n == 1, F.lit(1.0)).otherwise(n * F.pow(x, n - 1))
+    start = F.struct(F.lit(0.0).alias("f"), F.lit(0.0).alias("fu"), F.lit(0.0).alias("fv"))
+
+    def add(s: Column, t: Column) -> Column:
+        pu, pv = power(u, t["p"]), power(v, t["q"])
+        return F.struct((s["f"] + t["c"] * pu * pv).alias("f"), (s["fu"] + t["c"] * slope(u, t["p"]) * pv).alias("fu"), (s["fv"] + t["c"] * pu * slope(v, t["q"])).alias("fv"))
+
+    return F.aggregate(F.coalesce(terms, F.array().cast("array<struct<p:int,q:int,c:double>>")), start, add)
+
+
+def sky_to_pixel(ra: Column, dec: Column, sky_map: Column, steps: int = 8) -> tuple[Column, Column]:
+    """Pixel of a sky position through a frame's own map; null on the far side of the sky or without a map.
+
+    The distortion is undone by Newton steps of a fixed number, which double the right digits each.
+    """
+    at, cd = tangent_plane_of(ra, dec, sky_map["ra0"], sky_map["dec0"]), sky_map["cd"]
+    det = cd[0] * cd[3] - cd[1] * cd[2]
+    goal_u, goal_v = (cd[3] * at[0] - cd[1] * at[1]) / det, (cd[0] * at[1] - cd[2] * at[0]) / det
+
+    def step(s: Column, _: Column) -> Column:
+        a, b = _term_sums(sky_map["a"], s["u"], s["v"]), _term_sums(sky_map["b"], s["u"], s["v"])
+        du, dv = s["u"] + a["f"] - goal_u, s["v"] + b["f"] - goal_v
+        uu, uv, vu, vv = 1 + a["fu"], a["fv"], b["fu"], 1 + b["fv"]
+        d = uu * vv - uv * vu
+        return F.struct((s["u"] - (vv * du - uv * dv) / d).alias("u"), (s["v"] - (uu * dv - vu * du) / d).alias("v"))
+
+    found = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), F.struct(goal_u.alias("u"), goal_v.alias("v")), step)
+    return found["u"] + sky_map["x0"], found["v"] + sky_map["y0"]
+
+
+def tangent_plane_of(ra: Column, dec: Column, ra0: Column, dec0: Column) -> tuple[Column, Column]:
+    """As `tangent_plane`, about a point that differs by row."""
+    a, d, d0 = F.radians(ra - ra0), F.radians(dec), F.radians(dec0)
+    cosine = F.sin(d0) * F.sin(d) + F.cos(d0) * F.cos(d) * F.cos(a)
+    x, y = F.degrees(F.cos(d) * F.sin(a) / cosine), F.degrees((F.cos(d0) * F.sin(d) - F.sin(d0) * F.cos(d) * F.cos(a)) / cosine)
+    return F.when(cosine > 0, x), F.when(cosine > 0, y)
+
+
+def pixel_to_sky(x: Column, y: Column, sky_map: Column) -> tuple[Column, Column]:
+    """Sky position (degrees, ra from 0 to 360) of a pixel through a frame's own map."""
+    u, v, cd, d0 = x - sky_map["x0"], y - sky_map["y0"], sky_map["cd"], F.radians(sky_map["dec0"])
+    u, v = u + _term_sums(sky_map["a"], u, v)["f"], v + _term_sums(sky_map["b"], u, v)["f"]
+    xi, eta = F.radians(cd[0] * u + cd[1] * v), F.radians(cd[2] * u + cd[3] * v)
+    below = F.cos(d0) - eta * F.sin(d0)
+    ra = sky_map["ra0"] + F.degrees(F.atan2(xi, below))
+    dec = F.degrees(F.atan2(F.sin(d0) + eta * F.cos(d0), F.hypot(xi, below)))
+    return F.pmod(ra, F.lit(360.0)), dec

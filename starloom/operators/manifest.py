@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.functions import names, scalars
+from starloom.functions import names, scalars, wcs
 from starloom.operators import select, stats
 
 
@@ -48,17 +48,29 @@ def group_positions(frames: DataFrame, key: Column, group: Column, wanted: int,
 def calibrate(curve: DataFrame, calibration: DataFrame, flux: str = "flux", error: str = "eflux", file: str = "filename", order: str = "product_id") -> DataFrame:
     """A light curve on the scale of a common kernel sum, with magnitudes and Jansky of the measured flux.
 
-    The calibration (product_id, kernel_sum, tess_zp) joins by the product id of the file's name, its first row by `order` per id.
+    The measured flux is the column flux_uncal (eflux_uncal) if it is there with a value, else `flux` (`error`).  The kernel sum is
+    the curve's own column if it has a value, else the calibration's (product_id, kernel_sum, tess_zp), by the product id of the file's
+    name, its first row by `order` per id; tess_zp likewise, and from the kernel sum in rows without one.
     Adds flux_uncal, eflux_uncal, kernel_sum, tess_zp, kernel_ref, zp_ref, tmag, etmag, flux_jy and eflux_jy; without
-    any usable kernel sum the flux stays as it is.
+    any usable kernel sum the flux stays as it is.  The columns sci_zp, flux_cal and eflux_cal of older curves go.
     """
-    first = select.keep_one(calibration.select("product_id", "kernel_sum", "tess_zp", F.struct(order).alias("__order")), ["product_id"], ["__order"]).drop("__order")
-    joined = curve.withColumns({"flux_uncal": F.col(flux), "eflux_uncal": F.col(error), "__id": names.product_id(F.col(file))})
-    joined = joined.join(first.withColumnRenamed("product_id", "__product"), F.col("__id") == F.col("__product"), "left").drop("__id", "__product")
+    curve = curve.drop("sci_zp", "flux_cal", "eflux_cal")
+    has = {c: F.max(F.col(c).isNotNull()) for c in ("flux_uncal", "eflux_uncal", "kernel_sum", "tess_zp") if c in curve.columns}
+    held = curve.agg(*(v.alias(c) for c, v in has.items())).first().asDict() if has else {}  # one row
+    measured = {"flux_uncal": flux, "eflux_uncal": error}
+    curve = curve.withColumns({c: F.col(c if held.get(c) else other).cast("double") if held.get(c) or other in curve.columns else F.lit(None).cast("double") for c, other in measured.items()})
+    looked_up = [] if held.get("kernel_sum") else ["kernel_sum", *([] if held.get("tess_zp") else ["tess_zp"])]
+    first = select.keep_one(calibration.select("product_id", "kernel_sum", "tess_zp", F.struct(order).alias("__order")), ["product_id"], ["__order"])
+    joined = curve.drop(*looked_up).withColumn("__id", names.product_id(F.col(file)) if file in curve.columns else F.lit(None).cast("string"))
+    if looked_up:
+        joined = joined.join(first.select(F.col("product_id").alias("__product"), *looked_up), F.col("__id") == F.col("__product"), "left").drop("__product")
+    joined = joined.drop("__id")
+    if "tess_zp" not in joined.columns:
+        joined = joined.withColumn("tess_zp", F.lit(None).cast("double"))
     raw, e, k = F.col("flux_uncal"), F.col("eflux_uncal"), F.col("kernel_sum")
     usable = scalars.known(k) & (k > 0) & scalars.known(raw)
     reference = stats.positive_clipped_mean(joined.where(usable).select("kernel_sum"), "kernel_sum", name="kernel_ref")
-    out = joined.join(F.broadcast(reference), how="left")  # one row, or none
+    out = joined.drop("kernel_ref").join(F.broadcast(reference), how="left")  # one row, or none
     zp = F.coalesce("tess_zp", scalars.zero_point(k))
     scale = F.when(F.col("kernel_ref").isNull(), 1.0).when(scalars.known(k) & (k > 0), F.col("kernel_ref") / k)
     mag = F.when(F.col("kernel_ref").isNotNull() & scalars.known(raw), scalars.magnitude(raw, zp))
@@ -71,14 +83,17 @@ def choose_reference(frames: DataFrame, order: str, usable: Column, earth: float
     """The one frame (with its tier) nearest to the median drift of the usable frames.
 
     Tiers: small residual and good angles (0), good angles (1), small residual (2), usable (3).  Ties go to the first by `order`.
+    Without the columns delta_x_raw and delta_y_raw every residual is small, without earth_deg and moon_deg every angle good.
     """
     dx, dy = F.col("delta_x").cast("double"), F.col("delta_y").cast("double")
     ok = frames.where(F.coalesce(usable, F.lit(False)) & scalars.known(dx) & scalars.known(dy))
     one = [F.lit(1).alias("__one")]
     medians = [stats.quantile(ok.select(*one, c), ["__one"], c, name=f"__{c}").drop("__one") for c in ("delta_x", "delta_y")]
     near = F.pow(dx - F.col("__delta_x"), 2) + F.pow(dy - F.col("__delta_y"), 2)
-    calm = F.hypot(F.col("delta_x_raw") - dx, F.col("delta_y_raw") - dy) <= residual
-    clear = (F.col("earth_deg") >= earth) & (F.col("moon_deg") >= moon)
+    has = lambda *columns: {*columns} <= {*frames.columns}
+    raw_x, raw_y = (F.col(c).try_cast("double") for c in ("delta_x_raw", "delta_y_raw")) if has("delta_x_raw", "delta_y_raw") else (dx, dy)
+    calm = F.hypot(raw_x - dx, raw_y - dy) <= residual
+    clear = (F.col("earth_deg").try_cast("double") >= earth) & (F.col("moon_deg").try_cast("double") >= moon) if has("earth_deg", "moon_deg") else F.lit(True)
     calm, clear = F.coalesce(calm, F.lit(False)), F.coalesce(clear, F.lit(False))
     ranked = ok.join(F.broadcast(medians[0])).join(F.broadcast(medians[1])).withColumn("__near", near)  # one row each
     return select.tiered_first(ranked, [calm & clear, clear, calm], ["__near", order]).drop("__near", "__delta_x", "__delta_y")
@@ -142,14 +157,27 @@ def find_target(targets: DataFrame, wanted: str) -> DataFrame:
     return hits.join(F.broadcast(named)).where(F.col("__exact") | ~F.col("__any")).drop("__exact", "__any")
 
 
-def forced_positions(frames: DataFrame, mode: str, **place: float) -> DataFrame:
-    """Adds target_x, target_y: the primary's position (x, y), moved by an offset (dx, dy), or a fixed one (x, y)."""
+def forced_positions(frames: DataFrame, mode: str, crop: tuple[float, float] = (0.0, 0.0), science: tuple[float, float] | None = None, usable: Column | None = None, **place: float) -> DataFrame:
+    """Adds target_x, target_y, in pixels of the crop whose corner is `crop`.
+
+    sky: the position (ra, dec) through each frame's own map, the struct column `sky_map` (see wcs.SKY_MAP), null where there is none; or, for
+    the position `science` itself (within 0.05 seconds of arc), the frames' columns x_pix and y_pix, null in frames that `usable` excludes,
+    if any frame has them.  offset: the primary's position (x, y) moved by (dx, dy).  fixed: (x, y) in every frame.
+    """
     if mode == "offset":
         at = F.col("x") + place["dx"], F.col("y") + place["dy"]
     elif mode == "fixed":
         at = F.lit(float(place["x"])), F.lit(float(place["y"]))
-    elif mode == "primary":
-        at = F.col("x"), F.col("y")
+    elif mode == "sky":
+        at = None
+        if science is not None and {"x_pix", "y_pix"} <= {*frames.columns} and wcs.separation(*science, place["ra"], place["dec"]) < 0.05 / 3600:
+            x, y = (F.col(c).try_cast("double") for c in ("x_pix", "y_pix"))
+            ok = scalars.known(x) & scalars.known(y) & (F.lit(True) if usable is None else F.coalesce(usable, F.lit(False)))
+            if not frames.where(ok).isEmpty():
+                at = F.when(ok, x - crop[0]), F.when(ok, y - crop[1])
+        if at is None:
+            x, y = wcs.sky_to_pixel(F.lit(float(place["ra"])), F.lit(float(place["dec"])), F.col("sky_map"))
+            at = x - crop[0], y - crop[1]
     else:
         raise ValueError(f"no position mode {mode}")
     return frames.withColumns({"target_x": at[0], "target_y": at[1]})

@@ -19,7 +19,7 @@ def gap_segments(df: DataFrame, keys: Sequence[str], t: str, tie: str, factor: f
     w = Window.partitionBy(*keys).orderBy(t, tie)
     steps = df.withColumn("__dt", F.col(t) - F.lag(t).over(w))
     middle = steps.groupBy(*keys).agg(F.percentile("__dt", F.lit(0.5)).alias("__m"))
-    return steps.join(middle, list(keys)).withColumn("segment", F.sum(F.when(F.col("__dt") > factor * F.col("__m"), 1).otherwise(0)).over(w)).drop("__dt", "__m")
+    return stats.join_keys(steps, middle, keys).withColumn("segment", F.sum(F.when(F.col("__dt") > factor * F.col("__m"), 1).otherwise(0)).over(w)).drop("__dt", "__m")
 
 
 def linear_fill(df: DataFrame, keys: Sequence[str], t: str, tie: str, value: str) -> DataFrame:
@@ -155,4 +155,4 @@ def frame_fallback(df: DataFrame, frame: str, raw: str, smooth: str, kappa: floa
     mad = medians.join(F.broadcast(typical)).agg(F.first("__m").alias("__m"), F.percentile(F.abs(F.col("__r") - F.col("__m")), F.lit(0.5)).alias("__s"))  # one row
     outlying = medians.join(F.broadcast(mad)).where(F.col("__r") > F.col("__m") + kappa * 1.4826 * F.col("__s")).select(frame, F.lit(True).alias("__out"))
     use_raw = F.col("__out").isNotNull() | F.col(smooth).isNull()
-    return df.join(outlying, frame, "left").withColumn("chosen", F.when(use_raw, F.col(raw)).otherwise(F.col(smooth))).drop("__out")
+    return stats.join_keys(df, outlying, [frame], "left").withColumn("chosen", F.when(use_raw, F.col(raw)).otherwise(F.col(smooth))).drop("__out")

@@ -10,6 +10,13 @@ from pyspark.sql import functions as F
 from starloom.session import checkpointed
 
 
+def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys, where a null key equals a null key; the left side's keys stay."""
+    other = right.select(*(F.col(c).alias(f"__right_{c}") if c in keys else F.col(c) for c in right.columns))
+    on = [left[k].eqNullSafe(other[f"__right_{k}"]) for k in keys]
+    return left.join(other, on, how).drop(*(f"__right_{k}" for k in keys))
+
+
 def ranked(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """(keys, __x, __n, __upto): the distinct known values of each key, their numbers of rows, and the rows up to each in order.
 
@@ -26,7 +33,7 @@ def in_order(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     sums = dealt.groupBy(*keys, "__part").agg(F.sum("__n").alias("__s"))
     before = F.sum("__s").over(Window.partitionBy(*keys).orderBy("__part")) - F.col("__s")
     inside = F.sum("__n").over(Window.partitionBy(*keys, "__part").orderBy("__x"))
-    both = dealt.join(sums.withColumn("__before", before).drop("__s"), [*keys, "__part"])
+    both = join_keys(dealt, sums.withColumn("__before", before).drop("__s"), [*keys, "__part"])
     return checkpointed(both.withColumn("__upto", inside + F.col("__before")).drop("__part", "__before"))
 
 
@@ -35,7 +42,7 @@ def quantile_of(values: DataFrame, keys: Sequence[str], p: float, name: str) ->
     ends = values.groupBy(*keys).agg(F.min(F.col("__upto") - F.col("__n")).alias("__first"), F.max("__upto").alias("__last"))
     place = F.lit(p) * (F.col("__last") - F.col("__first") - 1) + F.col("__first")
     holds = lambda rank: F.when((F.col("__upto") > rank) & (F.col("__upto") - F.col("__n") <= rank), F.col("__x"))
-    found = values.join(ends, list(keys)).groupBy(*keys).agg(F.max(place).alias("__p"), F.max(holds(F.floor(place))).alias("__a"), F.max(holds(F.ceil(place))).alias("__b"))
+    found = join_keys(values, ends, keys).groupBy(*keys).agg(F.max(place).alias("__p"), F.max(holds(F.floor(place))).alias("__a"), F.max(holds(F.ceil(place))).alias("__b"))
     return found.select(*keys, (F.col("__a") + (F.col("__b") - F.col("__a")) * (F.col("__p") - F.floor("__p"))).alias(name))
 
 
@@ -50,25 +57,25 @@ def sigma_clip(df: DataFrame, keys: Sequence[str], value: str, kappa: float = 3.
     The values are ranked once; each round reads them twice, for the median and the deviation between the last bounds.
     NaN counts as missing.
     """
-    return clip_ranked(ranked(df, keys, value), keys, kappa, rounds)
+    return clip_ranked(ranked(df, keys, value), keys, kappa, rounds).withColumnsRenamed({"__lo": "lo", "__hi": "hi"})
 
 
 def clip_ranked(values: DataFrame, keys: Sequence[str], kappa: float, rounds: int) -> DataFrame:
     bounds, left = None, values
     for _ in range(rounds):
         if bounds is not None:
-            left = values.join(bounds, list(keys)).where(F.col("__x").between(F.col("lo"), F.col("hi"))).drop("lo", "hi")
+            left = join_keys(values, bounds, keys).where(F.col("__x").between(F.col("__lo"), F.col("__hi"))).drop("__lo", "__hi")
         middle = quantile_of(left, keys, 0.5, "__m")
         away = F.col("__x") - F.col("__m")  # sums about the median lose no digits
         n, s, s2 = F.sum("__n"), F.sum(F.col("__n") * away), F.sum(F.col("__n") * away * away)
-        spread = left.join(middle, list(keys)).groupBy(*keys).agg(F.max("__m").alias("__m"), F.sqrt(F.greatest(s2 / n - F.pow(s / n, 2), F.lit(0.0))).alias("__s"))
-        bounds = checkpointed(spread.select(*keys, (F.col("__m") - kappa * F.col("__s")).alias("lo"), (F.col("__m") + kappa * F.col("__s")).alias("hi")))
+        spread = join_keys(left, middle, keys).groupBy(*keys).agg(F.max("__m").alias("__m"), F.sqrt(F.greatest(s2 / n - F.pow(s / n, 2), F.lit(0.0))).alias("__s"))
+        bounds = checkpointed(spread.select(*keys, (F.col("__m") - kappa * F.col("__s")).alias("__lo"), (F.col("__m") + kappa * F.col("__s")).alias("__hi")))
     return bounds
 
 
 def sigma_clip_mean(df: DataFrame, keys: Sequence[str], value: str, kappa: float = 3.0, rounds: int = 5) -> DataFrame:
     values = ranked(df, keys, value)
-    inside = values.join(clip_ranked(values, keys, kappa, rounds), list(keys)).where(F.col("__x").between(F.col("lo"), F.col("hi")))
+    inside = join_keys(values, clip_ranked(values, keys, kappa, rounds), keys).where(F.col("__x").between(F.col("__lo"), F.col("__hi")))
     return inside.groupBy(*keys).agg((F.sum(F.col("__x") * F.col("__n")) / F.sum("__n")).alias("clipped_mean"), F.sum("__n").alias("n"))
 
 
@@ -80,18 +87,18 @@ def robust_scale(mad: Column, median: Column) -> Column:
 def robust_sigma(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """(keys, median, sigma) with a sigma of 1.4826 MAD, for keys with any number of rows."""
     values = ranked(df, keys, value)
-    middle = checkpointed(quantile_of(values, keys, 0.5, "median"))
-    away = values.join(middle, list(keys)).select(*keys, F.abs(F.col("__x") - F.col("median")).alias("__d"), F.col("__n").alias("__times"))
+    middle = checkpointed(quantile_of(values, keys, 0.5, "__median"))
+    away = join_keys(values, middle, keys).select(*keys, F.abs(F.col("__x") - F.col("__median")).alias("__d"), F.col("__n").alias("__times"))
     # the distances have an order of their own
     again = in_order(away.groupBy(*keys, "__d").agg(F.sum("__times").alias("__n")).withColumnRenamed("__d", "__x"), keys)
     mad = quantile_of(again, keys, 0.5, "__mad")
-    return middle.join(mad, list(keys)).select(*keys, "median", robust_scale(F.col("__mad"), F.col("median")).alias("sigma"))
+    return join_keys(middle, mad, keys).select(*keys, F.col("__median").alias("median"), robust_scale(F.col("__mad"), F.col("__median")).alias("sigma"))
 
 
 def one_pass_clip(df: DataFrame, keys: Sequence[str], value: str, kappa: float) -> DataFrame:
     """Rows within mean +- kappa deviations of their key."""
     stats = df.groupBy(*keys).agg(F.avg(value).alias("__m"), F.stddev_pop(value).alias("__s"))
-    return df.join(stats, list(keys)).where(F.abs(F.col(value) - F.col("__m")) <= kappa * F.col("__s")).drop("__m", "__s")
+    return join_keys(df, stats, keys).where(F.abs(F.col(value) - F.col("__m")) <= kappa * F.col("__s")).drop("__m", "__s")
 
 
 def masked_sums(df: DataFrame, keys: Sequence[str], value: str, masked: Column) -> DataFrame:
@@ -110,24 +117,28 @@ def snap_groups(df: DataFrame, steps: dict[str, float]) -> DataFrame:
 def binned_clip(df: DataFrame, keys: Sequence[str], t: str, value: str, width: float, kappa: float) -> DataFrame:
     """(keys, bin, t_mean, v_mean, n) over equal time bins from each key's first time.
 
-    Bins of three rows or more drop values over kappa robust deviations off their median; means of a bin that loses all are null.
-    A bin's rows are bounded by its width in time.
+    Bins of three rows or more, missing values included, drop values over kappa robust deviations off their median; means of a bin that
+    loses all are null.  Medians come from ranks (see `ranked`), so a bin of any number of rows is dealt over many tasks.
     """
     start = df.groupBy(*keys).agg(F.min(t).alias("__t0"))
-    rows = df.join(start, list(keys)).withColumn("bin", F.floor((F.col(t) - F.col("__t0")) / width))
-    by = [*keys, "bin"]
-    middle = rows.groupBy(*by).agg(F.percentile(value, F.lit(0.5)).alias("__m"), F.count(value).alias("__k"))
-    rows = rows.join(middle, by).withColumn("__d", F.abs(F.col(value) - F.col("__m")))
-    spread = rows.groupBy(*by).agg(F.percentile("__d", F.lit(0.5)).alias("__s"))
-    inside = (F.col("__k") < 3) | (F.col("__d") <= kappa * robust_scale(F.col("__s"), F.col("__m")))
+    bin_of = F.floor((F.col(t) - F.col("__t0")) / width).alias("__bin")
+    rows = checkpointed(join_keys(df, start, keys).select(*keys, bin_of, F.col(t).alias("__t"), F.col(value).cast("double").alias("__v")))
+    by = [*keys, "__bin"]
+    sized = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("__k"))
+    scales = robust_sigma(rows, by, "__v").withColumnsRenamed({"median": "__m", "sigma": "__s"})
+    bounds = join_keys(sized, scales, by, "left")
+    inside = F.col("__v").isNotNull() & ((F.col("__k") < 3) | (F.abs(F.col("__v") - F.col("__m")) <= kappa * F.col("__s")))
     kept = lambda c: F.when(inside, F.col(c))
-    return rows.join(spread, by).groupBy(*by).agg(F.avg(kept(t)).alias("t_mean"), F.avg(kept(value)).alias("v_mean"), F.count(kept(value)).alias("n"))
+    out = join_keys(rows, bounds, by).groupBy(*by).agg(F.avg(kept("__t")).alias("t_mean"), F.avg(kept("__v")).alias("v_mean"), F.count(kept("__v")).alias("n"))
+    return out.withColumnRenamed("__bin", "bin")
 
 
 def vector_median(df: DataFrame, keys: Sequence[str], vector: str) -> DataFrame:
-    """(keys, place, median) of arrays, place by place; nulls don't count."""
-    places = df.select(*keys, F.posexplode(vector).alias("place", "v"))
-    return places.groupBy(*keys, F.col("place").cast("long").alias("place")).agg(F.percentile(F.col("v").cast("double"), F.lit(0.5)).alias("median"))
+    """(keys, place, median) of arrays, place by place, for keys with any number of rows; nulls don't count, and a place of nulls has a null."""
+    places = df.select(*keys, F.posexplode(vector).alias("__place", "__v"))
+    by = [*keys, "__place"]
+    found = join_keys(places.groupBy(*by).agg(F.count("__v").alias("__k")), quantile(places, by, "__v"), by, "left")
+    return found.select(*keys, F.col("__place").cast("long").alias("place"), "median")
 
 
 def ratio_to_largest(df: DataFrame, value: str, name: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.functions import wcs
 from starloom.operators import background, kernel_fit, psf_flux, star_profiles
 from starloom.plans.queries import T, query, r6
 
@@ -135,3 +136,21 @@ def masked_background(spark, d):
     lit = lit_frames(spark, d)
     found = background.with_background(lit, SIDE, SIDE, 8, exclude=0.375, kappa=2.0, rounds=1)
     return found.select("frame", "x", "y", F.round("background", 5).alias("background"))
+
+
+@query("""WITH c AS (SELECT c_custkey, c_custkey % 2000 AS x, c_custkey * 7 % 2000 AS y, radians(10 * (c_nationkey % 9) - 40.0) AS d0, 14.0 * c_nationkey AS ra0 FROM customer),
+p AS (SELECT *, x - 1000.0 + 2e-6 * (x - 1000.0) * (x - 1000.0) AS u, y - 900.0 - 3e-6 * (x - 1000.0) * (y - 900.0) AS v FROM c),
+t AS (SELECT *, radians(-0.005 * u + 0.0002 * v) AS xi, radians(0.0001 * u + 0.005 * v) AS eta FROM p),
+s AS (SELECT *, ra0 + degrees(atan2(xi, cos(d0) - eta * sin(d0))) AS a, degrees(atan2(sin(d0) + eta * cos(d0), sqrt(xi * xi + (cos(d0) - eta * sin(d0)) * (cos(d0) - eta * sin(d0))))) AS dec FROM t)
+SELECT c_custkey, round(a - 360 * floor(a / 360), 6) AS ra, round(dec, 6) AS dec, x::DOUBLE AS x, y::DOUBLE AS y FROM s""")
+def distorted_sky(spark, d):
+    """Pixels to the sky through a distorted map for each nation, and back."""
+    k, n = F.col("c_custkey"), F.col("c_nationkey")
+    terms = lambda p, q, c: F.array(F.struct(F.lit(p).alias("p"), F.lit(q).alias("q"), F.lit(c).alias("c")))
+    cd = F.array(*(F.lit(c) for c in (-0.005, 0.0002, 0.0001, 0.005)))
+    sky_map = F.struct((14.0 * n).alias("ra0"), (10 * (n % 9) - 40).cast("double").alias("dec0"), F.lit(1000.0).alias("x0"), F.lit(900.0).alias("y0"), cd.alias("cd"), terms(2, 0, 2e-6).alias("a"), terms(1, 1, -3e-6).alias("b"))
+    at = T(spark, d, "customer").select("c_custkey", (k % 2000).cast("double").alias("px"), (k * 7 % 2000).cast("double").alias("py"), sky_map.alias("m"))
+    ra, dec = wcs.pixel_to_sky(F.col("px"), F.col("py"), F.col("m"))
+    sky = at.select("c_custkey", "m", ra.alias("a"), dec.alias("d"))
+    x, y = wcs.sky_to_pixel(F.col("a"), F.col("d"), F.col("m"))
+    return sky.select("c_custkey", r6(F.col("a")).alias("ra"), r6(F.col("d")).alias("dec"), (F.round(x, 5) + 0.0).alias("x"), (F.round(y, 5) + 0.0).alias("y"))
