@@ -56,18 +56,23 @@ BLOCKS = DROPPED_BLOCKS | frozenset(
 CLOSES_P = BLOCKS - frozenset("body html td th tr caption head title".split())
 #: A class or id names furniture if one of its parts is such a word and all others are words for places and shapes.
 FURNITURE = frozenset(
-    "ad ads advert adverts advertisement advertising adv banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription sidebar menu nav navbar navigation breadcrumb breadcrumbs footer header masthead comment comments disqus respond replies share sharing social related recommended recommendations widget widgets toolbar pagination pager skip".split()
+    "ad ads adsbygoogle advert adverts advertisement advertising adv banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription sidebar menu nav navbar navigation breadcrumb breadcrumbs footer header masthead comment comments disqus respond replies share sharing social related recommended recommendations widget widgets toolbar pagination pager skip teaser teasers".split()
 )
 SHAPES = frozenset(
-    "a area bar block body box bottom btn button buttons card cell column col container content form global group holder inner item items label left link links list main message module outer page panel primary region right row secondary section site slot sticky thread title top unit ul li wrap wrapper zone".split()
+    "a area article articles bar block body box bottom btn button buttons card cell column col container content form global group holder inner item items js label left link links list main message module outer page panel post posts primary reader readers region right row secondary section signup site slot sticky text thread title top unit ul user users li wrap wrapper zone".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search menu menubar alert alertdialog dialog form".split())
 SCOPED = frozenset("div section ul ol li p span table dl figure details center font td a".split())
 
 
+#: Between the parts of a name: signs, digits, and where a capital follows a small letter.
+NAME_PARTS = re.compile(r"[_\-\d]+|(?<=[a-z])(?=[A-Z])")
+UNSEEN = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.IGNORECASE)
+
+
 def names_furniture(names: str) -> bool:
-    for name in names.lower().split():
-        parts = [p for p in re.split(r"[_\-\d]+", name) if p]
+    for name in names.split():
+        parts = [p.lower() for p in NAME_PARTS.split(name) if p]
         if any(p in FURNITURE for p in parts) and all(p in FURNITURE or p in SHAPES for p in parts):
             return True
     return False
@@ -144,12 +149,15 @@ class PageParser(HTMLParser):
             dropped, inside = self.state()[0], False
         a = {k: v or "" for k, v in attrs}
         role = a.get("role", "").lower()
-        if tag in ("article", "main") or role in ("main", "article") or a.get("itemprop", "").lower() == "articlebody":
+        furniture = (tag in SCOPED or tag == "article") and names_furniture(f"{a.get('class', '')} {a.get('id', '')}")
+        if (tag == "article" and furniture) or (UNSEEN.search(a["style"]) if a.get("style") else False):
+            dropped = True  # a reader's comment or a teaser can be an article of its own
+        elif tag in ("article", "main") or role in ("main", "article") or a.get("itemprop", "").lower() == "articlebody":
             inside = True
             self.has_article = self.has_article or not dropped
         elif tag in DROPPED or role in ROLES or "hidden" in a or a.get("aria-hidden") == "true":
             dropped = True
-        elif tag in SCOPED and not dropped and names_furniture(f"{a.get('class', '')} {a.get('id', '')}"):
+        elif furniture:
             dropped = True
         self.push(tag, dropped, inside)
 

@@ -171,6 +171,21 @@ def test_blocks(html, blocks):
     assert html_text.page_blocks(f"<nav>n</nav><article>{html or ''}</article><p>after") == (True, blocks) or html and "<head>" in html or (html or "").endswith("<")
 
 
+@pytest.mark.parametrize("furniture", [
+    '<article class="comment"><p>a reader comment</p></article>', '<article id="comment-17"><p>c</p></article>', '<article class="teaser"><p>t</p></article>', '<div class="user-comments"><p>c</p></div>',
+    '<ul class="commentList"><li>c</ul>', '<p class="comment-text">c</p>', '<div class="adsbygoogle">buy</div>', '<section class="js-newsletter-signup">join</section>',
+    '<div style="color:red; DISPLAY : none">unseen</div>', '<p style="visibility:hidden">unseen</p>',
+])
+def test_furniture_inside_and_outside_the_article(furniture):
+    assert html_text.page_blocks(f"<body>{furniture}<article><p>one</p>{furniture}<p>two</p></article>{furniture}</body>") == (True, ["one", "two"])
+    assert html_text.page_blocks(f'<body>{furniture}<div id="story"><p>one</p>{furniture}two</div></body>') == (False, ["one", "two"])
+
+
+@pytest.mark.parametrize("kept", ['<p class="commentary">x</p>', '<div class="story-text">x</div>', '<article class="post">x</article>', '<p style="display:block">x</p>', '<p class="reader">x</p>'])
+def test_what_only_looks_like_furniture(kept):
+    assert html_text.page_blocks(f"<article>{kept}</article>") == (True, ["x"])
+
+
 def test_deep_markup_takes_linear_time():
     for html in ("<b>" * 100_000 + "<div>x</div>" * 20_000, "<p>" + "<b>" * 100_000 + "</i>" * 100_000, "<p><td>" + "<b>" * 50_000 + "<div>" * 50_000, "<li>" * 100_000):
         began = time.perf_counter()
