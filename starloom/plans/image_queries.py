@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions import wcs
-from starloom.operators import background, kernel_fit, psf_flux, star_profiles
+from starloom.operators import adaptive, background, kernel_fit, psf_flux, star_profiles, straps
 from starloom.plans.queries import T, query, r6
 
 SIDE = 48
@@ -154,3 +154,22 @@ def distorted_sky(spark, d):
     sky = at.select("c_custkey", "m", ra.alias("a"), dec.alias("d"))
     x, y = wcs.sky_to_pixel(F.col("a"), F.col("d"), F.col("m"))
     return sky.select("c_custkey", r6(F.col("a")).alias("ra"), r6(F.col("d")).alias("dec"), (F.round(x, 5) + 0.0).alias("x"), (F.round(y, 5) + 0.0).alias("y"))
+
+
+@query(f"""WITH {FRAMES}, u AS (SELECT frame, x, value / (20.0 + n) AS ratio FROM p WHERE x % 3 = 0 AND (x + y) % 5 <> 0),
+m AS (SELECT *, median(ratio) OVER w AS m, stddev_pop(ratio) OVER w AS s FROM u WINDOW w AS (PARTITION BY frame, x))
+SELECT frame, x, round(median(ratio), 6) AS gain FROM m WHERE ratio >= m - 3 * s AND ratio <= m + 2 * s GROUP BY frame, x""")
+def strap_column_gain(spark, d):
+    """Every third column is a strap's, every fifth diagonal a source's; clipped once."""
+    strap = F.when(F.col("x") % 3 == 0, straps.STRAP).otherwise(0).bitwiseOR(F.when((F.col("x") + F.col("y")) % 5 == 0, straps.SOURCE).otherwise(0))
+    pixels = lit_frames(spark, d).withColumns({"background": 20.0 + F.col("n"), "mask": strap})
+    return straps.column_gains(pixels, rounds=1).select("frame", "x", r6(F.col("gain")).alias("gain"))
+
+
+@query(None)
+def adaptive_cube(spark, d):
+    """Pixel series of the frames, one a day with a gap after every tenth; SQL has no running medians of a width that the data chooses."""
+    cube = frames(spark, d).withColumn("t", (F.col("frame") + 5 * F.floor(F.col("frame") / 10)).cast("double"))
+    model = adaptive.AdaptiveModel(coarse=(3, 5), norm_window=9, most=9, block=4)
+    found = adaptive.adaptive_smooth(cube, SIDE, SIDE, model)
+    return found.select("frame", "x", "y", r6(F.col("smooth")).alias("smooth"), "window", r6(F.col("variability")).alias("variability"))
