@@ -50,43 +50,50 @@ def located(profile: np.ndarray, oversample: int, column: float, row: float, siz
     return stamp / stamp.sum() if stamp.sum() > 0 else stamp
 
 
-def psf_stamps(sources: DataFrame, key: str, oversample: int, size: int) -> DataFrame:
+def psf_stamps(sources: DataFrame, key: str | Sequence[str], oversample: int, size: int) -> DataFrame:
     """(key, x, y, u, v, psf) of sources (key, px, py, profile): the pixels of a square about each, u and v from its middle.
 
-    `profile` is the flattened square of an oversampled point-spread function.  Pixel centres are at whole coordinates.
+    `key` is one column or several, such as epoch and source.  `profile` is the flattened square of an oversampled point-spread function.  Pixel centres are at whole coordinates.
     """
 
+    keys = [key] if isinstance(key, str) else list(key)
+
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         v, u = np.mgrid[:size, :size]
         middle = size / 2 - 0.5
         for part in parts:
-            for name, px, py, profile in zip(part[key], part["px"], part["py"], part["profile"]):
+            for *names, px, py, profile in part[[*keys, "px", "py", "profile"]].itertuples(index=False):
                 side = round(len(profile) ** 0.5)
                 ix, iy = int(np.floor(px + 0.5)), int(np.floor(py + 0.5))
                 psf = located(np.asarray(profile, float).reshape(side, side), oversample, middle + px - ix, middle + py - iy, size)
                 x, y = u + ix - size // 2, v + iy - size // 2
-                yield pd.DataFrame({key: named(name, u.size), "x": x.ravel(), "y": y.ravel(), "u": (u - middle).ravel(), "v": (v - middle).ravel(), "psf": psf.ravel()})
+                yield pd.DataFrame({k: named(name, u.size) for k, name in zip(keys, names)} | {"x": x.ravel(), "y": y.ravel(), "u": (u - middle).ravel(), "v": (v - middle).ravel(), "psf": psf.ravel()})
 
-    kind = sources.schema[key].dataType.simpleString()
-    known = sources.where("px IS NOT NULL AND py IS NOT NULL AND profile IS NOT NULL").select(key, "px", "py", "profile")
-    return known.mapInPandas(run, f"{key} {kind}, x long, y long, u double, v double, psf double")
+    kinds = ", ".join(f"{k} {sources.schema[k].dataType.simpleString()}" for k in keys)
+    known = sources.where("px IS NOT NULL AND py IS NOT NULL AND profile IS NOT NULL").select(*keys, "px", "py", "profile")
+    return known.mapInPandas(run, f"{kinds}, x long, y long, u double, v double, psf double")
 
 
 def fit_flux(pixels: DataFrame, stamps: DataFrame, keys: Sequence[str], order: int | None = 3, variance: bool = False) -> DataFrame:
     """(keys, flux, eflux, sky, chi2, n_pix): `keys` names the epoch of pixels (epoch, x, y, value, noise) and the source of stamps (source, x, y, u, v, psf).
 
-    Minimises the sum of squares over noise, and eflux comes from the inverse of that sum's matrix of second derivatives;
-    with `variance`, squares over noise squared and the usual covariance.  `order` None fits no surface; sky is its value at
-    the window's middle.  Pixels without value or noise, NaN or not above 0, don't count.  With fewer pixels than unknowns, or where the psf
+    Stamps that have the epoch as well are that epoch's.  Minimises the sum of squares over the absolute noise, where noise that is unknown,
+    infinite or 0 counts as 1, and eflux comes from the inverse of that sum's matrix of second derivatives; with `variance`,
+    squares over noise squared and the usual covariance, without pixels whose noise isn't above 0.  `order` None fits no surface; sky is its value at
+    the window's middle.  Pixels without a value don't count.  With fewer pixels than unknowns, or where the psf
     can't be told from the surface, flux and eflux are null.
     """
-    error = F.col("noise") if "noise" in pixels.columns else F.lit(1.0)
-    known = F.col("value").isNotNull() & ~F.isnan("value") & (error > 0) & ~F.isnan(error) & F.col("psf").isNotNull()
-    w = 1 / (error * error) if variance else 1 / error
+    noise = F.abs(F.col("noise") if "noise" in pixels.columns else F.lit(1.0))
+    sound = (noise > 1e-30) & (noise < float("inf"))
+    known = F.col("value").isNotNull() & ~F.isnan("value") & F.col("psf").isNotNull()
+    if variance:
+        known, w = known & sound & (F.col("noise") > 0 if "noise" in pixels.columns else F.lit(True)), 1 / (noise * noise)
+    else:
+        w = 1 / F.when(sound, noise).otherwise(1.0)
     surface = [] if order is None else [F.pow("u", F.lit(i)) * F.pow("v", F.lit(j)) for i, j in monomials(order)]
     terms: list[Column] = [F.col("psf"), *surface]
     m = len(terms)
-    rows = pixels.join(stamps, ["x", "y"]).where(known).withColumn("__w", w).withColumn("__t", F.array(*terms))
+    rows = pixels.join(stamps, ["x", "y", *(k for k in keys if k in pixels.columns and k in stamps.columns)]).where(known).withColumn("__w", w).withColumn("__t", F.array(*terms))
     t = lambda i: F.col("__t")[i]
     gram = [F.sum(F.col("__w") * t(i) * t(j)) for i in range(m) for j in range(i + 1)]
     side = [F.sum(F.col("__w") * t(i) * F.col("value")) for i in range(m)]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions import wcs
-from starloom.operators import adaptive, background, kernel_fit, psf_flux, star_profiles, straps
+from starloom.operators import adaptive, background, forced, kernel_fit, psf_flux, star_profiles, straps
 from starloom.plans.queries import T, query, r6
 
 SIDE = 48
@@ -173,3 +173,19 @@ def adaptive_cube(spark, d):
     model = adaptive.AdaptiveModel(coarse=(3, 5), norm_window=9, most=9, block=4)
     found = adaptive.adaptive_smooth(cube, SIDE, SIDE, model)
     return found.select("frame", "x", "y", r6(F.col("smooth")).alias("smooth"), "window", r6(F.col("variability")).alias("variability"))
+
+
+@query(f"""WITH {FRAMES}, s AS (SELECT frame, n_nationkey AS source, 8 + n_nationkey % 5 * 8 + frame % 3 AS cx, 8 + n_nationkey // 5 * 8 - frame % 2 AS cy FROM nation, (SELECT DISTINCT frame FROM p)),
+w AS (SELECT s.frame, source, value, greatest(abs(x - cx), abs(y - cy)) AS far FROM p JOIN s ON p.frame = s.frame AND abs(x - cx) <= 4 AND abs(y - cy) <= 4),
+r AS (SELECT frame, source, value, median(value) OVER v AS m, stddev_pop(value) OVER v AS s FROM w WHERE far > 2 WINDOW v AS (PARTITION BY frame, source)),
+k AS (SELECT frame, source, 9 * median(value) AS sky FROM r WHERE abs(value - m) <= 3 * s GROUP BY ALL),
+t AS (SELECT frame, source, sum(value) FILTER (far <= 1) AS flux, count(*) FILTER (far <= 1) AS n_pix FROM w GROUP BY ALL)
+SELECT frame, source, n_pix, round(flux, 5) AS flux, round(coalesce(sky, 0), 5) AS sky, round(flux - coalesce(sky, 0), 5) AS flux_wo_sky FROM t LEFT JOIN k USING (frame, source)""")
+def forced_apertures(spark, d):
+    """Square apertures at 25 places that move from frame to frame, the sky clipped once."""
+    pixels, k, f = lit_frames(spark, d), F.col("n_nationkey"), F.col("frame")
+    at = T(spark, d, "nation").select("n_nationkey", (8 + k % 5 * 8).alias("x"), (8 + F.floor(k / 5) * 8).alias("y"))
+    places = pixels.select("frame").distinct().join(at, F.lit(True))  # 25 rows
+    places = places.select("frame", k.alias("source"), (F.col("x") + f % 3).cast("double").alias("target_x"), (F.col("y") - f % 2).cast("double").alias("target_y"))
+    found = forced.aperture_fluxes(pixels, places, rounds=1)
+    return found.select("frame", "source", "n_pix", *(F.round(c, 5).alias(c) for c in ("flux", "sky", "flux_wo_sky")))
