@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.operators import runstate
@@ -86,18 +86,26 @@ def unchecked_external(stage_runs: DataFrame, artifacts: DataFrame, run: str, ki
     return runstate.missing(of_run(stage_runs, run, status="external"), artifacts.where(F.col("artifact_type") == kind), KEY)
 
 
+def with_open_deps(stage_runs: DataFrame, edges: DataFrame) -> DataFrame:
+    """Adds `__open`: the stages that a row's stage follows and that aren't success or skipped in its target, or have no row.
+
+    A target's few stages meet in one window, so the rows move once and join with nothing but the stage graph.
+    """
+    target = Window.partitionBy("run_id", "target_label")
+    satisfied = F.collect_set(F.when(F.col("status").isin(*SATISFIED), F.col("stage"))).over(target)
+    deps = edges.toDF("dependency", "__stage").groupBy("__stage").agg(F.collect_set("dependency").alias("__deps"))  # a stage graph has tens of rows
+    joined = stage_runs.withColumn("__satisfied", satisfied).join(F.broadcast(deps), F.col("stage") == F.col("__stage"), "left")
+    return joined.withColumn("__open", F.array_except(F.coalesce("__deps", F.array().cast("array<string>")), F.col("__satisfied"))).drop("__satisfied", "__stage", "__deps")
+
+
 def unmet(stage_runs: DataFrame, edges: DataFrame) -> DataFrame:
     """(run_id, target_label, stage, dependency) of every stage row whose dependency isn't success or skipped, or has no row."""
-    wanted = stage_runs.select(*KEY).join(F.broadcast(edges.toDF("dependency", "stage")), "stage")  # a stage graph has tens of rows
-    state = stage_runs.select("run_id", "target_label", F.col("stage").alias("dependency"), F.col("status").alias("__state"))
-    joined = wanted.join(state, ["run_id", "target_label", "dependency"], "left")
-    return joined.where(~F.coalesce(F.col("__state").isin(*SATISFIED), F.lit(False))).select(*KEY, "dependency")
+    return with_open_deps(stage_runs, edges).select(*KEY, F.explode("__open").alias("dependency"))
 
 
 def with_deps(stage_runs: DataFrame, edges: DataFrame) -> DataFrame:
     """Adds `deps_ok`: are all dependencies success or skipped?"""
-    blocked = unmet(stage_runs, edges).select(*KEY).distinct().withColumn("__unmet", F.lit(True))
-    return stage_runs.join(blocked, KEY, "left").withColumn("deps_ok", F.col("__unmet").isNull()).drop("__unmet")
+    return with_open_deps(stage_runs, edges).withColumn("deps_ok", F.size("__open") == 0).drop("__open")
 
 
 def promote(stage_runs: DataFrame, edges: DataFrame, artifacts: DataFrame, active: DataFrame, kind: str) -> DataFrame:
