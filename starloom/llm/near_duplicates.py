@@ -74,8 +74,8 @@ def minhash(grams: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     return least
 
 
-def verify(left: list[np.ndarray], right: list[np.ndarray], columns: int = 4096) -> np.ndarray:
-    """Sizes of all intersections, by products of 0/1 matrices over slices of the common n-grams."""
+def verify(left: list[np.ndarray], right: list[np.ndarray], columns: int = 1024) -> np.ndarray:
+    """Sizes of all intersections, by products of 0/1 matrices over slices of the common n-grams; positions are 32-bit, as blocks are bounded."""
     a, b = np.concatenate(left), np.concatenate(right)
     common = np.intersect1d(a, b)
     out = np.zeros((len(left), len(right)), np.float32)
@@ -83,11 +83,12 @@ def verify(left: list[np.ndarray], right: list[np.ndarray], columns: int = 4096)
         return out
     sides = []
     for sets, flat in ((left, a), (right, b)):
-        row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-        col = np.minimum(np.searchsorted(common, flat), common.size - 1)
+        row = np.repeat(np.arange(len(sets), dtype=np.int32), [len(s) for s in sets])
+        col = np.minimum(np.searchsorted(common, flat), common.size - 1).astype(np.int32)
         hit = common[col] == flat
-        order = np.argsort(col[hit], kind="stable")
-        sides.append((row[hit][order], col[hit][order], len(sets)))
+        row, col = row[hit], col[hit]
+        order = np.argsort(col, kind="stable")
+        sides.append((row[order], col[order], len(sets)))
     for at in range(0, common.size, columns):
         ones = []
         for row, col, n in sides:
@@ -266,7 +267,7 @@ def join_classes(members: DataFrame, full: DataFrame) -> DataFrame:
     return members.join(large, "class").unionByName(rest)
 
 
-def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, threshold: float = 0.8, recall: float = 0.99999, block: int = 2048, block_grams: int = 2_000_000) -> DataFrame:
+def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, threshold: float = 0.8, recall: float = 0.99999, block: int = 1024, block_grams: int = 1_000_000) -> DataFrame:
     """(doc_id, class_id, n_links, group_id) of every row.
 
     class_id is the least id among equal texts, n_links the number of other rows with an equal or similar
