@@ -223,3 +223,83 @@ def final_status(stage_runs: DataFrame) -> DataFrame:
 def with_column(df: DataFrame, name: str, kind: str, default=None) -> DataFrame:
     """ALTER TABLE ADD COLUMN if it isn't there."""
     return df if name in df.columns else df.withColumn(name, F.lit(default).cast(kind))
+
+
+#: Artifacts that remember why a stage was skipped, and reasons that aren't decided again.
+SKIP_CACHE = ("external_check", "skip_reason")
+SUPERSEDED = "superseded"
+FINAL_REASONS = ("not_selected", SUPERSEDED, "stream_mode", "artifacts_verified")
+
+
+def clear_skip_cache(artifacts: DataFrame, keys: DataFrame) -> DataFrame:
+    """Without what is remembered about skipping the keys' stages; other artifacts stay."""
+    cached = artifacts.where(F.col("artifact_type").isin(*SKIP_CACHE))
+    return artifacts.where(~F.coalesce(F.col("artifact_type").isin(*SKIP_CACHE), F.lit(False))).unionByName(runstate.missing(cached, keys, KEY))
+
+
+def enqueue_commands(commands: DataFrame, new: DataFrame, order: Sequence[str], now: str) -> DataFrame:
+    """`commands` (id, run_id, kind, args_json, created_at, processed_at) with the rows of `new` (run_id, kind, args_json) after the last id.
+
+    A batch of new commands is what people asked for since the last one, few rows.
+    """
+    last = commands.agg(F.coalesce(F.max("id"), F.lit(0)).alias("__last"))  # one row
+    numbered = new.withColumn("__n", F.row_number().over(Window.orderBy(*order))).join(F.broadcast(last))
+    rows = numbered.select((F.col("__last") + F.col("__n")).alias("id"), "run_id", "kind", F.coalesce("args_json", F.lit("{}")).alias("args_json"), F.lit(now).alias("created_at"))
+    return commands.unionByName(rows, allowMissingColumns=True)
+
+
+def mark_processed(commands: DataFrame, done: DataFrame, now: str) -> DataFrame:
+    """The commands with the ids of `done` are processed now."""
+    hit = commands.join(done.select("id").distinct().withColumn("__hit", F.lit(True)), "id", "left")
+    return hit.withColumn("processed_at", F.when(F.col("__hit"), F.lit(now)).otherwise(F.col("processed_at"))).select(*commands.columns)
+
+
+def set_daemon(daemon: DataFrame, pid: int, host: str, now: str) -> DataFrame:
+    """The registry's one row, id 1, put in or replaced."""
+    row = daemon.sparkSession.createDataFrame([(1, pid, host, now, now)], "id int, pid int, host string, started_at string, last_heartbeat string")
+    return daemon.where("id != 1").unionByName(row, allowMissingColumns=True)
+
+
+def set_force_launch(stage_runs: DataFrame, keys: DataFrame, enabled: bool) -> DataFrame:
+    return update_keys(stage_runs, keys, {"force_launch": int(enabled)})
+
+
+def age_seconds(iso: Column, now: Column) -> Column:
+    """Seconds from an ISO 8601 time (UTC if it names no zone) to `now`, a timestamp; infinite for what isn't one."""
+    then = F.when(iso.rlike(r"^\d{4}-\d{2}-\d{2}"), iso).try_cast("timestamp")
+    return F.coalesce((F.unix_micros(now.cast("timestamp")) - F.unix_micros(then)) / 1e6, F.lit(float("inf")))
+
+
+def with_verify_needed(stage_runs: DataFrame, edges: DataFrame, active: Sequence[str], closure: Sequence[str]) -> DataFrame:
+    """Adds `verify_needed`: must the artifacts of a stage that the run only relies on be looked at?
+
+    Not for active stages, those outside the closure or already satisfied, nor where a stage of the closure that directly follows is
+    satisfied in the same target.
+    """
+    target = Window.partitionBy("run_id", "target_label")
+    satisfied = F.collect_set(F.when(F.col("status").isin(*SATISFIED), F.col("stage"))).over(target)
+    later = edges.toDF("__stage", "after").where(F.col("after").isin(*closure)).groupBy("__stage").agg(F.collect_set("after").alias("__later"))  # tens of rows
+    joined = stage_runs.withColumn("__satisfied", satisfied).join(F.broadcast(later), F.col("stage") == F.col("__stage"), "left")
+    open_stage = F.col("stage").isin(*closure) & ~F.col("stage").isin(*active) & ~F.coalesce(F.col("status").isin(*SATISFIED), F.lit(False))
+    overtaken = F.coalesce(F.arrays_overlap("__later", "__satisfied"), F.lit(False))
+    return joined.withColumn("verify_needed", open_stage & ~overtaken).drop("__stage", "__later", "__satisfied")
+
+
+def skip_superseded(
+    stage_runs: DataFrame, artifacts: DataFrame, edges: DataFrame, targets: DataFrame, run: str, active: Sequence[str], closure: Sequence[str], now: str
+) -> tuple[DataFrame, DataFrame]:
+    """(stage_runs, artifacts): stages of the closure that needn't be verified any more are skipped, with that as the remembered reason.
+
+    Only for the run's targets (run_id, target_label, enabled) that aren't disabled; rows that ended in success or failure stay, as do those
+    skipped for a reason that is final.
+    """
+    enabled = of_run(targets, run).where(F.coalesce(F.col("enabled") != 0, F.lit(True))).select("target_label").distinct().withColumn("__enabled", F.lit(True))
+    reasons = artifacts.where("artifact_type = 'skip_reason'").groupBy(*KEY).agg(F.max("path").alias("__reason"))
+    rows = with_verify_needed(of_run(stage_runs, run), edges, active, closure).join(enabled, "target_label").join(reasons, KEY, "left")
+    final = (F.col("status") == "skipped") & F.coalesce(F.col("__reason").isin(*FINAL_REASONS), F.lit(False))
+    hit = F.col("stage").isin(*closure) & ~F.col("stage").isin(*active) & ~F.col("verify_needed") & ~final & ~F.col("status").isin("success", "failed")
+    keys = rows.where(hit).select(*KEY)
+    remembered = keys.distinct().select(*KEY, F.lit("skip_reason").alias("artifact_type"), F.lit(SUPERSEDED).alias("path"), F.lit(now).alias("verified_at"))
+    remembered = remembered.select(*(c for c in remembered.columns if c in artifacts.columns))
+    kept = clear_skip_cache(artifacts, keys).unionByName(remembered, allowMissingColumns=True)
+    return update_keys(stage_runs, keys, {"finished_at": now, "exit_code": 0, "status": "skipped"}), kept

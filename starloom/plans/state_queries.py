@@ -181,3 +181,58 @@ def state_commands(spark, d):
 def state_labels(spark, d):
     rows = stage_runs(spark, d)
     return state.labels(rows, rows.limit(0), RUN)
+
+
+CLOSURE = ["s1", "s2", "s3", "s4", "s5", "s6"]
+NEEDED = f"""v AS (SELECT s.*, s.stage IN ({", ".join(f"'{x}'" for x in CLOSURE)}) AND s.stage NOT IN ({INACTIVE}) AND s.status NOT IN {DONE} AND NOT EXISTS (SELECT 1 FROM e JOIN s b ON b.stage = e.stage
+WHERE e.dependency = s.stage AND e.stage <> 's7' AND b.run_id = s.run_id AND b.target_label = s.target_label AND b.status IN {DONE}) AS verify_needed FROM s)"""
+
+
+@query(f"WITH {S}, {E}, {NEEDED} SELECT run_id, target_label, stage, verify_needed FROM v")
+def state_verify_needed(spark, d):
+    return state.with_verify_needed(stage_runs(spark, d), edges(spark), ACTIVE, CLOSURE).select(*state.KEY, "verify_needed")
+
+
+SUPERSEDED = f"""WITH {S}, {A}, {E}, {NEEDED}, r AS (SELECT run_id, target_label, stage, 'not_selected' AS path FROM a WHERE path = 'N'),
+h AS (SELECT v.run_id, v.target_label, v.stage FROM v LEFT JOIN r ON r.run_id = v.run_id AND r.target_label = v.target_label AND r.stage = v.stage WHERE v.run_id = '{RUN}' AND v.target_label NOT LIKE '%7'
+AND v.stage IN ({", ".join(f"'{x}'" for x in CLOSURE)}) AND v.stage NOT IN ({INACTIVE}) AND NOT v.verify_needed AND NOT (v.status = 'skipped' AND r.path IS NOT NULL) AND v.status NOT IN ('success', 'failed')) """
+
+
+def superseded(spark, d) -> tuple[DataFrame, DataFrame]:
+    rows, reasons = stage_runs(spark, d), artifacts(spark, d).where("path = 'N'").withColumns({"artifact_type": F.lit("skip_reason"), "path": F.lit("not_selected")})
+    targets = rows.select("run_id", "target_label").distinct().withColumn("enabled", F.when(F.col("target_label").endswith("7"), 0).otherwise(1))
+    return state.skip_superseded(rows, reasons, edges(spark), targets, RUN, ACTIVE, CLOSURE, "now")
+
+
+@query(SUPERSEDED + "SELECT s.run_id, s.target_label, s.stage, CASE WHEN h.stage IS NOT NULL THEN 'skipped' ELSE status END AS status FROM s LEFT JOIN h USING (run_id, target_label, stage)")
+def state_superseded(spark, d):
+    return superseded(spark, d)[0].select(*state.KEY, "status")
+
+
+@query(SUPERSEDED + "SELECT run_id, target_label, stage, path FROM r WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.run_id = r.run_id AND h.target_label = r.target_label AND h.stage = r.stage) UNION ALL SELECT run_id, target_label, stage, 'superseded' FROM h")
+def state_superseded_reasons(spark, d):
+    return superseded(spark, d)[1].select(*state.KEY, "path")
+
+
+@query(f"""WITH {S}, k AS (SELECT run_id, target_label, stage FROM s WHERE status = 'failed') SELECT s.run_id, s.target_label, s.stage, CASE WHEN k.stage IS NOT NULL THEN 1 ELSE attempts END AS force_launch FROM s LEFT JOIN k USING (run_id, target_label, stage)""")
+def state_force_launch(spark, d):
+    rows = stage_runs(spark, d).withColumnRenamed("attempts", "force_launch")
+    return state.set_force_launch(rows, rows.where("status = 'failed'"), True).select(*state.KEY, "force_launch")
+
+
+@query("""WITH c AS (SELECT o_orderkey AS id, 'r' || o_custkey AS run_id, o_orderpriority AS kind, CASE WHEN o_orderstatus = 'F' THEN 'old' END AS processed_at FROM orders), n AS (SELECT 'r' || s_suppkey AS run_id, 'pause' AS kind, s_suppkey FROM supplier)
+SELECT id, run_id, kind, CASE WHEN id % 5 = 0 THEN 'now' ELSE processed_at END AS processed_at FROM c UNION ALL SELECT (SELECT max(id) FROM c) + row_number() OVER (ORDER BY s_suppkey), run_id, kind, NULL FROM n""")
+def state_commands(spark, d):
+    """A command per order, of which every fifth is processed now; one to pause per supplier is added."""
+    o, s = T(spark, d, "orders"), T(spark, d, "supplier")
+    commands = o.select(F.col("o_orderkey").alias("id"), F.concat(F.lit("r"), "o_custkey").alias("run_id"), F.col("o_orderpriority").alias("kind"), F.lit("{}").alias("args_json"), F.lit("then").alias("created_at"), F.when(F.col("o_orderstatus") == "F", "old").alias("processed_at"))
+    new = s.select(F.concat(F.lit("r"), "s_suppkey").alias("run_id"), F.lit("pause").alias("kind"), F.lit(None).cast("string").alias("args_json"), "s_suppkey")
+    done = commands.where("id % 5 = 0")
+    return state.enqueue_commands(state.mark_processed(commands, done, "now"), new, ["s_suppkey"], "now").select("id", "run_id", "kind", "processed_at")
+
+
+@query("""SELECT event_id, round(epoch(TIMESTAMP '2030-01-01') - epoch_us(ts) / 1e6, 3) AS age FROM events""")
+def state_ages(spark, d):
+    iso = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    age = state.age_seconds(iso, F.lit("2030-01-01 00:00:00").cast("timestamp"))
+    return T(spark, d, "events").select("event_id", F.round(age, 3).alias("age"))
