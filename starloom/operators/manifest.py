@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.functions import names, scalars, wcs
@@ -181,3 +181,52 @@ def forced_positions(frames: DataFrame, mode: str, crop: tuple[float, float] = (
     else:
         raise ValueError(f"no position mode {mode}")
     return frames.withColumns({"target_x": at[0], "target_y": at[1]})
+
+
+#: The modes of a forced target's place, with the columns that give it.
+POSITION_MODES = {"sky": ("ra", "dec"), "offset": ("dx", "dy"), "fixed": ("x", "y")}
+
+
+def checked_targets(entries: DataFrame) -> DataFrame:
+    """(name, position_mode, ra, dec, dx, dy, x, y, problem) of target entries (name and any of the places, as text or numbers).
+
+    name becomes safe for file names; a place is given where neither of its two columns is null; problem says what is wrong with an entry:
+    no usable name, no place or several, one that isn't a number, or a name that other entries have too.  It's null if all is well.
+    """
+    has = lambda c: F.col(c).isNotNull() if c in entries.columns else F.lit(False)
+    given = {mode: has(a) & has(b) for mode, (a, b) in POSITION_MODES.items()}
+    n_modes = sum((g.cast("int") for g in given.values()), F.lit(0))
+    mode = F.coalesce(*(F.when(g, F.lit(m)) for m, g in given.items()))
+    name = names.light_curve_name(F.col("name"))
+    number = lambda c: F.col(c).try_cast("double") if c in entries.columns else F.lit(None).cast("double")
+    places = {c: F.when(F.col("position_mode") == m, F.col(f"__{c}")).alias(c) for m, pair in POSITION_MODES.items() for c in pair}
+    rows = entries.select(name.alias("name"), mode.alias("position_mode"), n_modes.alias("__modes"), *(number(c).alias(f"__{c}") for c in places))
+    same = F.count(F.lit(1)).over(Window.partitionBy("name"))
+    numeric = F.lit(False)
+    for m, (a, b) in POSITION_MODES.items():
+        numeric = numeric | ((F.col("position_mode") == m) & F.col(f"__{a}").isNotNull() & F.col(f"__{b}").isNotNull())
+    problem = (
+        F.when(F.col("name").isNull(), "no usable name").when(F.col("__modes") != 1, "one of (ra, dec), (dx, dy), (x, y) must be given")
+        .when(~numeric, "places must be numbers").when(same > 1, "a name must be unique")
+    )
+    return rows.select("name", "position_mode", *places.values(), problem.alias("problem"))
+
+
+def normalized_targets(entries: DataFrame) -> DataFrame:
+    """The checked targets without `problem`; the job fails with the first one found."""
+    checked = checked_targets(entries)
+    name = F.when(F.col("problem").isNull(), F.col("name")).otherwise(F.raise_error(F.concat(F.lit("forced target "), F.coalesce("name", F.lit("?")), F.lit(": "), F.col("problem"))).cast("string"))
+    return checked.withColumn("name", name).drop("problem")
+
+
+def target_places(frames: DataFrame, targets: DataFrame, crop: tuple[float, float] = (0.0, 0.0)) -> DataFrame:
+    """(frame, source, target_x, target_y) of all normalised targets in all frames (frame, x, y of the primary, sky_map where sky targets need it).
+
+    Targets are what somebody listed, tens of rows: they come to the frames as one array.
+    """
+    listed = targets.agg(F.collect_list(F.struct(*targets.columns)).alias("__targets"))  # one row
+    t = lambda c: F.col(f"__t.{c}")
+    each = frames.join(F.broadcast(listed)).withColumn("__t", F.explode("__targets"))
+    sky = wcs.sky_to_pixel(t("ra"), t("dec"), F.col("sky_map")) if "sky_map" in frames.columns else (F.lit(None), F.lit(None))
+    at = lambda i, corner: F.when(t("position_mode") == "sky", sky[i] - corner).when(t("position_mode") == "offset", F.col("xy"[i]) + t(f"d{'xy'[i]}")).otherwise(t("xy"[i]))
+    return each.select("frame", t("name").alias("source"), at(0, crop[0]).cast("double").alias("target_x"), at(1, crop[1]).cast("double").alias("target_y"))

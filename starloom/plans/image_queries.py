@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions import wcs
-from starloom.operators import adaptive, background, forced, kernel_fit, psf_flux, star_profiles, straps
+from starloom.operators import adaptive, background, forced, kernel_fit, manifest, psf_flux, star_profiles, straps
 from starloom.plans.queries import T, query, r6
 
 SIDE = 48
@@ -189,3 +189,15 @@ def forced_apertures(spark, d):
     places = places.select("frame", k.alias("source"), (F.col("x") + f % 3).cast("double").alias("target_x"), (F.col("y") - f % 2).cast("double").alias("target_y"))
     found = forced.aperture_fluxes(pixels, places, rounds=1)
     return found.select("frame", "source", "n_pix", *(F.round(c, 5).alias(c) for c in ("flux", "sky", "flux_wo_sky")))
+
+
+@query(f"""WITH {FRAMES}, t AS (SELECT 'n' || n_nationkey AS source, n_nationkey % 2 = 0 AS moved, n_nationkey % 7 - 3.5 AS dx, n_nationkey % 5 - 2.25 AS dy FROM nation)
+SELECT frame, source, CASE WHEN moved THEN 20.0 + frame % 3 + dx ELSE 10 + dx END::DOUBLE AS target_x, CASE WHEN moved THEN 25.0 - frame % 2 + dy ELSE 30 + dy END::DOUBLE AS target_y FROM (SELECT DISTINCT frame FROM p), t""")
+def forced_places(spark, d):
+    """Targets per nation, every other one an offset from the frames' primary, the others at fixed places."""
+    k = F.col("n_nationkey")
+    dx, dy, moved = k % 7 - 3.5, k % 5 - 2.25, k % 2 == 0
+    entries = T(spark, d, "nation").select(F.concat(F.lit("n"), k).alias("name"), F.when(moved, dx).alias("dx"), F.when(moved, dy).alias("dy"), F.when(~moved, 10 + dx).alias("x"), F.when(~moved, 30 + dy).alias("y"))
+    f = F.col("frame")
+    primary = lit_frames(spark, d).select("frame").distinct().select("frame", (20.0 + f % 3).alias("x"), (25.0 - f % 2).alias("y"))
+    return manifest.target_places(primary, manifest.normalized_targets(entries))

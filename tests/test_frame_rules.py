@@ -141,3 +141,29 @@ def test_template_names(spark):
     df = spark.createDataFrame([(n,) for n in [*good, *bad]], "name string").select("name", names.template_name(F.col("name")).alias("t"), names.template_name(F.col("name"), "Sky").alias("own"), names.template_name(F.col("name"), "other").alias("other"))
     for r in df.collect():
         assert (None if r.t is None else tuple(r.t)) == good.get(r.name) and r.own == r.t and r.other is None
+
+
+def test_normalised_targets(spark):
+    rows = [("a b", "1", "2", None, None, None), ("c/d", "1", "2", None, None, None), ("e", None, None, "7", "-7", None), ("f", "1", "2", "3", "4", None), ("g", "1", None, None, None, None), ("h", "one", "2", None, None, None), ("i", None, None, "1", "1", None), (" i ", None, None, "2", "2", None), (" ", "1", "2", None, None, None), (None, "1", "2", None, None, None)]
+    df = spark.createDataFrame(rows, "name string, ra string, dec string, dx string, dy string, note string")
+    found = [(r.name, r.position_mode, r.ra, r.dx, r.problem) for r in manifest.checked_targets(df).collect()]
+    assert ("a_b", "sky", 1.0, None, None) in found and ("e", "offset", None, 7.0, None) in found
+    wrong = sorted(str(r[4]) for r in found if r[4])
+    assert wrong == ["a name must be unique"] * 2 + ["no usable name"] * 3 + ["one of (ra, dec), (dx, dy), (x, y) must be given"] * 2 + ["places must be numbers"]
+    good = manifest.normalized_targets(df.where("name IN ('a b', 'e')"))
+    assert {r.name for r in good.collect()} == {"a_b", "e"} and "problem" not in good.columns
+    with pytest.raises(Exception, match="a name must be unique"):
+        manifest.normalized_targets(df.where("trim(name) = 'i'")).collect()
+    fixed = manifest.checked_targets(spark.createDataFrame([("p", 1.5, 2.5)], "name string, x double, y double")).first()
+    assert (fixed.position_mode, fixed.x, fixed.y, fixed.problem) == ("fixed", 1.5, 2.5, None)
+
+
+def test_places_of_all_targets_in_all_frames(spark):
+    ra, dec = plain_sky(1100.0, 900.0, MAPS[0])
+    frames = spark.createDataFrame([(0, 10.0, 20.0, MAPS[0]), (1, 12.0, 22.0, None)], f"frame int, x double, y double, sky_map {wcs.SKY_MAP}")
+    entries = spark.createDataFrame([("s", float(ra), float(dec), None, None, None, None), ("o", None, None, 7.0, -7.0, None, None), ("f", None, None, None, None, 3.0, 4.0)], "name string, ra double, dec double, dx double, dy double, x double, y double")
+    places = manifest.target_places(frames, manifest.normalized_targets(entries), (100.0, 50.0))
+    found = {(r.frame, r.source): (r.target_x, r.target_y) for r in places.collect()}
+    assert np.allclose(found.pop((0, "s")), (1000, 850), atol=1e-6)
+    assert found == {(1, "s"): (None, None), (0, "o"): (17.0, 13.0), (1, "o"): (19.0, 15.0), (0, "f"): (3.0, 4.0), (1, "f"): (3.0, 4.0)}
+    assert manifest.target_places(frames.drop("sky_map"), manifest.normalized_targets(entries)).count() == 6
