@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions import wcs
-from starloom.operators import adaptive, background, forced, kernel_fit, manifest, psf_flux, star_profiles, straps
+from starloom.operators import adaptive, background, forced, kernel_fit, manifest, psf_flux, sphere, star_profiles, straps
 from starloom.plans.queries import T, query, r6
 
 SIDE = 48
@@ -201,3 +201,18 @@ def forced_places(spark, d):
     f = F.col("frame")
     primary = lit_frames(spark, d).select("frame").distinct().select("frame", (20.0 + f % 3).alias("x"), (25.0 - f % 2).alias("y"))
     return manifest.target_places(primary, manifest.normalized_targets(entries))
+
+
+SPHERE = """c AS (SELECT c_custkey, c_custkey * 7.31 % 360 AS ra, c_custkey * 3.17 % 180 - 90 AS dec FROM customer), s AS (SELECT s_suppkey, s_suppkey * 53.7 % 360 AS ra, s_suppkey * 17.9 % 180 - 90 AS dec FROM supplier),
+cv AS (SELECT *, cos(radians(dec)) * cos(radians(ra)) AS x, cos(radians(dec)) * sin(radians(ra)) AS y, sin(radians(dec)) AS z FROM c), sv AS (SELECT *, cos(radians(dec)) * cos(radians(ra)) AS x, cos(radians(dec)) * sin(radians(ra)) AS y, sin(radians(dec)) AS z FROM s)"""
+
+
+@query(f"""WITH {SPHERE}, m AS (SELECT c_custkey, s_suppkey, degrees(2 * asin(least(1.0, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z)) / 2))) AS d FROM cv a JOIN sv b ON true)
+SELECT c_custkey, s_suppkey, round(d, 6) AS distance FROM m WHERE d <= 5.03""")
+def sky_neighbours(spark, d):
+    """Customers and suppliers as positions of the whole sky, poles included."""
+    at = lambda k, m, n: ((F.col(k) * F.lit(m).cast("decimal(9,2)") % 360).cast("double"), (F.col(k) * F.lit(n).cast("decimal(9,2)") % 180 - 90).cast("double"))
+    (ra, dec), (other_ra, other_dec) = at("c_custkey", "7.31", "3.17"), at("s_suppkey", "53.7", "17.9")
+    c = T(spark, d, "customer").select("c_custkey", ra.alias("ra"), dec.alias("dec"))
+    s = T(spark, d, "supplier").select("s_suppkey", other_ra.alias("other_ra"), other_dec.alias("other_dec"))
+    return sphere.within_degrees(c, s, 5.03).select("c_custkey", "s_suppkey", r6(F.col("distance")).alias("distance"))
