@@ -231,8 +231,8 @@ def state_commands(spark, d):
     return state.enqueue_commands(state.mark_processed(commands, done, "now"), new, ["s_suppkey"], "now").select("id", "run_id", "kind", "processed_at")
 
 
-@query("""SELECT event_id, round(epoch(TIMESTAMP '2030-01-01') - epoch_us(ts) / 1e6, 3) AS age FROM events""")
+@query("""SELECT event_id, CAST(floor((epoch_us(TIMESTAMP '2030-01-01') - epoch_us(ts)) / 1e6) AS BIGINT) AS age FROM events""")
 def state_ages(spark, d):
     iso = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     age = state.age_seconds(iso, F.lit("2030-01-01 00:00:00").cast("timestamp"))
-    return T(spark, d, "events").select("event_id", F.round(age, 3).alias("age"))
+    return T(spark, d, "events").select("event_id", F.floor(age).alias("age"))

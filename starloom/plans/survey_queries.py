@@ -89,10 +89,10 @@ def status_counts(spark, d):
 @query(f"""WITH {E}, b AS (SELECT *, floor((t - min(t) OVER (PARTITION BY event_type)) / 86400)::BIGINT AS bin FROM e),
 m AS (SELECT *, median(value) OVER w AS m, count(value) OVER w AS k FROM b WINDOW w AS (PARTITION BY event_type, bin)), s AS (SELECT *, median(abs(value - m)) OVER (PARTITION BY event_type, bin) AS s FROM m),
 g AS (SELECT *, coalesce(k < 3 OR abs(value - m) <= 2 * 1.4826::DOUBLE * greatest(s, 1e-12::DOUBLE * (1 + abs(m))), false) AS kept FROM s)
-SELECT event_type, bin, round(avg(t) FILTER (kept), 3) AS t_mean, round(avg(value) FILTER (kept), 6) AS v_mean, count(value) FILTER (kept) AS n FROM g GROUP BY event_type, bin""")
+SELECT event_type, bin, round(avg(t) FILTER (kept), 3) AS t_mean, round(round(avg(value) FILTER (kept), 9), 6) AS v_mean, count(value) FILTER (kept) AS n FROM g GROUP BY event_type, bin""")
 def binned_clip(spark, d):
     found = stats.binned_clip(events(spark, d), ["event_type"], "t", "value", 86400.0, 2.0)
-    return found.select("event_type", "bin", F.round("t_mean", 3).alias("t_mean"), r6(F.col("v_mean")).alias("v_mean"), "n")
+    return found.select("event_type", "bin", F.round("t_mean", 3).alias("t_mean"), r6(F.round("v_mean", 9)).alias("v_mean"), "n")  # rounded twice: the order of a sum decides no tie
 
 
 @query(f"""WITH {E}, q AS (SELECT event_id, value, quantile_cont(value, 0.05) OVER w AS lo, quantile_cont(value, 0.8) OVER w AS hi FROM e WINDOW w AS (PARTITION BY user_id ORDER BY t, event_id ROWS BETWEEN 10 PRECEDING AND 10 FOLLOWING))
