@@ -1,19 +1,29 @@
-"""Joins by distance: both sides fall into square cells, only neighbouring cells meet."""
+"""Joins by distance: both sides fall into square cells, only neighbouring cells meet.
+
+Rows at the same place are joined once, as one place.  Copies of a row for the cells about it are never broadcast: Spark
+judges them by their table's files, which may be a small part of them.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.session import checkpointed
 
 
-def _cells(df: DataFrame, x: str, y: str, radius: float, around: bool) -> DataFrame:
-    cx, cy = F.floor(F.col(x) / radius), F.floor(F.col(y) / radius)
+def _cells(df: DataFrame, x: str, y: str, side: float, around: bool, reach: int = 1) -> DataFrame:
+    cx, cy = F.floor(F.col(x) / side), F.floor(F.col(y) / side)
     if not around:
         return df.withColumn("__cx", cx).withColumn("__cy", cy)
-    near = F.array(F.lit(-1), F.lit(0), F.lit(1))
-    return df.withColumn("__cx", F.explode(F.transform(near, lambda d: cx + d))).withColumn("__cy", F.explode(F.transform(near, lambda d: cy + d)))
+    near = lambda c: F.explode(F.sequence(c - reach, c + reach))
+    return df.withColumn("__cx", near(cx)).withColumn("__cy", near(cy)).hint("merge")
+
+
+def _square(x: str, y: str, rx: str, ry: str) -> Column:
+    return F.pow(F.col(x) - F.col(rx), 2) + F.pow(F.col(y) - F.col(ry), 2)
 
 
 def within(left: DataFrame, right: DataFrame, radius: float, how: str = "inner") -> DataFrame:
@@ -21,16 +31,20 @@ def within(left: DataFrame, right: DataFrame, radius: float, how: str = "inner")
 
     how: inner, left_semi or left_anti.
     """
-    d2 = F.pow(F.col("x") - F.col("rx"), 2) + F.pow(F.col("y") - F.col("ry"), 2)
+    right = right if how == "inner" else right.select("rx", "ry").distinct()
     a, b = _cells(left, "x", "y", radius, False), _cells(right, "rx", "ry", radius, True)
     b = b.withColumnsRenamed({"__cx": "__rx", "__cy": "__ry"})
-    on = (F.col("__cx") == F.col("__rx")) & (F.col("__cy") == F.col("__ry")) & (d2 <= radius * radius)
+    on = (F.col("__cx") == F.col("__rx")) & (F.col("__cy") == F.col("__ry")) & (_square("x", "y", "rx", "ry") <= radius * radius)
     return a.join(b, on, how).drop("__cx", "__cy", "__rx", "__ry")
 
 
+def _placed(x: str, y: str) -> Column:
+    return (F.abs(F.col(x)) < float("inf")) & (F.abs(F.col(y)) < float("inf"))
+
+
 def nearest_within(left: DataFrame, right: DataFrame, radius: float, key: str, right_key: str) -> DataFrame:
     """Rows of `left` (unique by `key`) with the nearest `right_key` within the radius, or null; ties go to the least."""
-    d2 = F.pow(F.col("x") - F.col("rx"), 2) + F.pow(F.col("y") - F.col("ry"), 2)
+    d2 = _square("x", "y", "rx", "ry")
     best = within(left.select(key, "x", "y"), right.select(right_key, "rx", "ry"), radius).groupBy(key).agg(F.min_by(right_key, F.struct(d2, F.col(right_key))).alias(right_key))
     return left.join(best, key, "left")
 
@@ -55,19 +69,27 @@ def nearest(left: DataFrame, right: DataFrame, radius: float, key: str, right_ke
 def greedy_thin(points: DataFrame, key: str, brightness: str, radius: float) -> DataFrame:
     """Points (key, x, y, brightness) kept when taken from the brightest on, each at more than `radius` from all kept before; ties go to the least key.
 
-    Rounds instead of a sequence, with the same result: a point is kept once no undecided neighbour comes before it,
-    and its neighbours go.  The neighbours within the radius are joined once.  The number of rounds is the length of the
-    longest chain of ever fainter neighbours, not the number of points.
+    Rounds instead of a sequence, with the same result.  Any two points of a cell are neighbours, so a cell keeps one point at
+    most, and only the first undecided point of each can be the next: it is kept if no undecided neighbour comes before it, and its
+    neighbours go.  Pairs of neighbours are never written down: a round compares points with the few first ones about them.
+    The number of rounds is the length of the longest chain of ever fainter first points, at most the number of cells.
     """
     rank = F.struct((-F.col(brightness)).alias("b"), F.col(key).alias("k")).alias("rank")
-    all_points = points.select("x", "y", rank)
-    other = all_points.select(F.col("x").alias("rx"), F.col("y").alias("ry"), F.col("rank").alias("before"))
-    edges = checkpointed(within(all_points, other, radius).where("before < rank").select("rank", "before"))
-    undecided, kept = all_points.select("rank"), None
+    side, reach = radius / math.sqrt(2) * (1 - 1e-9), 2
+    at = ["__cx", "__cy"]
+    width = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = F.coalesce(_placed("x", "y"), F.lit(False))
+    kept = checkpointed(points.where(~placed).select(rank))  # without a place, without neighbours
+    undecided = checkpointed(_cells(points.where(placed).select(F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"), rank), "x", "y", side, False))
+    near = _square("x", "y", "rx", "ry") <= radius * radius
     while not undecided.isEmpty():
-        blocked = edges.join(undecided.withColumnRenamed("rank", "before"), "before", "left_semi").select("rank").distinct()
-        new = undecided.join(blocked, "rank", "left_anti")
-        kept = checkpointed(new if kept is None else kept.union(new))
-        gone = edges.join(kept.withColumnRenamed("rank", "before"), "before", "left_semi").select("rank").distinct()
-        undecided = checkpointed(undecided.join(kept, "rank", "left_anti").join(gone, "rank", "left_anti"))
-    return points if kept is None else points.join(kept.select(F.col("rank.k").alias(key)), key, "left_semi")
+        first = undecided.groupBy(*at).agg(F.min(F.struct("rank", "x", "y")).alias("p"))
+        first = checkpointed(first.select(F.col("p.rank").alias("first"), F.col("p.x").alias("rx"), F.col("p.y").alias("ry")))
+        about = _cells(first, "rx", "ry", side, True, reach).withColumnsRenamed({"__cx": "__rx", "__cy": "__ry"})
+        met = (F.col("__cx") == F.col("__rx")) & (F.col("__cy") == F.col("__ry")) & near
+        blocked = about.join(undecided, met & (F.col("rank") < F.col("first")), "left_semi").select("first").distinct()
+        new = checkpointed(first.join(blocked, "first", "left_anti"))
+        kept = checkpointed(kept.union(new.select("first")).coalesce(width))
+        gone = _cells(new, "rx", "ry", side, True, reach).withColumnsRenamed({"__cx": "__rx", "__cy": "__ry"})
+        undecided = checkpointed(undecided.join(gone, met, "left_anti"))
+    return points.join(kept.select(F.col("rank.k").alias(key)), key, "left_semi")
