@@ -7,12 +7,16 @@ judges them by their table's files, which may be a small part of them.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.session import checkpointed
 
+#: Pairs of places that a join by cells may look at, per place.
+PAIRS = 64
+
 
 def _cells(df: DataFrame, x: str, y: str, side: float, around: bool, reach: int = 1) -> DataFrame:
     cx, cy = F.floor(F.col(x) / side), F.floor(F.col(y) / side)
@@ -42,28 +46,39 @@ def _placed(x: str, y: str) -> Column:
     return (F.abs(F.col(x)) < float("inf")) & (F.abs(F.col(y)) < float("inf"))
 
 
-def nearest_within(left: DataFrame, right: DataFrame, radius: float, key: str, right_key: str) -> DataFrame:
-    """Rows of `left` (unique by `key`) with the nearest `right_key` within the radius, or null; ties go to the least."""
-    d2 = _square("x", "y", "rx", "ry")
-    best = within(left.select(key, "x", "y"), right.select(right_key, "rx", "ry"), radius).groupBy(key).agg(F.min_by(right_key, F.struct(d2, F.col(right_key))).alias(right_key))
-    return left.join(best, key, "left")
+def first_radius(left: DataFrame, right: DataFrame, radius: float) -> float:
+    """At most `radius`, and so small that a join of left places (x, y) with right ones (rx, ry) looks at a bounded number of pairs a place."""
+    limit = PAIRS * (left.count() + right.count())
+    for _ in range(60):
+        ours, theirs = _cells(left, "x", "y", radius, False), _cells(right, "rx", "ry", radius, True)
+        counts = [df.groupBy("__cx", "__cy").agg(F.count(F.lit(1)).cast("double").alias(n)) for df, n in ((ours, "n"), (theirs, "m"))]
+        pairs = counts[0].join(counts[1], ["__cx", "__cy"]).agg(F.sum(F.col("n") * F.col("m"))).first()[0] or 0.0
+        if pairs <= limit:
+            break
+        radius /= 2 ** max(1, math.floor(math.log2(pairs / limit) / 2))
+    return radius
 
 
 def nearest(left: DataFrame, right: DataFrame, radius: float, key: str, right_key: str) -> DataFrame:
     """Rows of `left` (unique by `key`) with the nearest `right_key` at any distance, ties to the least; null only without places.
 
-    `radius` is only the first one tried: it is doubled for the rows still without a match until none is left.
+    Places are matched, not rows.  `radius` is only where the first one is sought, by `first_radius`; it is doubled for the places still
+    without a match until none is left.  A place far from all others meets those of the cells about it, however many they are.
     """
-    placed = lambda x, y: (F.abs(F.col(x)) < float("inf")) & (F.abs(F.col(y)) < float("inf"))
-    tiles = checkpointed(right.where(placed("rx", "ry")).select(right_key, "rx", "ry"))
-    todo = checkpointed(left.where(placed("x", "y")).select(key, "x", "y"))
-    found = todo.join(tiles.select(right_key), F.lit(False)).select(key, right_key)
+    known = right.where(_placed("rx", "ry") & F.col(right_key).isNotNull())
+    tiles = checkpointed(known.groupBy("rx", "ry").agg(F.min(right_key).alias(right_key)))
+    todo = checkpointed(left.where(_placed("x", "y")).select("x", "y").distinct())
+    found = []
+    radius = first_radius(todo, tiles, radius)
     while not tiles.isEmpty() and not todo.isEmpty():
-        tried = checkpointed(nearest_within(todo, tiles, radius, key, right_key))
-        found = found.union(tried.where(F.col(right_key).isNotNull()).select(key, right_key))
-        todo = tried.where(F.col(right_key).isNull()).drop(right_key)
+        pairs = within(todo, tiles, radius).withColumn("__d", _square("x", "y", "rx", "ry"))
+        best = checkpointed(pairs.groupBy("x", "y").agg(F.min_by(right_key, F.struct("__d", right_key)).alias(right_key)))
+        found.append(best)
+        todo = checkpointed(todo.join(best, ["x", "y"], "left_anti"))
         radius *= 2
-    return left.join(found, key, "left")
+    if not found:
+        return left.withColumn(right_key, F.lit(None).cast(right.schema[right_key].dataType))
+    return left.join(reduce(DataFrame.unionByName, found), ["x", "y"], "left").select(*left.columns, right_key)
 
 
 def greedy_thin(points: DataFrame, key: str, brightness: str, radius: float) -> DataFrame:

@@ -47,3 +47,13 @@ def test_copies_for_cells_are_not_broadcast(spark):
     for how in ("inner", "left_semi", "left_anti"):
         assert "BroadcastHashJoin" not in plan(spatial.within(a, b, 1.0, how))
     assert "Aggregate" in plan(spatial.within(a, b, 1.0, "left_anti"))  # places, not rows
+
+
+def test_nearest_of_places(spark, monkeypatch):
+    left = spark.range(3000).selectExpr("id AS k", "id % 3 AS x", "0 AS y")
+    right = spark.range(3000).selectExpr("IF(id < 3, NULL, id) AS r", "(id + 1) % 3 * 100 AS rx", "0 AS ry")
+    written = counted(monkeypatch, spatial)
+    found = spatial.nearest(left, right, 1000.0, "k", "r")
+    assert {(r.x, r.r) for r in found.select("x", "r").distinct().collect()} == {(0, 5), (1, 5), (2, 5)} and found.count() == 3000
+    assert max(written) <= 3
+    assert spatial.first_radius(left.select("x", "y"), right.select("rx", "ry"), 1000.0) < 1000
