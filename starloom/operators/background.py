@@ -103,13 +103,15 @@ def drawn_out(planes: DataFrame, smooth: DataFrame, box: int, name: str = "backg
     return at.join(cells, ["frame", "cx", "cy"], "left").select(*planes.drop(name).columns, value.alias(name))
 
 
-def with_background(planes: DataFrame, nx: int, ny: int, box: int = 4, filter_size: int = 3, exclude: float = 0.5, kappa: float = 3.0, rounds: int = 10, neighbours: int = 10, name: str = "background") -> DataFrame:
+def with_background(planes: DataFrame, nx: int, ny: int, box: int = 4, filter_size: int = 3, exclude: float = 0.5, kappa: float = 3.0, rounds: int = 10, neighbours: int = 10, name: str = "background", bare_frames: bool = True) -> DataFrame:
     """`planes` (frame, x, y, value, and mask, where above 0 excludes) with the background under every pixel.
 
-    A frame all of whose boxes are excluded gets the median of its unmasked pixels, or 0 without any.
+    A frame all of whose boxes are excluded gets the median of its unmasked pixels, or 0 without any; without `bare_frames` it has no rows.
     """
     side = box_for(box, nx, ny)
     out = drawn_out(planes, mesh(box_levels(planes, side, exclude, kappa, rounds), filter_size, neighbours), side, name)
+    if not bare_frames:
+        return out.where(F.col(name).isNotNull())
     known = F.col("value").isNotNull() & ~F.isnan("value") & (F.coalesce("mask", F.lit(0)) <= 0 if "mask" in planes.columns else F.lit(True))
     bare = out.where(F.col(name).isNull())
     flat = bare.groupBy("frame").agg(F.percentile(F.when(known, F.col("value").cast("double")), F.lit(0.5)).alias("flat"))

@@ -57,3 +57,10 @@ def test_nearest_of_places(spark, monkeypatch):
     assert {(r.x, r.r) for r in found.select("x", "r").distinct().collect()} == {(0, 5), (1, 5), (2, 5)} and found.count() == 3000
     assert max(written) <= 3
     assert spatial.first_radius(left.select("x", "y"), right.select("rx", "ry"), 1000.0) < 1000
+
+
+def test_frames_without_a_box_can_be_left_out(spark):
+    rows = [(f, x, y, 1.0) for f in ("full", "bare") for x in range(8) for y in range(8) if f == "full" or x == y == 0]
+    planes = spark.createDataFrame(rows, "frame string, x long, y long, value double")
+    assert background.with_background(planes, 8, 8, 4).count() == 65
+    assert {r.frame for r in background.with_background(planes, 8, 8, 4, bare_frames=False).collect()} == {"full"}
