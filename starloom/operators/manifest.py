@@ -11,12 +11,16 @@ from starloom.functions import names, scalars, wcs
 from starloom.operators import select, stats
 
 
-def update_last(df: DataFrame, key: Column, results: DataFrame, result_key: str, order: str, columns: dict[str, str], default: dict[str, object]) -> DataFrame:
+def update_last(df: DataFrame, key: Column, results: DataFrame, result_key: str, order: str, columns: dict[str, str], default: dict[str, object], ties: Sequence[str] = ()) -> DataFrame:
     """`df` with columns set from the last result of its key; `columns` names the target of each result column.
 
-    Rows without a result keep what they had, or the default where the column is new.
+    Rows without a result keep what they had, or the default where the column is new.  Of results with the same `order` the least by
+    the columns `ties` counts; without them any may.
     """
-    last = select.keep_one(results.where(F.col(result_key) != ""), [result_key], [order], largest=True)
+    known = results.where(F.col(result_key) != "")
+    if ties:
+        known = known.groupBy(result_key, order).agg(F.min_by(F.struct(*columns), F.struct(*ties)).alias("__first")).select(result_key, order, "__first.*")
+    last = select.keep_one(known, [result_key], [order], largest=True)
     last = last.select(F.col(result_key).alias("__key"), F.lit(True).alias("__hit"), *(F.col(c).alias(f"__{c}") for c in columns))
     joined = df.withColumn("__id", key).join(last, F.col("__id") == F.col("__key"), "left")
     for c, target in columns.items():

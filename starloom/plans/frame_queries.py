@@ -122,8 +122,9 @@ def kernel_calibration(spark, d):
 SELECT o_orderkey, coalesce(r.ok, false) AS hp_ok, coalesce(r.msg, '') AS hp_error FROM orders LEFT JOIN r ON l_orderkey = o_orderkey""")
 def status_update(spark, d):
     o = T(spark, d, "orders").select("o_orderkey")
-    results = T(spark, d, "lineitem").where("l_quantity > 10").select(F.col("l_orderkey").cast("string").alias("id"), F.struct("l_shipdate", "l_linenumber").alias("seq"), (F.col("l_returnflag") == "R").alias("ok"), F.col("l_linestatus").alias("msg"))
-    return manifest.update_last(o, F.col("o_orderkey").cast("string"), results, "id", "seq", {"ok": "hp_ok", "msg": "hp_error"}, {"hp_ok": False, "hp_error": ""})
+    place = [F.col(f"_metadata.{c}").alias(c) for c in ("file_path", "row_index")]  # equal results: the first one read, as in SQL
+    results = T(spark, d, "lineitem").where("l_quantity > 10").select(F.col("l_orderkey").cast("string").alias("id"), F.struct("l_shipdate", "l_linenumber").alias("seq"), (F.col("l_returnflag") == "R").alias("ok"), F.col("l_linestatus").alias("msg"), *place)
+    return manifest.update_last(o, F.col("o_orderkey").cast("string"), results, "id", "seq", {"ok": "hp_ok", "msg": "hp_error"}, {"hp_ok": False, "hp_error": ""}, ["file_path", "row_index"])
 
 
 @query("""WITH f AS (SELECT o_custkey, arg_min(o_orderkey % 6, o_orderkey) AS group_id FROM orders GROUP BY o_custkey) SELECT c_custkey, coalesce(group_id, -1) AS group_id FROM customer LEFT JOIN f ON o_custkey = c_custkey""")

@@ -64,3 +64,11 @@ def test_frames_without_a_box_can_be_left_out(spark):
     planes = spark.createDataFrame(rows, "frame string, x long, y long, value double")
     assert background.with_background(planes, 8, 8, 4).count() == 65
     assert {r.frame for r in background.with_background(planes, 8, 8, 4, bare_frames=False).collect()} == {"full"}
+
+
+def test_first_of_equal_results(spark):
+    frames = spark.createDataFrame([("a",), ("b",)], "name string")
+    results = spark.createDataFrame([("a", 1, 7, "late"), ("a", 1, 2, "first"), ("a", 0, 1, "old"), ("b", 3, 9, "only")], "id string, seq int, row long, msg string")
+    for part in (results, results.orderBy("row")):
+        out = manifest.update_last(frames, F.col("name"), part.coalesce(1), "id", "seq", {"msg": "msg"}, {"msg": ""}, ["row"])
+        assert {r.name: r.msg for r in out.collect()} == {"a": "first", "b": "only"}
