@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from starloom.operators import spatial
+from starloom.session import checkpointed
+
 
 def interpolate_at(wanted: DataFrame, samples: DataFrame, key: str, t: str, value: str, width: float) -> DataFrame:
     """`wanted` with `value` linear between the samples of its key, clamped at both ends; null for a key without samples.
@@ -37,8 +42,22 @@ def interpolate_at(wanted: DataFrame, samples: DataFrame, key: str, t: str, valu
 
 
 def best_within(left: DataFrame, right: DataFrame, a: str, b: str, tolerance: float, key: str, prefer: str) -> DataFrame:
-    """Every row of `left` (unique by `key`) with the row of `right` that lies nearest within the tolerance; ties go to the least `prefer`."""
-    near = right.withColumn("__k", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: F.floor(F.col(b) / tolerance) + d)))
-    met = left.select(key, a, F.floor(F.col(a) / tolerance).alias("__k")).join(near, "__k").where(F.abs(F.col(a) - F.col(b)) <= tolerance)
-    best = met.groupBy(key).agg(F.min_by(F.struct(*right.columns), F.struct(F.abs(F.col(a) - F.col(b)), F.col(prefer))).alias("__r"))
-    return left.join(best.select(key, "__r.*"), key, "left")
+    """Every row of `left` (unique by `key`) with the row of `right` that lies nearest within the tolerance; ties go to the least `prefer`.
+
+    Values are matched, not rows: one row of `right` stands for its value.  They meet within a first width that bounds the pairs, which is
+    doubled up to the tolerance for the values still without a match.
+    """
+    on_line = lambda df, c, x, y: df.withColumns({x: F.col(c).cast("double"), y: F.lit(0.0)})
+    best = right.where(F.abs(F.col(b)) < float("inf")).groupBy(b).agg(F.min_by(F.struct(*right.columns), F.struct(prefer)).alias("__r"))
+    best = checkpointed(on_line(best.select(F.col(f"__r.{prefer}").alias("__p"), "__r", F.col(b).alias("__b")), "__b", "rx", "ry"))
+    todo = checkpointed(on_line(left.where(F.abs(F.col(a)) < float("inf")).select(F.col(a).alias("__a")).distinct(), "__a", "x", "y"))
+    width, found, away = spatial.first_radius(todo, best, tolerance), [], F.abs(F.col("__a") - F.col("__b"))
+    while True:
+        pairs = spatial.within(todo, best, width * (1 + 1e-9)).where(away <= width)
+        found.append(checkpointed(pairs.groupBy("__a").agg(F.min_by("__r", F.struct(away, "__p")).alias("__r"))))
+        if width >= tolerance:
+            break
+        todo = checkpointed(todo.join(found[-1], "__a", "left_anti"))
+        width = min(2 * width, tolerance)
+    matched = reduce(DataFrame.unionByName, found)
+    return left.join(matched.select(F.col("__a").alias(a), F.col("__r")), a, "left").select(*left.columns, "__r.*")

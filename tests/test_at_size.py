@@ -59,6 +59,19 @@ def test_nearest_of_places(spark, monkeypatch):
     assert spatial.first_radius(left.select("x", "y"), right.select("rx", "ry"), 1000.0) < 1000
 
 
+def test_values_within_a_tolerance_are_matched_once(spark, monkeypatch):
+    left = spark.range(2000).selectExpr("id AS k", "id % 7 * 1.5D AS a")
+    right = spark.range(2000).selectExpr("2000 - id AS s", "id % 5 * 2.0D + 0.25D AS b")
+    written = counted(monkeypatch, joins)
+    found = {r.k: r.s for r in joins.best_within(left, right, "a", "b", 0.8, "k", "s").collect()}
+    rows = [(2000 - i, i % 5 * 2.0 + 0.25) for i in range(2000)]
+    for k in range(7):
+        a = k * 1.5
+        near = sorted((abs(a - b), s) for s, b in rows if abs(a - b) <= 0.8)
+        assert found[k] == (near[0][1] if near else None) and found[k + 7 * 50] == found[k]
+    assert len(found) == 2000 and max(written) <= 7
+
+
 def test_frames_without_a_box_can_be_left_out(spark):
     rows = [(f, x, y, 1.0) for f in ("full", "bare") for x in range(8) for y in range(8) if f == "full" or x == y == 0]
     planes = spark.createDataFrame(rows, "frame string, x long, y long, value double")
