@@ -31,21 +31,21 @@ def separation(u: Sequence[Column], v: Sequence[Column]) -> Column:
 def within_degrees(left: DataFrame, right: DataFrame, radius: float, name: str = "distance") -> DataFrame:
     """Rows of `left` (ra, dec) with rows of `right` (other_ra, other_dec) at most `radius` degrees away, and the distance; `right` should be the smaller side.
 
-    Rows without a position meet nothing.
+    Rows without a position meet nothing.  Positions are compared, not rows; the pairs of rows at a pair of positions are then joined to it.
     """
     if not 0 < radius < 180:
         raise ValueError("the radius is between 0 and 180 degrees")
     side = 2 * math.sin(math.radians(radius) / 2) * (1 + 1e-9) + 1e-12
     cells = lambda parts: [F.floor(p / side) for p in parts]
     ours, theirs = unit_vector(F.col("ra"), F.col("dec")), unit_vector(F.col("other_ra"), F.col("other_dec"))
-    a = left.withColumns({"__u": F.array(*ours)} | {f"__c{i}": c for i, c in enumerate(cells(ours))})
-    b = right.withColumn("__v", F.array(*theirs))
+    a = left.select("ra", "dec").distinct().withColumns({"__u": F.array(*ours)} | {f"__c{i}": c for i, c in enumerate(cells(ours))})
+    b = right.select("other_ra", "other_dec").distinct().withColumn("__v", F.array(*theirs))
     for i, c in enumerate(cells(theirs)):
         b = b.withColumn(f"__d{i}", F.explode(F.sequence(c - 1, c + 1)))
-    near = a.join(b, [F.col(f"__c{i}") == F.col(f"__d{i}") for i in range(3)])
+    near = a.join(b.hint("merge"), [F.col(f"__c{i}") == F.col(f"__d{i}") for i in range(3)])  # Spark takes b for smaller than it is
     parts = lambda c: [F.col(c)[i] for i in range(3)]
-    out = near.withColumn(name, separation(parts("__u"), parts("__v"))).where(F.col(name) <= radius)
-    return out.drop("__u", "__v", *(f"__c{i}" for i in range(3)), *(f"__d{i}" for i in range(3)))
+    pairs = near.withColumn(name, separation(parts("__u"), parts("__v"))).where(F.col(name) <= radius).select("ra", "dec", "other_ra", "other_dec", name)
+    return left.join(checkpointed(pairs), ["ra", "dec"]).join(right, ["other_ra", "other_dec"]).select(*left.columns, *right.columns, name)
 
 
 def summed(corners: Column) -> list[Column]:

@@ -72,6 +72,14 @@ def test_values_within_a_tolerance_are_matched_once(spark, monkeypatch):
     assert len(found) == 2000 and max(written) <= 7
 
 
+def test_neighbours_on_the_sky_are_pairs_of_positions(spark, monkeypatch):
+    left = spark.range(100).selectExpr("id AS a", "10.0D + id % 2 * 90 AS ra", "5.0D AS dec")
+    right = spark.range(80).selectExpr("id AS b", "10.5D AS other_ra", "5.0D AS other_dec")
+    written = counted(monkeypatch, sphere)
+    found = sphere.within_degrees(left, right, 1.0)
+    assert found.columns == ["a", "ra", "dec", "b", "other_ra", "other_dec", "distance"] and found.count() == 50 * 80 and written == [1]
+
+
 def test_frames_without_a_box_can_be_left_out(spark):
     rows = [(f, x, y, 1.0) for f in ("full", "bare") for x in range(8) for y in range(8) if f == "full" or x == y == 0]
     planes = spark.createDataFrame(rows, "frame string, x long, y long, value double")
