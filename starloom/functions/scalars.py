@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,6 +11,11 @@ from pyspark.sql import functions as F
 RAD = math.pi / 180
 
 
+def bound(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f(value) with the value computed once, however often f reads it, also from inside other lambdas."""
+    return F.transform(F.array(value), f)[0]
+
+
 def epoch_seconds(ts: Column) -> Column:
     """Seconds since 1970 with microseconds, from a TIMESTAMP or TIMESTAMP_NTZ read as UTC."""
     return F.unix_micros(ts.cast("timestamp")) / 1e6

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.operators import psf_flux, star_profiles
-from starloom.operators.pixels import _deviation, _median
+from starloom.operators.pixels import _deviation, _median, clipped
 
 KEYS = ["frame", "source"]
 
@@ -50,8 +50,7 @@ def aperture_fluxes(pixels: DataFrame, places: DataFrame, target: int = 3, inner
         F.sort_array(F.collect_list(F.when(~within(inner), F.col("value")))).alias("ring"),
     )
     for _ in range(rounds):
-        middle, spread = _median("ring"), _deviation("ring")
-        rows = rows.withColumn("ring", F.filter("ring", lambda v: F.abs(v - middle) <= kappa * spread))
+        rows = rows.withColumn("ring", clipped("ring", kappa))
     known, area = F.size("ring") > 0, target * target
     sky = F.when(known, _median("ring") * area).otherwise(0.0)
     return rows.select(*KEYS, "flux", sky.alias("sky"), (F.col("flux") - sky).alias("flux_wo_sky"), F.coalesce("noise", F.when(known, _deviation("ring") * area)).alias("eflux"), "n_pix")

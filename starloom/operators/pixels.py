@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.functions import scalars
 from starloom.operators import spatial
 
 OFFSET = tuple[int, int]
@@ -85,23 +86,25 @@ def square_photometry(plane: DataFrame, stars: DataFrame, key: str, target: int,
     """Per star (key, rx, ry at whole pixels): flux over a square of `target` pixels a side, the sky in it, and their difference.
 
     The sky is the clipped median of the pixels between squares of `inner` and `outer` a side.  eflux comes from the plane's
-    column `noise` if it has one, else from the clipped sky's deviation.  A star's pixels are few and meet in one group.
+    column `noise` if it has one, else from the clipped sky's deviation.  A star's pixels are few and meet in one group; stars
+    at the same place are measured once.
     """
+    places = stars.select("rx", "ry").distinct()
     far = lambda half: (F.abs(F.col("x") - F.col("rx")) <= half) & (F.abs(F.col("y") - F.col("ry")) <= half)
-    near = spatial.within(plane, stars, outer * 0.75).where(far(outer // 2))
+    near = spatial.within(plane, places, outer * 0.75).where(far(outer // 2))
     noise = F.col("noise") if "noise" in plane.columns else F.lit(None).cast("double")
-    pixels = near.groupBy(key).agg(
+    pixels = near.groupBy("rx", "ry").agg(
         F.sum(F.when(far(target // 2), F.col("value"))).alias("flux"),
         F.sqrt(F.sum(F.when(far(target // 2), noise * noise))).alias("__noise"),
         F.sort_array(F.collect_list(F.when(~far(inner // 2), F.col("value").cast("double")))).alias("__sky"),
     )
     for _ in range(rounds):
-        middle, spread = _median("__sky"), _deviation("__sky")
-        pixels = pixels.withColumn("__sky", F.filter("__sky", lambda v: F.abs(v - middle) <= kappa * spread))
+        pixels = pixels.withColumn("__sky", clipped("__sky", kappa))
     area = target * target
     sky = _median("__sky") * area
     eflux = F.coalesce("__noise", _deviation("__sky") * area)
-    return pixels.select(key, "flux", sky.alias("sky"), (F.col("flux") - sky).alias("flux_wo_sky"), eflux.alias("eflux"))
+    found = pixels.select("rx", "ry", "flux", sky.alias("sky"), (F.col("flux") - sky).alias("flux_wo_sky"), eflux.alias("eflux"))
+    return stars.select(key, "rx", "ry").join(found, ["rx", "ry"]).drop("rx", "ry")
 
 
 def _median(values: str) -> Column:
@@ -114,7 +117,13 @@ def _median(values: str) -> Column:
 def _deviation(values: str) -> Column:
     n = F.size(values)
     mean = F.aggregate(values, F.lit(0.0), lambda a, v: a + v) / n
-    return F.sqrt(F.aggregate(values, F.lit(0.0), lambda a, v: a + (v - mean) * (v - mean)) / n)
+    return scalars.bound(mean, lambda m: F.sqrt(F.aggregate(values, F.lit(0.0), lambda a, v: a + (v - m) * (v - m)) / n))
+
+
+def clipped(values: str, kappa: float) -> Column:
+    """The values of a sorted array within kappa deviations of its median."""
+    limits = F.struct(_median(values).alias("middle"), (kappa * _deviation(values)).alias("far"))
+    return scalars.bound(limits, lambda s: F.filter(values, lambda v: F.abs(v - s["middle"]) <= s["far"]))
 
 
 def block_reduce(plane: DataFrame, block: int, nx: int, ny: int) -> DataFrame:
