@@ -217,14 +217,19 @@ def sky_to_pixel(ra: Column, dec: Column, sky_map: Column, steps: int = 8) -> tu
     det = cd[0] * cd[3] - cd[1] * cd[2]
     goal_u, goal_v = (cd[3] * at[0] - cd[1] * at[1]) / det, (cd[0] * at[1] - cd[2] * at[0]) / det
 
-    def step(s: Column, _: Column) -> Column:
-        a, b = _term_sums(sky_map["a"], s["u"], s["v"]), _term_sums(sky_map["b"], s["u"], s["v"])
-        du, dv = s["u"] + a["f"] - goal_u, s["v"] + b["f"] - goal_v
-        uu, uv, vu, vv = 1 + a["fu"], a["fv"], b["fu"], 1 + b["fv"]
-        d = uu * vv - uv * vu
-        return F.struct((s["u"] - (vv * du - uv * dv) / d).alias("u"), (s["v"] - (uu * dv - vu * du) / d).alias("v"))
-
-    found = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), F.struct(goal_u.alias("u"), goal_v.alias("v")), step)
+    def step(goal: Column, s: Column) -> Column:
+        def move(t: Column) -> Column:
+            a, b = t["a"], t["b"]
+            du, dv = s["u"] + a["f"] - goal["u"], s["v"] + b["f"] - goal["v"]
+            uu, uv, vu, vv = 1 + a["fu"], a["fv"], b["fu"], 1 + b["fv"]
+            d = uu * vv - uv * vu
+            return F.struct((s["u"] - (vv * du - uv * dv) / d).alias("u"), (s["v"] - (uu * dv - vu * du) / d).alias("v"))
+
+        sums = F.struct(_term_sums(sky_map["a"], s["u"], s["v"]).alias("a"), _term_sums(sky_map["b"], s["u"], s["v"]).alias("b"))
+        return scalars.bound(sums, move)
+
+    start = F.struct(goal_u.alias("u"), goal_v.alias("v"))
+    found = scalars.bound(start, lambda goal: F.aggregate(F.sequence(F.lit(1), F.lit(steps)), goal, lambda s, _: step(goal, s)))
     return found["u"] + sky_map["x0"], found["v"] + sky_map["y0"]
 
 
