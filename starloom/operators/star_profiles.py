@@ -140,19 +140,32 @@ def star_template(stars: DataFrame, profiles: DataFrame, keys: Sequence[str], ce
     inside = stars.where((F.col("x") >= 0) & (F.col("x") < nx) & (F.col("y") >= 0) & (F.col("y") < ny))
     own = [k for k in keys if k in stars.columns]
     placed = inside.select(*own, "flux", nearest_centre(centres).alias("tile"), (F.col("x") * oversample).alias("fx"), (F.col("y") * oversample).alias("fy"))
+    # a star's four weights, on its nearest fine cell and the next ones, are summed over the stars that share that cell and the sides of the next ones
+    shift = {c: F.col(f"f{c}") - F.rint(f"f{c}") for c in "yx"}
+    weight = lambda c, step: F.abs(shift[c]) if step else 1 - F.abs(shift[c])
+    steps = [(a, b) for a in (0, 1) for b in (0, 1)]
+    cell = [*own, "tile", F.rint("fy").alias("ry"), F.rint("fx").alias("rx"), F.signum(shift["y"]).cast("int").alias("sy"), F.signum(shift["x"]).cast("int").alias("sx")]
+    sums = placed.groupBy(*cell).agg(*(F.sum(F.col("flux") * weight("y", a) * weight("x", b)).alias(f"w{a}{b}") for a, b in steps))
+
     n = F.sqrt(F.size("profile")).cast("int")
-    cells = placed.join(profiles, ["tile", *(k for k in own if k in profiles.columns)]).select(*keys, "flux", "fx", "fy", n.alias("n"), F.posexplode("profile").alias("k", "weight"))
-
-    def both(name: str, place: str, cell: Column) -> Column:
-        """Fine rows or columns that a cell reaches, with their weights."""
-        shift = F.col(place) - F.rint(place)
-        to = lambda step, weight: F.struct((cell + step).cast("int").alias("at"), weight.alias("weight"))
-        options = F.array(to(F.lit(0), 1 - F.abs(shift)), to(F.signum(shift), F.abs(shift)))
-        return F.filter(options, lambda o: (o["weight"] > 0) & (o["at"] >= 0) & (o["at"] < F.col("n")) & (o["at"] - shift >= 0) & (o["at"] - shift <= F.col("n") - 1)).alias(name)
-
-    spread = cells.select(*keys, "flux", "fx", "fy", "n", "weight", both("rows", "fy", F.floor(F.col("k") / F.col("n"))), both("columns", "fx", F.col("k") % F.col("n")))
-    spread = spread.withColumn("r", F.explode("rows")).withColumn("c", F.explode("columns"))
-    corner = lambda place: F.rint(place) - F.floor(F.col("n") / 2)
-    fine = spread.select(*keys, (corner("fx") + F.col("c.at")).alias("gx"), (corner("fy") + F.col("r.at")).alias("gy"), (F.col("flux") * F.col("weight") * F.col("r.weight") * F.col("c.weight")).alias("value"))
+    side = F.explode(F.array(*map(F.lit, (-1, 0, 1))))
+    own_profile = [k for k in keys if k in profiles.columns]
+    cells = profiles.select(*own_profile, "tile", n.alias("n"), F.posexplode("profile").alias("k", "weight"))
+    cells = cells.withColumns({"i": F.floor(F.col("k") / F.col("n")), "j": F.col("k") % F.col("n")}).withColumn("sy", side).withColumn("sx", side)
+
+    def reached(at: Column, sign: Column) -> Column:
+        """No part of a moved profile lies beyond its outermost cells."""
+        return (at >= F.when(sign > 0, 1).otherwise(0)) & (at <= F.col("n") - F.when(sign < 0, 2).otherwise(1))
+
+    half = F.floor(F.col("n") / 2)
+    by_step = []
+    for a, b in steps:
+        r, c = F.col("i") + a * F.col("sy"), F.col("j") + b * F.col("sx")
+        used = reached(r, F.col("sy")) & reached(c, F.col("sx")) & (F.col("sy") != 0 if a else F.lit(True)) & (F.col("sx") != 0 if b else F.lit(True))
+        by_step.append(F.when(used, F.struct((r - half).alias("dy"), (c - half).alias("dx"), F.lit(2 * a + b).alias("step"), "weight")))
+    stencil = cells.select(*own_profile, "tile", "sy", "sx", F.explode(F.array_compact(F.array(*by_step))).alias("o")).select(*own_profile, "tile", "sy", "sx", "o.*")
+    met = sums.join(stencil, ["tile", "sy", "sx", *(k for k in own if k in own_profile)])
+    share = F.when(F.col("step") == 0, F.col("w00")).when(F.col("step") == 1, F.col("w01")).when(F.col("step") == 2, F.col("w10")).otherwise(F.col("w11"))
+    fine = met.select(*keys, (F.col("rx") + F.col("dx")).alias("gx"), (F.col("ry") + F.col("dy")).alias("gy"), (share * F.col("weight")).alias("value"))
     fine = fine.where((F.col("gx") >= 0) & (F.col("gx") < nx * oversample) & (F.col("gy") >= 0) & (F.col("gy") < ny * oversample))
     return fine.groupBy(*keys, F.floor(F.col("gx") / oversample).cast("long").alias("x"), F.floor(F.col("gy") / oversample).cast("long").alias("y")).agg(F.sum("value").alias("value"))

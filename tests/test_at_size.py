@@ -122,3 +122,12 @@ def test_distortion_sums_once_a_step(spark):
     m = F.lit(None).cast(wcs.SKY_MAP)
     x, _ = wcs.sky_to_pixel(F.rand(), F.rand(), m)
     assert spark.range(1).select(x)._jdf.queryExecution().analyzed().toString().count("aggregate(") <= 6  # the column and its name
+
+
+def test_stars_of_one_cell_are_summed_first(spark):
+    stars = spark.range(40).selectExpr("3.25D + id % 2 * 0.05D AS x", "4.1D AS y", "1.0D AS flux", "'a' AS g")
+    profiles = spark.createDataFrame([(0, [float(k) for k in range(9)])], "tile int, profile array<double>")
+    found = star_profiles.star_template(stars, profiles, ["g"], [(4.0, 4.0)], 2, 8, 8)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") == 2
+    one = star_profiles.star_template(spark.createDataFrame([(3.25, 4.1, 1.0, "a"), (3.3, 4.1, 1.0, "a")], stars.schema), profiles, ["g"], [(4.0, 4.0)], 2, 8, 8)
+    assert {(r.x, r.y): round(r.value, 9) for r in found.collect()} == {(r.x, r.y): round(20 * r.value, 9) for r in one.collect()}
