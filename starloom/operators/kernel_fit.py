@@ -2,8 +2,8 @@
 
 Planes are rows (frame, x, y, value), with `noise` and `mask` if they have them.  The kernel is a sum of fixed basis images,
 whose coefficients are polynomials of the place; the background is a polynomial as well.  All unknowns are linear, so every
-stamp becomes one Gram matrix and right side, made where its pixels are, and a frame is solved from its stamps' sums:
-stamps that fit badly are clipped without touching a pixel again.  Convolution works on tiles with a margin of the kernel's half width.
+stamp becomes one Gram matrix and right side, and a frame is solved from its stamps' sums:
+stamps that fit badly are clipped without touching a pixel again.  Both the stamps' sums and the convolution work on tiles with a margin.
 
 A stamp and a tile have a bounded number of pixels, a frame a bounded number of stamps; any number of frames run side by side.
 Null and NaN pixels, and those that the mask marks or whose noise isn't positive, don't count, nor do pixels whose kernel reaches a missing template pixel.
@@ -103,39 +103,44 @@ def convolutions(plane: np.ndarray, images: np.ndarray) -> tuple[np.ndarray, np.
     return parts, gaps < 0.5
 
 
-def stamp_pixels(plane: DataFrame, stamps: DataFrame, half: int) -> DataFrame:
-    """Pixels of squares about stamps (frame, stamp, cx, cy), by an equality join on (frame, x, y)."""
-    span = lambda c: F.explode(F.sequence(F.col(c) - half, F.col(c) + half))
-    squares = stamps.select("frame", "stamp", "cx", "cy", span("cx").alias("x")).select("*", span("cy").alias("y"))
-    return squares.join(plane, ["frame", "x", "y"])
+def tiled(planes: DataFrame, tile: int, margin: int) -> DataFrame:
+    """Pixels with the tile (tx, ty) that they lie in, and again with every other one whose margin they lie in."""
+    reach = lambda c: F.explode(F.sequence(F.floor((F.col(c) - margin) / tile), F.floor((F.col(c) + margin) / tile)))
+    return planes.select("*", reach("x").alias("tx")).select("*", reach("y").alias("ty"))
 
 
-def stamp_sums(science: DataFrame, template: DataFrame, stamps: DataFrame, model: KernelModel) -> DataFrame:
-    """(frame, stamp, gram, side, squares, n_pix): the normal equations of each stamp (frame, stamp, cx, cy)."""
+def stamp_sums(science: DataFrame, template: DataFrame, stamps: DataFrame, model: KernelModel, tile: int = 96) -> DataFrame:
+    """(frame, stamp, gram, side, squares, n_pix): the normal equations of each stamp (frame, stamp, cx, cy), made where the tile of its middle is."""
     inputs = science.select("frame", "x", "y", "value", *(F.col(c) if c in science.columns else F.lit(v).alias(c) for c, v in (("noise", 1.0), ("mask", 0))))
     usable = F.col("value").isNotNull() & ~F.isnan("value") & (F.col("noise") > 0) & (F.coalesce("mask", F.lit(0)) == 0)
     weight = F.when(usable, 1 / (F.col("noise") * F.col("noise"))).otherwise(0.0)
-    images = inputs.select("frame", "x", "y", F.when(usable, F.col("value")).otherwise(0.0).alias("value"), weight.alias("weight"))
-    sides = template.select("frame", "x", "y", "value", F.lit(None).cast("double").alias("weight"))
-    pixels = stamp_pixels(images, stamps, model.stamp_half).unionByName(stamp_pixels(sides, stamps, model.reach))
-
-    def of_stamp(rows: pd.DataFrame) -> pd.DataFrame:
-        basis = basis_images(model.half, model.falloffs, model.degrees)
-        cx, cy = int(rows["cx"].iloc[0]), int(rows["cy"].iloc[0])
-        is_template = rows["weight"].isna()
-        around = dense(rows[is_template], "value", cx - model.reach, cy - model.reach, 2 * model.reach + 1, 2 * model.reach + 1)
-        parts, sound = convolutions(around, basis)
-        size = 2 * model.stamp_half + 1
-        value, weight = (np.nan_to_num(dense(rows[~is_template], c, cx - model.stamp_half, cy - model.stamp_half, size, size)) for c in ("value", "weight"))
-        weight = np.where(sound, weight, 0.0)
-        y, x = np.mgrid[cy - model.stamp_half : cy + model.stamp_half + 1, cx - model.stamp_half : cx + model.stamp_half + 1].astype(float)
-        a = design(parts, x, y, model).reshape(-1, size * size)
-        w, v = weight.ravel(), value.ravel()
-        aw = a * w
-        return pd.DataFrame({"frame": named(rows["frame"].iloc[0], 1), "stamp": named(rows["stamp"].iloc[0], 1), "gram": [(aw @ a.T).ravel()], "side": [aw @ v], "squares": [float(w @ (v * v))], "n_pix": [int((w > 0).sum())]})
+    images = tiled(inputs.select("frame", "x", "y", F.when(usable, F.col("value")).otherwise(0.0).alias("value"), weight.alias("weight")), tile, model.stamp_half)
+    sides = tiled(template.select("frame", "x", "y", "value", F.lit(None).cast("double").alias("weight")), tile, model.reach)
+    work = stamps.select(F.col("frame").alias("own_frame"), F.floor(F.col("cx") / tile).alias("own_tx"), F.floor(F.col("cy") / tile).alias("own_ty"), "stamp", "cx", "cy")
+
+    def of_tile(key: tuple, rows: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(own) and len(rows):
+            basis = basis_images(model.half, model.falloffs, model.degrees)
+            x0, y0, half = int(key[1]) * tile, int(key[2]) * tile, model.stamp_half
+            width, size = tile + 2 * half, 2 * half + 1
+            is_template = rows["weight"].isna()
+            around = dense(rows[is_template], "value", x0 - model.reach, y0 - model.reach, tile + 2 * model.reach, tile + 2 * model.reach)
+            parts, sound = convolutions(around, basis)
+            values, weights = (np.nan_to_num(dense(rows[~is_template], c, x0 - half, y0 - half, width, width)) for c in ("value", "weight"))
+            y, x = np.mgrid[y0 - half : y0 - half + width, x0 - half : x0 - half + width].astype(float)
+            whole, weights = design(parts, x, y, model), np.where(sound, weights, 0.0)
+            for stamp, cx, cy in zip(own["stamp"], own["cx"], own["cy"]):
+                at = (slice(int(cy) - y0, int(cy) - y0 + size), slice(int(cx) - x0, int(cx) - x0 + size))
+                a, w, v = whole[:, *at].reshape(len(whole), -1), weights[at].ravel(), values[at].ravel()
+                aw = a * w
+                out.append((stamp, (aw @ a.T).ravel(), aw @ v, float(w @ (v * v)), int((w > 0).sum())))
+        stamp, gram, side, squares, n_pix = zip(*out) if out else ([],) * 5
+        return pd.DataFrame({"frame": named(key[0], len(out)), "stamp": pd.Series(stamp, dtype=object), "gram": pd.Series(gram, dtype=object), "side": pd.Series(side, dtype=object), "squares": list(squares), "n_pix": list(n_pix)})
 
     kinds = f"frame {stamps.schema['frame'].dataType.simpleString()}, stamp {stamps.schema['stamp'].dataType.simpleString()}"
-    return pixels.groupBy("frame", "stamp").applyInPandas(of_stamp, f"{kinds}, gram array<double>, side array<double>, squares double, n_pix long")
+    pixels = images.unionByName(sides).groupBy("frame", "tx", "ty").cogroup(work.groupBy("own_frame", "own_tx", "own_ty"))
+    return pixels.applyInPandas(of_tile, f"{kinds}, gram array<double>, side array<double>, squares double, n_pix long")
 
 
 def solve_clipped(gram: np.ndarray, side: np.ndarray, squares: np.ndarray, n_pix: np.ndarray, kappa: float, rounds: int) -> tuple[np.ndarray, np.ndarray, float]:
@@ -190,8 +195,7 @@ def kernel_images(solutions: DataFrame, model: KernelModel, x: float, y: float)
 
 def convolve_planes(template: DataFrame, solutions: DataFrame, model: KernelModel, tile: int = 96) -> DataFrame:
     """(frame, x, y, convolved, background): the template under each frame's kernel, where no pixel under the kernel is missing."""
-    reach = lambda c: F.explode(F.sequence(F.floor((F.col(c) - model.half) / tile), F.floor((F.col(c) + model.half) / tile)))
-    tiled = template.select("frame", "x", "y", "value", reach("x").alias("tx")).select("*", reach("y").alias("ty"))
+    pixels = tiled(template.select("frame", "x", "y", "value"), tile, model.half)
     work = template.select("frame", F.floor(F.col("x") / tile).alias("tx"), F.floor(F.col("y") / tile).alias("ty")).distinct().join(solutions.select("frame", "solution"), "frame")
     work = work.select(F.col("frame").alias("own_frame"), F.col("tx").alias("own_tx"), F.col("ty").alias("own_ty"), "solution")
 
@@ -208,7 +212,7 @@ def convolve_planes(template: DataFrame, solutions: DataFrame, model: KernelMode
         return pd.DataFrame({"frame": named(key[0], int(sound.sum())), "x": x[sound], "y": y[sound], "convolved": whole[sound], "background": ground[sound]})
 
     kind = template.schema["frame"].dataType.simpleString()
-    return tiled.groupBy("frame", "tx", "ty").cogroup(work.groupBy("own_frame", "own_tx", "own_ty")).applyInPandas(of_tile, f"frame {kind}, x long, y long, convolved double, background double")
+    return pixels.groupBy("frame", "tx", "ty").cogroup(work.groupBy("own_frame", "own_tx", "own_ty")).applyInPandas(of_tile, f"frame {kind}, x long, y long, convolved double, background double")
 
 
 def subtract(science: DataFrame, convolved: DataFrame) -> DataFrame:

@@ -131,3 +131,29 @@ def test_stars_of_one_cell_are_summed_first(spark):
     assert found._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") == 2
     one = star_profiles.star_template(spark.createDataFrame([(3.25, 4.1, 1.0, "a"), (3.3, 4.1, 1.0, "a")], stars.schema), profiles, ["g"], [(4.0, 4.0)], 2, 8, 8)
     assert {(r.x, r.y): round(r.value, 9) for r in found.collect()} == {(r.x, r.y): round(20 * r.value, 9) for r in one.collect()}
+
+
+def test_stamps_are_summed_by_tile(spark):
+    model = kernel_fit.KernelModel(1, (0.6,), (0,), 0, 0, 2, 24, 24)
+    rng = np.random.default_rng(2)
+    planes = spark.createDataFrame([("f", x, y, float(rng.random())) for x in range(24) for y in range(24)], "frame string, x long, y long, value double")
+    stamps = spark.createDataFrame([("f", k, cx, cy) for k, (cx, cy) in enumerate([(6, 6), (11, 12), (17, 9), (12, 17)])], "frame string, stamp int, cx long, cy long")
+    whole, parts = (kernel_fit.stamp_sums(planes, planes, stamps, model, tile) for tile in (96, 10))
+    assert "FlatMapCoGroupsInPandas" in plan(whole)
+    a, b = ({r.stamp: r for r in df.collect()} for df in (whole, parts))
+    assert a.keys() == b.keys() == {0, 1, 2, 3}
+    assert all(np.allclose(a[k].gram, b[k].gram) and np.allclose(a[k].side, b[k].side) and a[k].n_pix == b[k].n_pix == 25 for k in a)
+
+
+def test_band_entries_are_narrow(spark, monkeypatch):
+    kinds = []
+
+    def spy(df):
+        kinds.append(plan(df))
+        return checkpointed(df)
+
+    monkeypatch.setattr(near_duplicates, "materialise", spy)
+    words = " ".join(f"w{k}" for k in range(60))
+    df = spark.createDataFrame([(1, words), (2, words + " x"), (3, "other text")], "doc_id long, text string")
+    assert {r.doc_id: r.group_id for r in near_duplicates.near_duplicates(df).collect()} == {1: 1, 2: 1, 3: 3}
+    assert any("unhex(" in k for k in kinds)
