@@ -172,9 +172,9 @@ def similar_classes(df: DataFrame, key: str, text: str, n: int, threshold: float
     classes = materialise(
         prints.groupBy("class").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("size"), F.any_value("grams").alias("grams"), F.any_value("bands").alias("bands"))
     )
-    entries = classes.select("class", F.explode("bands").alias("bucket"))
+    entries = classes.select(F.unhex("class").alias("class"), F.explode("bands").alias("bucket"))  # the most rows of all: half the bytes
     crowded = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    candidates = materialise(entries.join(crowded, "bucket"))
+    candidates = materialise(entries.join(crowded, "bucket").withColumn("class", F.lower(F.hex("class"))))
     # The home of a class is its most crowded bucket, or that of a class it meets in a bucket: near copies, spread
     # over many bands, so share a home.  Homes are cut into blocks of about `block` classes and `block_grams` n-grams.
     own = candidates.groupBy("class").agg(F.max(F.struct("n", "bucket")).alias("home"))
