@@ -108,14 +108,15 @@ def square_photometry(plane: DataFrame, stars: DataFrame, key: str, target: int,
 
 
 def _median(values: str) -> Column:
-    """Of a sorted array."""
+    """Of a sorted array; null of an empty one."""
     n = F.size(values)
     at = lambda i: F.get(F.col(values), i.cast("int"))
     return (at(F.floor((n - 1) / 2)) + at(F.floor(n / 2))) / 2
 
 
 def _deviation(values: str) -> Column:
-    n = F.size(values)
+    """Null of an empty array."""
+    n = F.nullif(F.size(values), F.lit(0))
     mean = F.aggregate(values, F.lit(0.0), lambda a, v: a + v) / n
     return scalars.bound(mean, lambda m: F.sqrt(F.aggregate(values, F.lit(0.0), lambda a, v: a + (v - m) * (v - m)) / n))
 

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from starloom.operators import forced, psf_flux, star_profiles
+from starloom.operators import forced, pixels, psf_flux, star_profiles
 
 
 def planes_of(spark, planes, noise=None):
@@ -32,6 +32,18 @@ def test_a_bright_pixel_on_a_flat_sky(spark):
     assert (r.flux, r.sky, r.flux_wo_sky, r.eflux, r.n_pix) == (36.0, 18.0, 18.0, 0.0, 9)
 
 
+@pytest.mark.parametrize("rounds", [0, 1, 5])
+def test_rings_without_a_pixel_have_no_sky(spark, rounds):
+    lit = spark.createDataFrame([(f, x, 5, 3.0) for f, last in ((1, 7), (2, 9)) for x in range(5, last)], "frame long, x long, y long, value double")
+    places = spark.createDataFrame([(f, "s", 5.0, 5.0) for f in (1, 2)], PLACES)
+    found = {r.frame: r for r in forced.aperture_fluxes(lit, places, rounds=rounds).collect()}
+    assert (found[1].flux, found[1].sky, found[1].flux_wo_sky, found[1].eflux, found[1].n_pix) == (6.0, 0.0, 6.0, None, 2)
+    assert (found[2].flux, found[2].sky, found[2].flux_wo_sky, found[2].eflux, found[2].n_pix) == (6.0, 27.0, -21.0, 0.0, 2)
+    star = spark.createDataFrame([(1, 5, 5)], "k long, rx long, ry long")
+    r = pixels.square_photometry(lit.where("frame = 1").drop("frame"), star, "k", 3, 5, 9, rounds=rounds).first()
+    assert (r.flux, r.sky, r.flux_wo_sky, r.eflux) == (6.0, None, None, None)
+
+
 @pytest.mark.parametrize("noise", [None, 1.5])
 def test_apertures_by_a_plain_version(spark, noise):
     rng = np.random.default_rng(8)
