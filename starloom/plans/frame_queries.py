@@ -123,7 +123,8 @@ SELECT o_orderkey, coalesce(r.ok, false) AS hp_ok, coalesce(r.msg, '') AS hp_err
 def status_update(spark, d):
     o = T(spark, d, "orders").select("o_orderkey")
     place = [F.col(f"_metadata.{c}").alias(c) for c in ("file_path", "row_index")]  # equal results: the first one read, as in SQL
-    results = T(spark, d, "lineitem").where("l_quantity > 10").select(F.col("l_orderkey").cast("string").alias("id"), F.struct("l_shipdate", "l_linenumber").alias("seq"), (F.col("l_returnflag") == "R").alias("ok"), F.col("l_linestatus").alias("msg"), *place)
+    seq = F.struct(*(c for n in ("l_shipdate", "l_linenumber") for c in (F.col(n).isNull().alias(f"no_{n}"), F.col(n))))  # unknown ones count as last, as in SQL
+    results = T(spark, d, "lineitem").where("l_quantity > 10").select(F.col("l_orderkey").cast("string").alias("id"), seq.alias("seq"), (F.col("l_returnflag") == "R").alias("ok"), F.col("l_linestatus").alias("msg"), *place)
     return manifest.update_last(o, F.col("o_orderkey").cast("string"), results, "id", "seq", {"ok": "hp_ok", "msg": "hp_error"}, {"hp_ok": False, "hp_error": ""}, ["file_path", "row_index"])
 
 

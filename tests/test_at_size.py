@@ -3,12 +3,15 @@
 import random
 import time
 
+import duckdb
 import numpy as np
 from pyspark.sql import functions as F
 
 from starloom.functions import wcs
 from starloom.llm import near_duplicates
 from starloom.operators import background, forced, joins, kernel_fit, manifest, pixels, spatial, sphere, star_profiles
+from starloom.plans import frame_queries
+from starloom.plans.queries import SQL
 from starloom.session import checkpointed
 
 
@@ -95,6 +98,20 @@ def test_first_of_equal_results(spark):
         assert {r.name: r.msg for r in out.collect()} == {"a": "first", "b": "only"}
 
 
+def test_results_without_a_date_or_number_are_last(spark, tmp_path):
+    con = duckdb.connect()
+    con.execute("SET threads = 1")
+    con.execute("""CREATE TABLE lineitem AS SELECT * FROM (VALUES (1, 1, 20.0, 'R', 'dated', DATE '1995-01-01'), (1, 2, 20.0, 'A', 'undated', NULL), (2, NULL, 20.0, 'R', 'no number', DATE '1995-01-01'),
+(2, 3, 20.0, 'A', 'number', DATE '1995-01-01'), (3, NULL, 20.0, 'A', 'first', NULL), (3, NULL, 20.0, 'R', 'second', NULL), (4, 1, 20.0, NULL, NULL, DATE '1995-01-01'), (NULL, 1, 20.0, 'R', 'lost', NULL))
+t(l_orderkey, l_linenumber, l_quantity, l_returnflag, l_linestatus, l_shipdate)""")
+    con.execute("CREATE TABLE orders AS SELECT range AS o_orderkey FROM range(1, 6)")
+    for t in ("lineitem", "orders"):
+        con.execute(f"COPY {t} TO '{tmp_path}/{t}.parquet'")
+    found = {r.o_orderkey: (r.hp_ok, r.hp_error) for r in frame_queries.status_update(spark, str(tmp_path)).collect()}
+    assert found == {k: (ok, error) for k, ok, error in con.execute(SQL["status_update"]).fetchall()}
+    assert [found[k][1] for k in range(1, 6)] == ["undated", "no number", "first", "", ""]
+
+
 def plain_clip(ring: np.ndarray, rounds: int) -> np.ndarray:
     for _ in range(rounds):
         ring = ring[abs(ring - np.median(ring)) <= 3 * ring.std()]
